@@ -87,7 +87,7 @@ SELECT doc_id, rank, step, micro, slot, CAST(width AS INTEGER) AS width,
 FROM joined
 """)
 def pad_batches(spark: Spark, folder: str) -> DataFrame:
-    docs = spread(d.documents(spark, folder).select("doc_id", "text"))
+    docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
     tokens = docs.select("doc_id", byte_ids("text").alias("ids"))
     rows = training_batches(tokens, "doc_id", "ids", LAYOUT, PAD, SEED)
 

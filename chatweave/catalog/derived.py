@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatweave.operators.canonical import exchanges
+from chatweave.session import cut_lineage
 from chatweave.sources.tables import read_table
 
 # SQL text of a piece split; the pattern is the same in both engines.
@@ -126,12 +127,13 @@ def session_inputs(spark: SparkSession, folder: str) -> DataFrame:
         .when(n % 29 == 5, "\t \x1c ")
         .otherwise(F.concat(F.lit("　"), text, F.lit("\u0085")))
     )
-    return both.select(
+    # Later branches read the inputs several times, so they become a table first.
+    return cut_lineage(both.select(
         F.expr("conv_id div 10").alias("conv_id"),
         (F.col("conv_id") % 10 * 100 + F.col("turn")).alias("turn"),
         changed.alias("text"),
         F.when(n % 11 != 6, F.col("reply")).alias("reply"),
-    )
+    ))
 
 
 # Stripping in SQL, with the same characters.

@@ -75,6 +75,12 @@ def context_report(contexts: DataFrame) -> DataFrame:
 
 @query("turn_context", CONTEXT_SQL)
 def contexts(spark: Spark, folder: str) -> DataFrame:
+    return context_report(turn_context(d.session_inputs(spark, folder)))
+
+
+@query("turn_context_long", CONTEXT_SQL)
+def contexts_long(spark: Spark, folder: str) -> DataFrame:
+    # The route for sessions of several chunks.
     return context_report(turn_context(d.session_inputs(spark, folder), span=SPAN))
 
 

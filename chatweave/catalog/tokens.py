@@ -25,7 +25,7 @@ VOCAB_SIZE = 2000
 
 
 def _pieces(spark: Spark, folder: str) -> DataFrame:
-    docs = spread(d.documents(spark, folder).select("doc_id", "lang", "text"))
+    docs = spread(d.documents(spark, folder).select("doc_id", "lang", "text"), "doc_id")
     return docs.select("doc_id", "lang", pieces("text").alias("p"))
 
 
@@ -71,7 +71,7 @@ WITH b AS (
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, md5(array_to_string(ids, ',')) AS ids_md5 FROM b
 """)
 def byte_tokens(spark: Spark, folder: str) -> DataFrame:
-    docs = spread(d.documents(spark, folder).select("doc_id", "text"))
+    docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
     coded = docs.select("doc_id", byte_ids("text").alias("ids"))
     return coded.select("doc_id", F.size("ids").alias("n_ids"), F.md5(_joined("ids")).alias("ids_md5"))
 
@@ -115,7 +115,7 @@ SELECT doc_id, CAST(least(len(ids), 2048) AS INTEGER) AS n_prepare, CAST(least(l
 FROM encoded
 """)
 def truncate_tokens(spark: Spark, folder: str) -> DataFrame:
-    docs = spread(d.documents(spark, folder).select("doc_id", "text"))
+    docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
     rows = encoded_rows(docs, _vocabulary(spark, folder), "doc_id")
     train = truncate("input_ids", 2048, 1024)
     return rows.select(
@@ -199,6 +199,6 @@ FROM encoded
 """)
 def tokenizer_file(spark: Spark, folder: str) -> DataFrame:
     coder = tokenizer_file_encoder(_tokenizer_json(_vocabulary(spark, folder)), max_length=2048)
-    docs = spread(d.documents(spark, folder).select("doc_id", "text"))
+    docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
     rows = docs.select("doc_id", coder(F.col("text")).alias("ids"))
     return rows.select("doc_id", F.size("ids").alias("n_tokens"), F.md5(_joined("ids")).alias("ids_md5"))

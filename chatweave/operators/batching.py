@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chatweave.functions.numbers import ceil_div, whole_div
 from chatweave.functions.tokens import padded, padded_labels, padded_mask
 from chatweave.operators.ordered import CHUNK, Running, hash_chunks, running
 
@@ -57,23 +58,22 @@ def rank_shards(ordered: DataFrame, layout: Layout, wrap: bool = True) -> DataFr
     """
     ranks = F.lit(layout.ranks)
     if wrap:
-        full = F.ceil(F.col("idx_total") / ranks) * ranks
+        full = ceil_div("idx_total", layout.ranks) * ranks
         places = F.sequence(F.col("idx"), full - F.lit(1), F.col("idx_total"))
         ordered = ordered.withColumn("idx", F.explode(places))
     return ordered.withColumn("rank", F.pmod("idx", ranks).cast("int")).withColumn(
-        "rank_idx", F.floor(F.col("idx") / ranks)
+        "rank_idx", whole_div("idx", layout.ranks)
     )
 
 
 def step_batches(sharded: DataFrame, layout: Layout) -> DataFrame:
     """Add ``step``, ``micro`` (micro-batch of the step) and ``slot`` (row of the
     micro-batch); the last batch of a rank may be short."""
-    batch, accumulation = F.lit(layout.batch), F.lit(layout.accumulation)
-    nth = F.floor(F.col("rank_idx") / batch)
+    nth = whole_div("rank_idx", layout.batch)
     return (
-        sharded.withColumn("step", F.floor(nth / accumulation))
-        .withColumn("micro", F.pmod(nth, accumulation).cast("int"))
-        .withColumn("slot", F.pmod("rank_idx", batch).cast("int"))
+        sharded.withColumn("step", whole_div(nth, layout.accumulation))
+        .withColumn("micro", F.pmod(nth, F.lit(layout.accumulation)).cast("int"))
+        .withColumn("slot", F.pmod("rank_idx", F.lit(layout.batch)).cast("int"))
     )
 
 
@@ -118,8 +118,7 @@ def padding_waste(plan: DataFrame) -> DataFrame:
 def run_steps(rows: Column | str, layout: Layout) -> Column:
     """Optimizer steps of one pass over ``rows`` rows."""
     rows = F.col(rows) if isinstance(rows, str) else rows
-    per_rank = F.ceil(rows / F.lit(layout.ranks))
-    return F.ceil(per_rank / F.lit(layout.batch * layout.accumulation))
+    return ceil_div(ceil_div(rows, layout.ranks), layout.batch * layout.accumulation)
 
 
 def checkpoint_schedule(sizes: DataFrame, rows: str, layout: Layout, every: int = SAVE_STEPS) -> DataFrame:
@@ -153,6 +152,6 @@ def resume_point(checkpoints: DataFrame, run: str, step: str, rule: str = "fixed
 def downsample_metrics(metrics: DataFrame, step: str, value: str, run: str | None = None,
                        every: int = LOGGING_STEPS) -> DataFrame:
     """One row per ``every`` steps: the last step and the mean value since the last row."""
-    bucket = F.floor((F.col(step) - 1) / F.lit(every)).alias("bucket")
+    bucket = whole_div(F.col(step) - 1, every).alias("bucket")
     keys = [run, bucket] if run else [bucket]
     return metrics.groupBy(*keys).agg(F.max(step).alias("last_step"), F.avg(value).alias("mean_value"))

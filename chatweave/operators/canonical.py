@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatweave.functions.messages import instruction_pair, message, system_prefix
+from chatweave.functions.numbers import whole_div
 from chatweave.schemas import MESSAGES
 
 # Accepted column names, in order of preference.
@@ -102,7 +103,7 @@ def nest_messages(
     (``part`` 0, 1, ...) whose arrays follow each other, so no array grows with the
     longest conversation. Shorter ones are one row with part 0.
     """
-    part = F.floor(F.col(position) / F.lit(part_size)).alias("part")
+    part = whole_div(position, part_size).alias("part")
     item = F.struct(
         F.col(position).alias("p"), F.col(role).alias("role"), F.col(content).alias("content")
     )

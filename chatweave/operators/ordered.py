@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chatweave.functions.numbers import whole_div
 from chatweave.session import cut_lineage
 
 CHUNK = "_chunk"
@@ -98,9 +99,23 @@ def running(
     return joined.select(*kept, *out, *[f"{name}_total" for name in totals])
 
 
+def running_in_one_chunk(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], values: dict[str, Running]
+) -> DataFrame:
+    """The same values by plain windows, for groups known to be of bounded size."""
+    over = Window.partitionBy(*group, CHUNK).orderBy(*order)
+    kinds = {"sum": lambda c: F.sum(c), "last": lambda c: F.last(c, ignorenulls=True)}
+    out = []
+    for name, r in values.items():
+        frame = over.rowsBetween(Window.unboundedPreceding, 0 if r.inclusive else -1)
+        value = kinds[r.kind](r.value).over(frame)
+        out.append((_sum_or_zero(value) if r.kind == "sum" else value).alias(name))
+    return df.select(*[c for c in df.columns if c not in values], *out)
+
+
 def span_chunks(df: DataFrame, position: str, span: int) -> DataFrame:
     """Chunks of ``span`` consecutive integer positions."""
-    return df.withColumn(CHUNK, F.floor(F.col(position) / F.lit(span)))
+    return df.withColumn(CHUNK, whole_div(position, span))
 
 
 def hash_chunks(df: DataFrame, digest: str, digits: int = 3) -> DataFrame:
@@ -179,5 +194,5 @@ def byte_shards(
         chunked, [], [key],
         {"bytes_before": Running("sum", F.col(size).cast("long"), inclusive=False)},
     )
-    share = F.floor(F.col("bytes_before") / F.lit(cap - max_row_bytes))
+    share = whole_div("bytes_before", cap - max_row_bytes)
     return summed.withColumn(name, share).drop(CHUNK)

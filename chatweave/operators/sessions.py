@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 
 from chatweave.functions.messages import message, system_prefix
 from chatweave.functions.text import classify_command, command_argument, strip
-from chatweave.operators.ordered import CHUNK, Running, running, span_chunks
+from chatweave.operators.ordered import CHUNK, Running, running, running_in_one_chunk, span_chunks
 from chatweave.schemas import MESSAGES
+from chatweave.session import cut_lineage
 
 # The default system message and the history bound.
 DEFAULT_SYSTEM = (
@@ -38,52 +39,62 @@ def _answered() -> Column:
     return (F.col("cmd") == "turn") & F.col("reply").isNotNull()
 
 
-def _long_sessions(inputs: DataFrame, span: int) -> DataFrame:
-    """Sessions that reach beyond their first chunk; the bound reaches the scan."""
-    return inputs.filter(F.col("turn") >= span).select("conv_id").distinct()
+def long_sessions(inputs: DataFrame, span: int = SPAN) -> DataFrame | None:
+    """Ids of sessions that reach beyond their first chunk, or None if there are none.
 
+    The bound on the position reaches the scan, so on ordinary data this reads next
+    to nothing. The ids are materialised, as later branches look them up again.
+    """
+    ids = cut_lineage(inputs.filter(F.col("turn") >= span).select("conv_id").distinct())
+    return None if ids.isEmpty() else ids
 
-def session_state(inputs: DataFrame, default_system: str = DEFAULT_SYSTEM, span: int = SPAN) -> DataFrame:
-    """Per input: ``exits`` so far, ``epoch`` (resets so far), ``sys`` (system message
-    in force) and ``k`` (answered inputs before this one)."""
+
+def _state(inputs: DataFrame, default_system: str, span: int, long_ids: DataFrame | None) -> DataFrame:
     rows = span_chunks(read_inputs(inputs), "turn", span)
-    long_rows = rows.join(_long_sessions(inputs, span), "conv_id", "left_semi")
-    state = running(
-        rows, ["conv_id"], ["turn"],
-        {
-            "exits": Running("sum", (F.col("cmd") == "exit").cast("long")),
-            "epoch": Running("sum", F.col("cmd").isin("clear", "system").cast("long")),
-            "sys": Running("last", F.col("sys_arg")),
-            "k": Running("sum", _answered().cast("long"), inclusive=False),
-        },
-        carry_from=long_rows,
-    )
+    values = {
+        "exits": Running("sum", (F.col("cmd") == "exit").cast("long")),
+        "epoch": Running("sum", F.col("cmd").isin("clear", "system").cast("long")),
+        "sys": Running("last", F.col("sys_arg")),
+        "k": Running("sum", _answered().cast("long"), inclusive=False),
+    }
+    if long_ids is None:
+        state = running_in_one_chunk(rows, ["conv_id"], ["turn"], values)
+    else:
+        long_rows = rows.join(long_ids, "conv_id", "left_semi")
+        state = running(rows, ["conv_id"], ["turn"], values, carry_from=long_rows)
     return state.withColumn("sys", F.coalesce("sys", F.lit(default_system)))
 
 
+def session_state(inputs: DataFrame, default_system: str = DEFAULT_SYSTEM, span: int = SPAN) -> DataFrame:
+    """Per input: ``exits`` so far, ``epoch`` (resets so far), ``sys`` (system message
+    in force) and ``k`` (answered inputs before this one).
+
+    Sessions within one chunk take plain windows; longer ones are split into chunks.
+    """
+    return _state(inputs, default_system, span, long_sessions(inputs, span))
+
+
 def open_inputs(state: DataFrame) -> DataFrame:
     """Inputs before the session's first exit."""
     return state.filter(F.col("exits") == 0)
 
 
-def _turns(inputs: DataFrame, default_system: str, span: int) -> DataFrame:
-    state = open_inputs(session_state(inputs, default_system, span))
+def _turns(inputs: DataFrame, default_system: str, span: int, long_ids: DataFrame | None) -> DataFrame:
+    state = open_inputs(_state(inputs, default_system, span, long_ids))
     return state.filter(F.col("cmd") == "turn").select(
         "conv_id", "turn", CHUNK, "epoch", "sys", "k", "u", "reply"
     )
 
 
-_PAIR = F.struct  # (k, epoch, u, reply): sorts by k
-
-
-def _carried_history(inputs: DataFrame, default_system: str, span: int, pairs: int) -> DataFrame:
+def _carried_history(
+    inputs: DataFrame, default_system: str, span: int, pairs: int, long_ids: DataFrame
+) -> DataFrame:
     """For each later chunk of a long session, the last answered pairs before it.
 
     Only sessions with several chunks take part, with at most ``pairs`` rows per
     chunk, so this side is small.
     """
-    long_inputs = inputs.join(_long_sessions(inputs, span), "conv_id", "left_semi")
-    turns = _turns(long_inputs, default_system, span)
+    turns = _turns(inputs.join(long_ids, "conv_id", "left_semi"), default_system, span, long_ids)
     newest = Window.partitionBy("conv_id", CHUNK).orderBy(F.desc("k"))
     carriers = (
         turns.filter(F.col("reply").isNotNull())
@@ -96,7 +107,7 @@ def _carried_history(inputs: DataFrame, default_system: str, span: int, pairs: i
         "conv_id", CHUNK,
         F.explode(F.sequence(F.greatest(F.col("k0") - pairs, F.lit(0)), F.col("k0") - 1)).alias("pk"),
     )
-    held = _PAIR(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "u", "reply")
+    held = F.struct(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "u", "reply")
     return (
         wanted.join(carriers, ["conv_id", "pk"])
         .groupBy("conv_id", CHUNK)
@@ -116,27 +127,30 @@ def turn_context(
     through a small join.
     """
     pairs = max_messages // 2
-    turns = _turns(inputs, default_system, span)
+    long_ids = long_sessions(inputs, span)
+    turns = _turns(inputs, default_system, span, long_ids)
     recent = Window.partitionBy("conv_id", CHUNK, "epoch").orderBy("k").rangeBetween(-pairs, -1)
-    pair = F.when(F.col("reply").isNotNull(), _PAIR("k", "epoch", "u", "reply"))
-    local = turns.withColumn("near", F.array_sort(F.collect_list(pair).over(recent)))
-    joined = local.join(
-        _carried_history(inputs, default_system, span, pairs), ["conv_id", CHUNK], "left"
-    )
-    row_epoch, row_k = F.col("epoch"), F.col("k")
-    usable = F.filter(
-        F.col("halo"), lambda h: (h["epoch"] == row_epoch) & (h["k"] >= row_k - pairs)
-    )
-    past = F.concat(F.coalesce(usable, F.slice("near", 1, 0)), F.col("near"))
+    pair = F.when(F.col("reply").isNotNull(), F.struct("k", "epoch", "u", "reply"))
+    held = turns.withColumn("past", F.array_sort(F.collect_list(pair).over(recent)))
+    if long_ids is not None:
+        carried = _carried_history(inputs, default_system, span, pairs, long_ids)
+        held = held.join(carried, ["conv_id", CHUNK], "left")
+        row_epoch, row_k = F.col("epoch"), F.col("k")
+        usable = F.filter(
+            F.col("halo"), lambda h: (h["epoch"] == row_epoch) & (h["k"] >= row_k - pairs)
+        )
+        held = held.withColumn(
+            "past", F.concat(F.coalesce(usable, F.slice("past", 1, 0)), F.col("past"))
+        )
     history = F.flatten(
         F.transform(
-            past, lambda h: F.array(message("user", h["u"]), message("assistant", h["reply"]))
+            F.col("past"), lambda h: F.array(message("user", h["u"]), message("assistant", h["reply"]))
         )
     ).cast(MESSAGES)
     messages = F.concat(
         system_prefix("sys"), history, F.array(message("user", F.col("u"))).cast(MESSAGES)
     )
-    return joined.select("conv_id", "turn", messages.alias("messages"))
+    return held.select("conv_id", "turn", messages.alias("messages"))
 
 
 def last_message_rows(

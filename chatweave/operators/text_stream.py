@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatweave.functions.numbers import whole_div
+
 
 def accumulate_tokens(tokens: DataFrame, key: str = "id", seq: str = "seq", token: str = "token",
                       part_size: int = 4096) -> DataFrame:
@@ -13,7 +15,7 @@ def accumulate_tokens(tokens: DataFrame, key: str = "id", seq: str = "seq", toke
     Tokens are joined in parts first, so a long response reaches its last step as a
     few long strings.
     """
-    part = F.floor(F.col(seq) / F.lit(part_size)).alias("part")
+    part = whole_div(seq, part_size).alias("part")
 
     def joined(order: str, text: str):
         items = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text).alias("x"))))

@@ -36,7 +36,7 @@ def conversation_tokens(rows: DataFrame, max_length: int = TRAIN_MAX_LENGTH) ->
     One shuffle by conversation, combined on the map side; no conversation ever sits
     in one place as a whole. Positions count from 0 without gaps.
     """
-    cut = spread(rows).select(
+    cut = spread(rows, "conv_id", "turn").select(
         "conv_id", "turn", pieces(render_message(F.col("role"), F.col("text"))).alias("p")
     )
     head = F.when(F.col("turn") < max_length, F.struct("turn", F.slice("p", 1, max_length).alias("p")))

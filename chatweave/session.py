@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Spark's default size of a scan split.
+SPLIT_BYTES = 128 * 1024 * 1024
+
 
 def build_session(app: str = "chatweave", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on; ``conf`` overrides them.
@@ -60,13 +63,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row-local work at least one partition per core.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small input over the cores before CPU-heavy row-local work.
 
-    Inputs that already have enough splits (any cluster-sized table) come back
-    unchanged; only small files with one row group are redistributed.
+    A small file is one scan task whatever its rows cost. Inputs with at least one
+    full-size split per core (by the optimizer's size estimate) come back unchanged,
+    so no cluster-sized table is shuffled for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * SPLIT_BYTES:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, *keys)

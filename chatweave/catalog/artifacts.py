@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from chatweave.catalog import derived as d
 from chatweave.catalog import query
+from chatweave.functions.numbers import whole_div
 from chatweave.functions.text import base_name
 from chatweave.operators import inventory as inv
 from chatweave.operators import registry as reg
 from chatweave.session import scratch_path
 from chatweave.sources.artifacts import list_artifacts, read_configs, write_cards
+from chatweave.sources.tables import read_table
 from chatweave.sources.telemetry import host_memory, parse_device_csv, parse_memory_lines
 
 Spark = SparkSession
@@ -153,18 +155,18 @@ def adapter_base(spark: Spark, folder: str) -> DataFrame:
 
 
 @query("device_memory", """
-SELECT label, CAST(count(*) AS INTEGER) AS n_devices, CAST(sum(vec_id) AS DOUBLE) AS total_gb FROM embeddings GROUP BY label
+SELECT vec_id // 8 AS host, CAST(count(*) AS INTEGER) AS n_devices, CAST(sum(label) AS DOUBLE) AS total_gb
+FROM embeddings GROUP BY 1
 """)
 def device_memory(spark: Spark, folder: str) -> DataFrame:
-    # Hosts are labels, devices their vectors; memory is a whole number of GB.
-    from chatweave.sources.tables import read_table
-
+    # Eight devices per host; memory is a whole number of GB.
     device = F.struct(
-        F.col("vec_id").cast("int").alias("index"), F.lit("gpu").alias("name"),
-        F.col("vec_id").cast("double").alias("total_memory_gb"),
+        (F.col("vec_id") % 8).cast("int").alias("index"), F.lit("gpu").alias("name"),
+        F.col("label").cast("double").alias("total_memory_gb"),
     )
-    hosts = read_table(spark, folder, "embeddings").groupBy("label").agg(F.collect_list(device).alias("devices"))
-    return hosts.select("label", F.size("devices").alias("n_devices"), inv.device_memory("devices").alias("total_gb"))
+    rows = read_table(spark, folder, "embeddings")
+    hosts = rows.groupBy(whole_div("vec_id", 8).alias("host")).agg(F.collect_list(device).alias("devices"))
+    return hosts.select("host", F.size("devices").alias("n_devices"), inv.device_memory("devices").alias("total_gb"))
 
 
 @query("parse_telemetry", f"""

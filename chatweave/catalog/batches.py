@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from chatweave.catalog import derived as d
 from chatweave.catalog import query
-from chatweave.functions.tokens import byte_ids
+from chatweave.functions.tokens import PREPARE_MAX_LENGTH, byte_ids, truncate
 from chatweave.operators import batching as b
 from chatweave.plans.training import training_batches
-from chatweave.session import spread
+from chatweave.session import scratch_path, spread
+from chatweave.sources.tables import read_columns, write_columns
 
 Spark = SparkSession
 
@@ -88,8 +89,11 @@ FROM joined
 """)
 def pad_batches(spark: Spark, folder: str) -> DataFrame:
     docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
-    tokens = docs.select("doc_id", byte_ids("text").alias("ids"))
-    rows = training_batches(tokens, "doc_id", "ids", LAYOUT, PAD, SEED)
+    # The preparation stage stores its tokens; the training stage reads them.
+    path = scratch_path(spark, "tokens")
+    ids = truncate(byte_ids("text"), PREPARE_MAX_LENGTH)
+    write_columns(docs.select("doc_id", ids.alias("ids")).withColumn("n_ids", F.size("ids")), path)
+    rows = training_batches(read_columns(spark, path), "doc_id", "ids", LAYOUT, PAD, SEED, length="n_ids")
 
     def digest(c: str):
         return F.md5(F.array_join(F.col(c).cast("array<string>"), ","))

@@ -60,8 +60,8 @@ def token_rows(spark: Spark, folder: str) -> DataFrame:
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         F.regexp_extract_all("text", F.lit(r"[^ ]+ *| +"), F.lit(0)).alias("t"),
     )
-    items = rows.select("id", F.size("t").alias("n"), F.posexplode("t").alias("seq", "token"))
-    return items.select("id", "seq", "token", (F.col("seq") == F.col("n") - 1).alias("is_last"))
+    items = rows.select("id", F.size("t").alias("n"), F.posexplode_outer("t").alias("seq", "token"))
+    return items.filter(F.col("seq").isNotNull()).select("id", "seq", "token", (F.col("seq") == F.col("n") - 1).alias("is_last"))
 
 
 def _texts(df: DataFrame) -> DataFrame:
@@ -77,9 +77,9 @@ def token_accumulate(spark: Spark, folder: str) -> DataFrame:
 @query("stream_responses", TEXTS_SQL)
 def stream_responses(spark: Spark, folder: str) -> DataFrame:
     root = scratch_path(spark, "tokens")
-    # Four files by position: the tokens of a text come in different micro-batches.
-    token_rows(spark, folder).repartition(4, F.expr("seq div 40")).write.parquet(f"{root}/in")
-    stream = responses(readers.token_rows(spark, f"{root}/in", files_per_batch=2))
+    # Files cut texts at any place: tokens of a text come in different micro-batches.
+    token_rows(spark, folder).repartition(8, "id", "seq").write.parquet(f"{root}/in")
+    stream = responses(readers.token_rows(spark, f"{root}/in", files_per_batch=4))
     return _texts(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))
 
 
@@ -87,11 +87,12 @@ def stream_responses(spark: Spark, folder: str) -> DataFrame:
 def stream_contexts(spark: Spark, folder: str) -> DataFrame:
     root = scratch_path(spark, "inputs")
     inputs = d.session_inputs(spark, folder)
-    # One file per stretch of turns, written in turn order.
+    # Stretches of turns, written one after the other; within a stretch a session is in
+    # one file, so files in order of their time keep the order of each session.
     for i, (low, high) in enumerate([(0, 300), (300, 600), (600, 1000)]):
         stretch = inputs.filter((F.col("turn") >= low) & (F.col("turn") < high))
-        stretch.coalesce(1).write.mode("append").parquet(f"{root}/in/stretch={i}")
-    stream = chat_contexts(readers.session_inputs(spark, f"{root}/in/*", files_per_batch=1))
+        stretch.repartition("conv_id").write.mode("append").parquet(f"{root}/in/stretch={i}")
+    stream = chat_contexts(readers.session_inputs(spark, f"{root}/in/*", files_per_batch=5))
     return context_report(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))
 
 

@@ -84,7 +84,7 @@ def vocab_fit(spark: Spark, folder: str) -> DataFrame:
 def _encode_report(encoded: DataFrame) -> DataFrame:
     return encoded.select(
         "doc_id", F.size("ids").alias("n_tokens"),
-        F.size(F.filter("ids", lambda x: x == UNK_ID)).cast("long").alias("n_unk"),
+        (F.size("ids") - F.size(F.array_remove("ids", UNK_ID))).cast("long").alias("n_unk"),
         F.md5(_joined("ids")).alias("ids_md5"),
     )
 
@@ -121,7 +121,7 @@ def truncate_tokens(spark: Spark, folder: str) -> DataFrame:
     return rows.select(
         "doc_id", F.size("input_ids").alias("n_prepare"), F.size(train).alias("n_train"),
         F.md5(_joined(train)).alias("train_md5"),
-        F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"),
+        F.size(F.array_remove("attention_mask", 0)).cast("long").alias("mask_sum"),
     )
 
 
@@ -174,7 +174,7 @@ def length_stats(spark: Spark, folder: str) -> DataFrame:
         F.percentile(F.size("p"), 0.5).alias("p50"),
         F.percentile(F.size("p"), 0.9).alias("p90"),
     )
-    kinds = rows.select("lang", F.explode("p").alias("piece")).groupBy("lang").agg(
+    kinds = rows.select("lang", F.explode_outer("p").alias("piece")).groupBy("lang").agg(
         F.countDistinct("piece").alias("n_distinct")
     )
     return sizes.join(kinds, "lang")

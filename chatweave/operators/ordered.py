@@ -21,8 +21,9 @@ from chatweave.session import cut_lineage
 
 CHUNK = "_chunk"
 
-# Up to this many rows an ordered prefix is taken by one task.
-HEAD_IN_ONE_TASK = 100_000
+# Up to this many rows an ordered prefix is a top-n, whose last task gets as many rows
+# from every partition.
+HEAD_IN_ONE_TASK = 1_000
 
 
 @dataclass(frozen=True)
@@ -44,14 +45,11 @@ def running(
     order: Sequence[str | Column],
     values: dict[str, Running],
     totals: Sequence[str] = (),
-    carry_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add running values over ``group`` in ``order``; ``df`` has a ``CHUNK`` column
     that never decreases along the order.
 
     ``totals`` names sums whose group total is added as ``<name>_total``.
-    ``carry_from`` may hold only the rows of the groups with several chunks, where
-    the caller can tell: all other rows need no carry.
     """
     group = list(group)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -64,8 +62,7 @@ def running(
         else:
             key = F.when(r.value.isNotNull(), order_key)
             partials.append(F.max_by(r.value, key).alias(name))
-    source = df if carry_from is None else carry_from
-    per_chunk = source.groupBy(*group, CHUNK).agg(*partials)
+    per_chunk = df.groupBy(*group, CHUNK).agg(*partials)
 
     # One row per chunk from here on, not one per input row.
     before = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)

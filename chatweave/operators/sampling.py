@@ -13,21 +13,33 @@ TEMPERATURE = 0.7
 TOP_K = 50
 TOP_P = 0.9
 
+# Up to this k Spark cuts groups down before the shuffle (its window group limit).
+GROUP_LIMIT = 1_000
 
-def top_k(cands: DataFrame, k: int = TOP_K) -> DataFrame:
+
+def _in_chunks(cands: DataFrame, values: dict[str, Running], partitions: int | None) -> DataFrame:
+    """Running values from the best candidate down, for groups of any size."""
+    ordered = cands.withColumn("_order", -F.col("score"))
+    chunked = range_chunks(ordered, ["group_id", "_order", "cand"], partitions)
+    return running(chunked, ["group_id"], ["_order", "cand"], values).drop("_order", CHUNK)
+
+
+def top_k(cands: DataFrame, k: int = TOP_K, partitions: int | None = None) -> DataFrame:
     """The ``k`` best candidates per group; ties go to the smaller candidate id.
 
-    Each map task keeps its own k best first, so large groups shrink before the
-    shuffle.
+    For a small k each map task keeps its own k best first, so large groups shrink
+    before the shuffle. For a large one, groups are split into range chunks.
     """
-    best = Window.partitionBy("group_id").orderBy(F.desc("score"), "cand")
-    return (
-        cands.withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-    )
+    if k > GROUP_LIMIT:
+        rank = {"rank": Running("sum", F.lit(1).cast("long"))}
+        ranked = _in_chunks(cands, rank, partitions).withColumn("rank", F.col("rank").cast("int"))
+    else:
+        best = Window.partitionBy("group_id").orderBy(F.desc("score"), "cand")
+        ranked = cands.withColumn("rank", F.row_number().over(best))
+    return ranked.filter(F.col("rank") <= k)
 
 
-def _nucleus_of_top_k(cands: DataFrame, k: int, p: float) -> DataFrame:
+def _nucleus_of_top_k(cands: DataFrame, k: int) -> DataFrame:
     """Nucleus over at most ``k`` rows per group."""
     group = Window.partitionBy("group_id")
     best = group.orderBy(F.desc("score"), "cand")
@@ -43,18 +55,13 @@ def _nucleus_of_all(cands: DataFrame, partitions: int | None) -> DataFrame:
     weighted = cands.join(peak, "group_id").withColumn("w", F.exp(F.col("score") - F.col("peak")))
     total = weighted.groupBy("group_id").agg(F.sum("w").alias("total"))
     scaled = weighted.join(total, "group_id").select(
-        "group_id", "cand", "score", (F.col("w") / F.col("total")).alias("prob"),
-        (-F.col("score")).alias("_order"),
-    )
-    chunked = range_chunks(scaled, ["group_id", "_order", "cand"], partitions)
-    summed = running(
-        chunked, ["group_id"], ["_order", "cand"],
-        {
-            "before": Running("sum", F.col("prob"), inclusive=False),
-            "rank": Running("sum", F.lit(1).cast("long")),
-        },
+        "group_id", "cand", "score", (F.col("w") / F.col("total")).alias("prob")
     )
-    return summed.drop("_order", CHUNK)
+    values = {
+        "before": Running("sum", F.col("prob"), inclusive=False),
+        "rank": Running("sum", F.lit(1).cast("long")),
+    }
+    return _in_chunks(scaled, values, partitions)
 
 
 def nucleus(
@@ -67,7 +74,9 @@ def nucleus(
     switches top-k off.
     """
     heated = cands.withColumn("score", F.col("score").cast("double") / F.lit(temperature))
-    probs = _nucleus_of_all(heated, partitions) if k is None else _nucleus_of_top_k(heated, k, p)
+    if k is not None and k > GROUP_LIMIT:
+        heated, k = top_k(heated, k, partitions).drop("rank"), None
+    probs = _nucleus_of_all(heated, partitions) if k is None else _nucleus_of_top_k(heated, k)
     return probs.filter((F.col("before") < p) | (F.col("rank") == 1)).select(
         "group_id", "cand", "score", "prob"
     )

@@ -43,13 +43,21 @@ def long_sessions(inputs: DataFrame, span: int = SPAN) -> DataFrame | None:
     """Ids of sessions that reach beyond their first chunk, or None if there are none.
 
     The bound on the position reaches the scan, so on ordinary data this reads next
-    to nothing. The ids are materialised, as later branches look them up again.
+    to nothing. The ids are materialised, as later steps look them up again.
     """
     ids = cut_lineage(inputs.filter(F.col("turn") >= span).select("conv_id").distinct())
     return None if ids.isEmpty() else ids
 
 
-def _state(inputs: DataFrame, default_system: str, span: int, long_ids: DataFrame | None) -> DataFrame:
+def _split(inputs: DataFrame, span: int) -> tuple[DataFrame, DataFrame | None]:
+    """Inputs of sessions within one chunk, and those of longer sessions if any."""
+    ids = long_sessions(inputs, span)
+    if ids is None:
+        return inputs, None
+    return inputs.join(ids, "conv_id", "left_anti"), inputs.join(ids, "conv_id", "left_semi")
+
+
+def _state(inputs: DataFrame, default_system: str, span: int, chunked: bool) -> DataFrame:
     rows = span_chunks(read_inputs(inputs), "turn", span)
     values = {
         "exits": Running("sum", (F.col("cmd") == "exit").cast("long")),
@@ -57,11 +65,8 @@ def _state(inputs: DataFrame, default_system: str, span: int, long_ids: DataFram
         "sys": Running("last", F.col("sys_arg")),
         "k": Running("sum", _answered().cast("long"), inclusive=False),
     }
-    if long_ids is None:
-        state = running_in_one_chunk(rows, ["conv_id"], ["turn"], values)
-    else:
-        long_rows = rows.join(long_ids, "conv_id", "left_semi")
-        state = running(rows, ["conv_id"], ["turn"], values, carry_from=long_rows)
+    add = running if chunked else running_in_one_chunk
+    state = add(rows, ["conv_id"], ["turn"], values)
     return state.withColumn("sys", F.coalesce("sys", F.lit(default_system)))
 
 
@@ -71,7 +76,9 @@ def session_state(inputs: DataFrame, default_system: str = DEFAULT_SYSTEM, span:
 
     Sessions within one chunk take plain windows; longer ones are split into chunks.
     """
-    return _state(inputs, default_system, span, long_sessions(inputs, span))
+    short, long = _split(inputs, span)
+    state = _state(short, default_system, span, chunked=False)
+    return state if long is None else state.unionByName(_state(long, default_system, span, chunked=True))
 
 
 def open_inputs(state: DataFrame) -> DataFrame:
@@ -79,22 +86,30 @@ def open_inputs(state: DataFrame) -> DataFrame:
     return state.filter(F.col("exits") == 0)
 
 
-def _turns(inputs: DataFrame, default_system: str, span: int, long_ids: DataFrame | None) -> DataFrame:
-    state = open_inputs(_state(inputs, default_system, span, long_ids))
+def _turns(inputs: DataFrame, default_system: str, span: int, chunked: bool) -> DataFrame:
+    state = open_inputs(_state(inputs, default_system, span, chunked))
     return state.filter(F.col("cmd") == "turn").select(
         "conv_id", "turn", CHUNK, "epoch", "sys", "k", "u", "reply"
     )
 
 
-def _carried_history(
-    inputs: DataFrame, default_system: str, span: int, pairs: int, long_ids: DataFrame
-) -> DataFrame:
-    """For each later chunk of a long session, the last answered pairs before it.
+def _recent_pairs(turns: DataFrame, pairs: int) -> DataFrame:
+    """Add ``past``: the last answered pairs before each turn within its chunk.
+
+    Answered inputs enter the history as pairs, so the bound is a range over the
+    count ``k`` of answered inputs; failed ones between them do not shorten it.
+    """
+    recent = Window.partitionBy("conv_id", CHUNK, "epoch").orderBy("k").rangeBetween(-pairs, -1)
+    pair = F.when(F.col("reply").isNotNull(), F.struct("k", "epoch", "u", "reply"))
+    return turns.withColumn("past", F.array_sort(F.collect_list(pair).over(recent)))
 
-    Only sessions with several chunks take part, with at most ``pairs`` rows per
-    chunk, so this side is small.
+
+def _add_earlier_chunks(turns: DataFrame, held: DataFrame, pairs: int) -> DataFrame:
+    """Complete ``past`` with pairs from earlier chunks of the session.
+
+    Each chunk passes on at most ``pairs`` rows and asks for at most ``pairs`` rows, by
+    their count, so both sides of the join are small.
     """
-    turns = _turns(inputs.join(long_ids, "conv_id", "left_semi"), default_system, span, long_ids)
     newest = Window.partitionBy("conv_id", CHUNK).orderBy(F.desc("k"))
     carriers = (
         turns.filter(F.col("reply").isNotNull())
@@ -107,11 +122,16 @@ def _carried_history(
         "conv_id", CHUNK,
         F.explode(F.sequence(F.greatest(F.col("k0") - pairs, F.lit(0)), F.col("k0") - 1)).alias("pk"),
     )
-    held = F.struct(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "u", "reply")
-    return (
+    item = F.struct(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "u", "reply")
+    carried = (
         wanted.join(carriers, ["conv_id", "pk"])
         .groupBy("conv_id", CHUNK)
-        .agg(F.array_sort(F.collect_list(held)).alias("halo"))
+        .agg(F.array_sort(F.collect_list(item)).alias("halo"))
+    )
+    epoch, k = F.col("epoch"), F.col("k")
+    usable = F.filter(F.col("halo"), lambda h: (h["epoch"] == epoch) & (h["k"] >= k - pairs))
+    return held.join(carried, ["conv_id", CHUNK], "left").withColumn(
+        "past", F.concat(F.coalesce(usable, F.slice("past", 1, 0)), F.col("past"))
     )
 
 
@@ -122,26 +142,16 @@ def turn_context(
     """The message list sent to the model for every user turn: system message, the
     last ``max_messages`` history messages, the input.
 
-    Answered inputs enter the history as pairs, so the bound is a range over the
-    count of answered inputs, inside one chunk; pairs from earlier chunks come in
-    through a small join.
+    Sessions within one chunk need one shuffle by session. Longer sessions are worked
+    on in chunks, and only their turns are materialised, as three steps read them.
     """
     pairs = max_messages // 2
-    long_ids = long_sessions(inputs, span)
-    turns = _turns(inputs, default_system, span, long_ids)
-    recent = Window.partitionBy("conv_id", CHUNK, "epoch").orderBy("k").rangeBetween(-pairs, -1)
-    pair = F.when(F.col("reply").isNotNull(), F.struct("k", "epoch", "u", "reply"))
-    held = turns.withColumn("past", F.array_sort(F.collect_list(pair).over(recent)))
-    if long_ids is not None:
-        carried = _carried_history(inputs, default_system, span, pairs, long_ids)
-        held = held.join(carried, ["conv_id", CHUNK], "left")
-        row_epoch, row_k = F.col("epoch"), F.col("k")
-        usable = F.filter(
-            F.col("halo"), lambda h: (h["epoch"] == row_epoch) & (h["k"] >= row_k - pairs)
-        )
-        held = held.withColumn(
-            "past", F.concat(F.coalesce(usable, F.slice("past", 1, 0)), F.col("past"))
-        )
+    short, long = _split(inputs, span)
+    held = _recent_pairs(_turns(short, default_system, span, chunked=False), pairs)
+    if long is not None:
+        turns = cut_lineage(_turns(long, default_system, span, chunked=True))
+        whole = _add_earlier_chunks(turns, _recent_pairs(turns, pairs), pairs)
+        held = held.unionByName(whole.drop("halo"))
     history = F.flatten(
         F.transform(
             F.col("past"), lambda h: F.array(message("user", h["u"]), message("assistant", h["reply"]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -9,9 +10,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chatweave.functions.tokens import pad_id, without_ids
+from chatweave.operators.ordered import global_index
 
 # Ids below the first piece id, in this order.
 SPECIALS = ("<unk>", "<eos>", "<pad>")
@@ -29,15 +30,16 @@ def fit_vocabulary(pieces: DataFrame, column: str, size: int, first_id: int = le
     """The ``size`` most frequent pieces of an array column: ``(piece, id, n)``.
 
     Ids follow count, then the piece in binary order. Counting combines on the map
-    side, so a frequent piece does not load one task. The numbering window sees the
-    ``size`` chosen rows only.
+    side, so a frequent piece does not load one task; ranks come from range partitions
+    of the counts, so no task sorts all pieces.
     """
-    counts = pieces.select(F.explode(column).alias("piece")).groupBy("piece").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    top = counts.orderBy(F.desc("n"), "piece").limit(size)
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "piece"))
-    return top.select("piece", (rank + F.lit(first_id - 1)).alias("id"), "n")
+    # An outer explode: the inner one makes the optimizer test the array's size in a
+    # filter at the scan, which splits every text once more per test.
+    exploded = pieces.select(F.explode_outer(column).alias("piece")).filter(F.col("piece").isNotNull())
+    counts = exploded.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    ranked = global_index(counts.withColumn("_order", -F.col("n")), ["_order", "piece"])
+    chosen = ranked.filter(F.col("idx") < size)
+    return chosen.select("piece", (F.col("idx") + F.lit(first_id)).cast("int").alias("id"), "n")
 
 
 @dataclass(frozen=True)
@@ -109,8 +111,10 @@ def _lookup_by_join(
     missing: Column, out: str, salts: int,
 ) -> DataFrame:
     """Look every element up by a salted shuffle join and rebuild the arrays."""
-    items = df.select(key, F.posexplode(column).alias("_pos", left)).withColumn(
-        "_salt", F.pmod(F.xxhash64(key, "_pos"), F.lit(salts))
+    items = (
+        df.select(key, F.posexplode_outer(column).alias("_pos", left))
+        .filter(F.col("_pos").isNotNull())
+        .withColumn("_salt", F.pmod(F.xxhash64(key, "_pos"), F.lit(salts)))
     )
     copies = table.select(left, right).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
@@ -171,6 +175,8 @@ def tokenizer_file_encoder(
 
     @F.arrow_udf("array<int>")
     def encode_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # One task has one core; threads of its own would crowd the others.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(serialized)

@@ -11,11 +11,18 @@ from chatweave.operators.batching import Layout, batch_plan, pad_batches
 
 def training_batches(
     tokens: DataFrame, key: str, ids: str, layout: Layout, pad: int, seed: int = 0, epoch: int = 0,
-    max_length: int = TRAIN_MAX_LENGTH,
+    max_length: int = TRAIN_MAX_LENGTH, length: str | None = None,
 ) -> DataFrame:
-    """Truncate, shuffle, deal, batch and pad. Empty rows stay, with length 0."""
+    """Truncate, shuffle, deal, batch and pad. Empty rows stay, with length 0.
+
+    ``tokens`` is a stored table: it is read once for the plan and once for the ids.
+    ``length`` may name a stored column with the number of ids, so that planning does
+    not read the arrays.
+    """
     cut = tokens.select(key, truncate(ids, max_length).alias("_ids"))
-    plan = batch_plan(cut.select(key, F.size("_ids").alias("_n")), key, "_n", layout, seed, epoch)
+    size = F.col(length) if length else F.size(ids)
+    sizes = tokens.select(key, F.least(size, F.lit(max_length)).cast("int").alias("_n"))
+    plan = batch_plan(sizes, key, "_n", layout, seed, epoch)
     return pad_batches(cut, plan, key, "_ids", pad)
 
 

@@ -27,6 +27,7 @@ def build_session(app: str = "chatweave", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
         **conf,
     }
     for key, value in settings.items():

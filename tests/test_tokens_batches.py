@@ -170,8 +170,9 @@ def brute_nucleus(scores, temperature, k, p):
     return kept
 
 
-@pytest.mark.parametrize("k", [5, None])
-def test_nucleus(spark, k):
+@pytest.mark.parametrize("k", [5, None, 40])
+def test_nucleus(spark, k, monkeypatch):
+    monkeypatch.setattr(s, "GROUP_LIMIT", 20)
     rng = random.Random(4)
     groups = {g: {c: rng.choice([0.0, 1.0, rng.random() * 6]) for c in range(30)} for g in range(20)}
     groups[99] = {c: rng.random() for c in range(600)}

@@ -76,9 +76,17 @@ def file_sizes(spark: Spark, folder: str) -> DataFrame:
     return inv.file_sizes(d.listing(spark, folder))
 
 
-@query("artifact_scan")
+@query("artifact_scan", """
+SELECT 'lang=' || lang AS artifact, CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes,
+  CAST(sum(strlen(text) + 1) AS DOUBLE) / 1073741824.0::DOUBLE AS total_gb
+FROM documents GROUP BY lang
+""")
 def artifact_scan(spark: Spark, folder: str) -> DataFrame:
-    return inv.file_sizes(list_artifacts(spark, folder)).orderBy("name")
+    # One folder per language; each text is followed by a line end.
+    path = scratch_path(spark, "artifacts")
+    d.documents(spark, folder).select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path)
+    files = list_artifacts(spark, f"{path}/*")
+    return inv.artifact_sizes(files).select("artifact", "total_bytes", "total_gb")
 
 
 # Adapter configs: one per document source and language, some fields left out.
@@ -123,7 +131,7 @@ def config_scan(spark: Spark, folder: str) -> DataFrame:
 
 @query("card_text", f"""
 WITH {CONFIGS_SQL}
-SELECT artifact, 9 AS n_lines, 1 AS n_rank_lines,
+SELECT artifact, 19 AS n_lines, 1 AS n_rank_lines,
   '| Target modules | ' || modules || ' |' AS modules_line
 FROM configs
 """)

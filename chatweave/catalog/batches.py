@@ -83,7 +83,7 @@ joined AS (
   FROM batched b JOIN coded c ON c.doc_id = b.doc_id)
 SELECT doc_id, rank, step, micro, slot, CAST(width AS INTEGER) AS width,
   md5(array_to_string(list_concat(ids, list_transform(range(width - len(ids)), lambda i: {PAD})), ',')) AS ids_md5,
-  md5(array_to_string(list_concat(list_transform(ids, lambda i: 1), list_transform(range(width - len(ids)), lambda i: 0)), ',')) AS mask_md5,
+  CAST(len(ids) AS INTEGER) AS mask_ones, CAST(CASE WHEN len(ids) < width THEN len(ids) + 1 ELSE 0 END AS BIGINT) AS mask_zero_at,
   md5(array_to_string(list_concat(ids, list_transform(range(width - len(ids)), lambda i: -100)), ',')) AS labels_md5
 FROM joined
 """)
@@ -100,7 +100,9 @@ def pad_batches(spark: Spark, folder: str) -> DataFrame:
 
     return rows.select(
         "doc_id", "rank", "step", "micro", "slot", "width",
-        digest("input_ids").alias("ids_md5"), digest("attention_mask").alias("mask_md5"),
+        digest("input_ids").alias("ids_md5"),
+        F.size(F.array_remove("attention_mask", 0)).alias("mask_ones"),
+        F.array_position("attention_mask", 0).alias("mask_zero_at"),
         digest("labels").alias("labels_md5"),
     )
 

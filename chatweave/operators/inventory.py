@@ -20,8 +20,8 @@ DEFAULT_ALPHA = 128
 
 
 def file_sizes(listing: DataFrame) -> DataFrame:
-    """Files with their size in MB; sorting by name is left to the sink."""
-    return listing.withColumn("size_mb", mebibytes("length"))
+    """Files with their size in MB, in the order of artifact and name."""
+    return listing.withColumn("size_mb", mebibytes("length")).orderBy("artifact", "name")
 
 
 def artifact_sizes(listing: DataFrame, artifact: str = "artifact") -> DataFrame:
@@ -57,15 +57,19 @@ def config_defaults(
     )
 
 
-def card_text(training_steps: str = "2038") -> Column:
-    """A Markdown card of one configured artifact (after ``config_defaults``)."""
-    return F.format_string(
-        "# Adapter for %s\n\n"
-        "| Field | Value |\n| --- | --- |\n"
-        "| Base model | %s |\n| Rank (r) | %s |\n| Alpha | %s |\n"
-        "| Target modules | %s |\n| Training steps | " + training_steps + " |",
-        F.col("base_model"), F.col("base_model"), F.col("lora_r"), F.col("lora_alpha_text"), F.col("modules"),
-    )
+def card_text(
+    training_steps: str = "2038", license: str = "apache-2.0", tags: Sequence[str] = ("fine-tuned", "lora"),
+    library: str = "peft",
+) -> Column:
+    """A Markdown card of one configured artifact (after ``config_defaults``): a metadata
+    block and a table of the training details."""
+    meta = [f"license: {license}", "base_model: %s", "tags:", *[f"- {t}" for t in tags],
+            f"library_name: {library}", "pipeline_tag: text-generation"]
+    table = ["| Field | Value |", "| --- | --- |", "| Base model | %s |", "| Rank (r) | %s |", "| Alpha | %s |",
+             "| Target modules | %s |", f"| Training steps | {training_steps} |"]
+    text = "\n".join(["---", *meta, "---", "", "# Adapter for %s", "", *table])
+    base = F.col("base_model")
+    return F.format_string(text, base, base, base, F.col("lora_r"), F.col("lora_alpha_text"), F.col("modules"))
 
 
 def device_memory(devices: Column | str = "devices") -> Column:

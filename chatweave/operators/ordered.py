@@ -117,7 +117,10 @@ def span_chunks(df: DataFrame, position: str, span: int) -> DataFrame:
 
 def hash_chunks(df: DataFrame, digest: str, digits: int = 3) -> DataFrame:
     """Chunks by the leading hex digits of a digest used as the order: 16**digits
-    chunks of nearly equal size, in digest order."""
+    chunks of nearly equal size, in digest order. At most four digits, as the carries
+    of the chunks are broadcast."""
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4")
     return df.withColumn(CHUNK, F.substring(F.col(digest), 1, digits))
 
 

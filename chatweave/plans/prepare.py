@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chatweave.functions.messages import render, render_message
 from chatweave.functions.tokens import (
+    PIECE_PATTERN,
     PREPARE_MAX_LENGTH,
     TRAIN_MAX_LENGTH,
     attention_mask,
@@ -30,23 +31,30 @@ def conversation_tokens(rows: DataFrame, max_length: int = TRAIN_MAX_LENGTH) ->
     """Per conversation: messages, pieces of the rendered text, and its first
     ``max_length`` pieces, from message rows.
 
-    Pieces never cross a message border of the template, so they are cut per message
-    before the shuffle. Every message has at least one piece, so positions from
-    ``max_length`` on cannot reach the kept prefix: they are counted, not collected.
-    One shuffle by conversation, combined on the map side; no conversation ever sits
-    in one place as a whole. Positions count from 0 without gaps.
+    Pieces never cross a message border of the template, so messages are counted one by
+    one. Every message has at least one piece, so positions from ``max_length`` on
+    cannot reach the kept prefix: they are counted, not collected. One shuffle by
+    conversation, combined on the map side; no conversation ever sits in one place as a
+    whole. Texts travel rather than pieces, which take several times the room; of a
+    message with more than ``max_length`` pieces only these travel, joined by blanks,
+    and split to the same pieces again. Positions count from 0 without gaps.
     """
-    cut = spread(rows, "conv_id", "turn").select(
-        "conv_id", "turn", pieces(render_message(F.col("role"), F.col("text"))).alias("p")
+    rendered = spread(rows, "conv_id", "turn").select(
+        "conv_id", "turn", render_message(F.col("role"), F.col("text")).alias("x")
     )
-    head = F.when(F.col("turn") < max_length, F.struct("turn", F.slice("p", 1, max_length).alias("p")))
-    grouped = cut.groupBy("conv_id").agg(
+    counted = rendered.withColumn("n", F.regexp_count("x", F.lit(PIECE_PATTERN)))
+    long = F.array_join(truncate(pieces("x"), max_length), " ")
+    text = F.when(F.col("n") <= max_length, F.col("x")).otherwise(long)
+    head = F.when(F.col("turn") < max_length, F.struct("turn", text.alias("x")))
+    grouped = counted.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("n_messages"),
-        F.sum(F.size("p").cast("long")).alias("n_tokens"),
+        F.sum(F.col("n").cast("long")).alias("n_tokens"),
         F.array_sort(F.collect_list(head)).alias("head"),
     )
-    kept = F.slice(F.flatten(F.transform("head", lambda h: h["p"])), 1, max_length)
-    return grouped.select("conv_id", "n_messages", "n_tokens", kept.alias("pieces"))
+    joined = F.array_join(F.transform("head", lambda h: h["x"]), "\n")
+    return grouped.select(
+        "conv_id", "n_messages", "n_tokens", truncate(pieces(joined), max_length).alias("pieces")
+    )
 
 
 def rendered_rows(canonical: DataFrame, keep: tuple[str, ...] = ("src_ord", "row_ord"),

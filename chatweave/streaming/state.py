@@ -25,24 +25,27 @@ class ResponseText(StatefulProcessor):
     """Holds the tokens of a response until its last one has come and none is missing."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tokens = handle.getMapState("tokens", "seq int", "token string")
-        self.length = handle.getValueState("length", "n int")
+        self.tokens = handle.getListState("tokens", "seq int, token string")
+        self.progress = handle.getValueState("progress", "held int, length int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            for seq, token, last in zip(batch["seq"], batch["token"], batch["is_last"]):
-                self.tokens.updateValue((int(seq),), (token,))
-                if last:
-                    self.length.update((int(seq) + 1,))
-        if not self.length.exists():
+        batch = pd.concat(list(rows))
+        new = list(zip(batch["seq"].tolist(), batch["token"].tolist()))
+        known = self.progress.exists()
+        held, length = self.progress.get() if known else (0, -1)
+        ends = batch.loc[batch["is_last"], "seq"]
+        length = int(ends.iloc[0]) + 1 if len(ends) else length
+        if held + len(new) != length:
+            # State is touched once per micro-batch, whatever the number of tokens.
+            self.tokens.appendList(new)
+            self.progress.update((held + len(new), length))
             return
-        held = {k[0]: v[0] for k, v in self.tokens.iterator()}
-        n = self.length.get()[0]
-        if len(held) == n:
+        if known:
+            new += [tuple(x) for x in self.tokens.get()]
             self.tokens.clear()
-            self.length.clear()
-            text = "".join(held[i] for i in range(n))
-            yield pd.DataFrame({"id": [key[0]], "text": [text], "n_tokens": [n]})
+            self.progress.clear()
+        text = "".join(token for _, token in sorted(new))
+        yield pd.DataFrame({"id": [key[0]], "text": [text], "n_tokens": [length]})
 
     def close(self) -> None:
         pass
@@ -51,7 +54,7 @@ class ResponseText(StatefulProcessor):
 def responses(tokens: DataFrame) -> DataFrame:
     """Full texts from a stream of token rows, one row per finished response.
 
-    Tokens may arrive in any order and in any number of micro-batches.
+    Tokens may arrive in any order and in any number of micro-batches, each once.
     """
     return tokens.groupBy("id").transformWithStateInPandas(
         statefulProcessor=ResponseText(),

@@ -107,7 +107,7 @@ def nest_messages(
     item = F.struct(
         F.col(position).alias("p"), F.col(role).alias("role"), F.col(content).alias("content")
     )
-    nested = rows.groupBy(F.col(group), part).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    nested = rows.groupBy(F.col(group), part).agg(F.sort_array(F.collect_list(item)).alias("items"))
     return nested.select(
         group, "part",
         F.transform(

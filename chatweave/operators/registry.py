@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatweave.operators.joins import bounded_broadcast
+
 # Model keys, their ids and the two default keys.
 MODELS = {
     "14b": "Qwen/Qwen2.5-Coder-14B-Instruct",
@@ -18,21 +20,12 @@ LARGE_MARK = "32b"
 LARGE_BATCH = 56
 OTHER_BATCH = 72
 
-# Most rows a registry may have and still be broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def registry_table(spark: SparkSession, models: dict[str, str] | None = None) -> DataFrame:
     rows = list((models or MODELS).items())
     return spark.createDataFrame(rows, "key string, model string")
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast if it really is small, else leave the choice
-    of join to Spark."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def lookup_model(df: DataFrame, key: str, registry: DataFrame, default: str) -> DataFrame:
     """Add ``model``; an unknown key gets the model of the ``default`` key."""
     fallback = registry.filter(F.col("key") == default).first()

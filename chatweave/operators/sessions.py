@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from chatweave.functions.messages import message, system_prefix
 from chatweave.functions.text import classify_command, command_argument, strip
+from chatweave.operators.joins import bounded_broadcast
 from chatweave.operators.ordered import CHUNK, Running, running, running_in_one_chunk, span_chunks
 from chatweave.schemas import MESSAGES
 from chatweave.session import cut_lineage
@@ -54,6 +55,7 @@ def _split(inputs: DataFrame, span: int) -> tuple[DataFrame, DataFrame | None]:
     ids = long_sessions(inputs, span)
     if ids is None:
         return inputs, None
+    ids = bounded_broadcast(ids)
     return inputs.join(ids, "conv_id", "left_anti"), inputs.join(ids, "conv_id", "left_semi")
 
 
@@ -93,6 +95,11 @@ def _turns(inputs: DataFrame, default_system: str, span: int, chunked: bool) ->
     )
 
 
+def _pair() -> Column:
+    """The two messages an answered input adds to the history."""
+    return F.array(message("user", "u"), message("assistant", "reply")).cast(MESSAGES)
+
+
 def _recent_pairs(turns: DataFrame, pairs: int) -> DataFrame:
     """Add ``past``: the last answered pairs before each turn within its chunk.
 
@@ -100,8 +107,8 @@ def _recent_pairs(turns: DataFrame, pairs: int) -> DataFrame:
     count ``k`` of answered inputs; failed ones between them do not shorten it.
     """
     recent = Window.partitionBy("conv_id", CHUNK, "epoch").orderBy("k").rangeBetween(-pairs, -1)
-    pair = F.when(F.col("reply").isNotNull(), F.struct("k", "epoch", "u", "reply"))
-    return turns.withColumn("past", F.array_sort(F.collect_list(pair).over(recent)))
+    pair = F.when(F.col("reply").isNotNull(), _pair())
+    return turns.withColumn("past", F.collect_list(pair).over(recent))
 
 
 def _add_earlier_chunks(turns: DataFrame, held: DataFrame, pairs: int) -> DataFrame:
@@ -115,23 +122,25 @@ def _add_earlier_chunks(turns: DataFrame, held: DataFrame, pairs: int) -> DataFr
         turns.filter(F.col("reply").isNotNull())
         .withColumn("_n", F.row_number().over(newest))
         .filter(F.col("_n") <= pairs)
-        .select("conv_id", F.col("k").alias("pk"), F.col("epoch").alias("pe"), "u", "reply")
+        .select("conv_id", F.col("k").alias("pk"), F.col("epoch").alias("pe"), _pair().alias("pair"))
     )
     starts = turns.filter(F.col(CHUNK) > 0).groupBy("conv_id", CHUNK).agg(F.min("k").alias("k0"))
     wanted = starts.filter(F.col("k0") > 0).select(
-        "conv_id", CHUNK,
+        "conv_id", CHUNK, "k0",
         F.explode(F.sequence(F.greatest(F.col("k0") - pairs, F.lit(0)), F.col("k0") - 1)).alias("pk"),
     )
-    item = F.struct(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "u", "reply")
+    item = F.struct(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "pair")
     carried = (
         wanted.join(carriers, ["conv_id", "pk"])
         .groupBy("conv_id", CHUNK)
-        .agg(F.array_sort(F.collect_list(item)).alias("halo"))
+        .agg(F.sort_array(F.collect_list(item)).alias("halo"), F.first("k0").alias("k0"))
     )
     epoch, k = F.col("epoch"), F.col("k")
     usable = F.filter(F.col("halo"), lambda h: (h["epoch"] == epoch) & (h["k"] >= k - pairs))
+    # Only the first turns of a chunk look back beyond it.
+    earlier = F.when(k - F.lit(pairs) < F.col("k0"), F.transform(usable, lambda h: h["pair"]))
     return held.join(carried, ["conv_id", CHUNK], "left").withColumn(
-        "past", F.concat(F.coalesce(usable, F.slice("past", 1, 0)), F.col("past"))
+        "past", F.concat(F.coalesce(earlier, F.slice("past", 1, 0)), F.col("past"))
     )
 
 
@@ -151,14 +160,9 @@ def turn_context(
     if long is not None:
         turns = cut_lineage(_turns(long, default_system, span, chunked=True))
         whole = _add_earlier_chunks(turns, _recent_pairs(turns, pairs), pairs)
-        held = held.unionByName(whole.drop("halo"))
-    history = F.flatten(
-        F.transform(
-            F.col("past"), lambda h: F.array(message("user", h["u"]), message("assistant", h["reply"]))
-        )
-    ).cast(MESSAGES)
+        held = held.unionByName(whole.drop("halo", "k0"))
     messages = F.concat(
-        system_prefix("sys"), history, F.array(message("user", F.col("u"))).cast(MESSAGES)
+        system_prefix("sys"), F.flatten("past"), F.array(message("user", "u")).cast(MESSAGES)
     )
     return held.select("conv_id", "turn", messages.alias("messages"))
 

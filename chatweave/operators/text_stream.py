@@ -18,7 +18,7 @@ def accumulate_tokens(tokens: DataFrame, key: str = "id", seq: str = "seq", toke
     part = whole_div(seq, part_size).alias("part")
 
     def joined(order: str, text: str):
-        items = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text).alias("x"))))
+        items = F.sort_array(F.collect_list(F.struct(F.col(order), F.col(text).alias("x"))))
         return F.array_join(F.transform(items, lambda i: i["x"]), "")
 
     parts = tokens.groupBy(key, part).agg(joined(seq, token).alias("x"), F.count(F.lit(1)).alias("n"))

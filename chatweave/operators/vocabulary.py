@@ -123,7 +123,7 @@ def _lookup_by_join(
         key, "_pos", F.coalesce(right, missing).alias("_v")
     )
     rebuilt = found.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_v"))), lambda x: x["_v"]).alias("_new")
+        F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_v"))), lambda x: x["_v"]).alias("_new")
     )
     # Rows with empty arrays have no items, hence the outer join.
     empty = F.when(F.col(column).isNotNull(), F.slice(F.array(missing), 1, 0))

@@ -49,7 +49,7 @@ def conversation_tokens(rows: DataFrame, max_length: int = TRAIN_MAX_LENGTH) ->
     grouped = counted.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.sum(F.col("n").cast("long")).alias("n_tokens"),
-        F.array_sort(F.collect_list(head)).alias("head"),
+        F.sort_array(F.collect_list(head)).alias("head"),
     )
     joined = F.array_join(F.transform("head", lambda h: h["x"]), "\n")
     return grouped.select(

@@ -9,8 +9,8 @@ from chatweave.catalog import derived as d
 from chatweave.catalog import query
 from chatweave.functions.messages import last_messages, prompt_messages, render
 from chatweave.functions.text import base_name, is_blank, preview, strip
+from chatweave.operators import ordered
 from chatweave.operators.canonical import canonical_chats, canonical_pairs, mix_sources, nest_messages
-from chatweave.operators.ordered import enumerate_rows
 from chatweave.plans.prepare import conversation_tokens, prepare_dataset, rendered_rows
 from chatweave.session import scratch_path
 from chatweave.sources.tables import (
@@ -68,10 +68,8 @@ def sft_prepare(spark: Spark, folder: str) -> DataFrame:
 
 @query("head_slice", "SELECT doc_id, md5(text) AS text_md5 FROM documents ORDER BY doc_id LIMIT 700")
 def head_slice(spark: Spark, folder: str) -> DataFrame:
-    from chatweave.operators.ordered import head_slice as take
-
     # The route for large prefixes, whatever the size here.
-    head = take(d.documents(spark, folder), ["doc_id"], 700, in_one_task=0)
+    head = ordered.head_slice(d.documents(spark, folder), ["doc_id"], 700, in_one_task=0)
     return head.select("doc_id", F.md5("text").alias("text_md5"))
 
 
@@ -284,7 +282,7 @@ FROM conversations WHERE role = 'user'
 def enumerate_prompts(spark: Spark, folder: str) -> DataFrame:
     users = d.conversations(spark, folder).filter(F.col("role") == "user")
     narrow = users.select("conv_id", "turn", F.md5("text").alias("text_md5"))
-    return enumerate_rows(narrow, ["conv_id", "turn"])
+    return ordered.enumerate_rows(narrow, ["conv_id", "turn"])
 
 
 @query("jsonl_roundtrip", f"""
@@ -353,10 +351,8 @@ WITH {SHARDS_SQL}
 SELECT doc_id, bytes, bytes_before, bytes_before // {SHARD_BYTES} AS shard FROM placed
 """)
 def byte_shards(spark: Spark, folder: str) -> DataFrame:
-    from chatweave.operators.ordered import byte_shards as assign
-
     sizes = d.documents(spark, folder).select("doc_id", F.octet_length("text").cast("long").alias("bytes"))
-    return assign(sizes, "doc_id", "bytes", SHARD_BYTES)
+    return ordered.byte_shards(sizes, "doc_id", "bytes", SHARD_BYTES)
 
 
 @query("sharded_write", f"""

@@ -103,14 +103,16 @@ m AS (
     ['rank', 'label', 'device', 'used', 'total']) AS x
   FROM lines WHERE line LIKE '%[MEM:%')
 SELECT CAST(epoch(date_trunc('day', ingest_ts)) AS BIGINT) AS day_start, CAST(x.rank AS INTEGER) AS rank, x.label AS label,
-  x.device AS device, max(CAST(replace(x.used, ',', '') AS BIGINT)) AS peak_mb, count(*) AS n_lines
+  x.device AS device, max(CAST(replace(x.used, ',', '') AS BIGINT)) AS peak_mb,
+  arg_max(CAST(replace(x.used, ',', '') AS BIGINT), (ingest_ts, CAST(replace(x.used, ',', '') AS BIGINT))) AS last_mb,
+  count(*) AS n_lines
 FROM m GROUP BY 1, 2, 3, 4
 """
 
 
 def _peaks(df: DataFrame) -> DataFrame:
     return df.select(
-        F.unix_timestamp("window_start").alias("day_start"), "rank", "label", "device", "peak_mb", "n_lines"
+        F.unix_timestamp("window_start").alias("day_start"), "rank", "label", "device", "peak_mb", "last_mb", "n_lines"
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatweave.catalog import derived as d
 from chatweave.catalog import query
-from chatweave.functions.tokens import attention_mask, byte_ids, new_tokens, pieces, truncate
+from chatweave.functions.tokens import byte_ids, new_tokens, pieces, truncate
 from chatweave.operators.vocabulary import (
     SPECIALS,
     UNK_ID,

@@ -138,12 +138,26 @@ def range_chunks(df: DataFrame, keys: Sequence[str | Column], partitions: int |
 def global_index(
     df: DataFrame, keys: Sequence[str], name: str = "idx", partitions: int | None = None
 ) -> DataFrame:
-    """0-based position of each row in the order of ``keys`` (unique)."""
-    chunked = range_chunks(df, keys, partitions)
-    counted = running(
-        chunked, [], keys, {name: Running("sum", F.lit(1).cast("long"), inclusive=False)}
+    """0-based position of each row in the order of ``keys`` (unique).
+
+    Rows are range-partitioned, sorted and numbered inside their partition in one go,
+    then materialised like ``range_chunks``; the offsets of the partitions are one
+    small row each. One shuffle in all.
+    """
+    args = [partitions] if partitions else []
+    in_order = df.repartitionByRange(*args, *keys).sortWithinPartitions(*keys)
+    # The lower 33 bits of the generated id count the rows of a partition.
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = cut_lineage(
+        in_order.withColumn(CHUNK, F.spark_partition_id()).withColumn("_position", position)
+    )
+    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select(CHUNK, _sum_or_zero(F.sum("_size").over(before)).alias("_offset"))
+    found = placed.join(F.broadcast(offsets), CHUNK)
+    return found.withColumn(name, F.col("_offset") + F.col("_position")).drop(
+        CHUNK, "_position", "_offset"
     )
-    return counted.drop(CHUNK)
 
 
 def enumerate_rows(

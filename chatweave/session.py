@@ -27,6 +27,7 @@ def build_session(app: str = "chatweave", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.compress": "true",
         # Files of a lineage cut go when nothing refers to it any more.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,

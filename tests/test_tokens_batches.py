@@ -104,6 +104,17 @@ def test_batches(spark, n, ranks, batch, acc):
         assert {r["width"] for r in rows} == {max(r["length"] for r in rows)}
 
 
+def test_without_wrap_ranks_may_be_short(spark):
+    plan = b.batch_plan(spark.range(10).withColumn("n", F.lit(1)), "id", "n", b.Layout(4, 2), seed=3, wrap=False)
+    counts = sorted(r["count"] for r in plan.groupBy("rank").count().collect())
+    assert counts == [2, 2, 3, 3] and plan.count() == 10
+
+
+def test_digits_are_bounded(spark):
+    with pytest.raises(ValueError):
+        b.seeded_order(spark.range(3), "id", 1, digits=5)
+
+
 def test_padding_and_writing(spark, tmp_path):
     rows = [(i, list(range(i + 1))) for i in range(10)]
     df = spark.createDataFrame(rows, "k int, ids array<int>")

@@ -17,11 +17,12 @@ TOP_P = 0.9
 GROUP_LIMIT = 1_000
 
 
-def _in_chunks(cands: DataFrame, values: dict[str, Running], partitions: int | None) -> DataFrame:
-    """Running values from the best candidate down, for groups of any size."""
-    ordered = cands.withColumn("_order", -F.col("score"))
-    chunked = range_chunks(ordered, ["group_id", "_order", "cand"], partitions)
-    return running(chunked, ["group_id"], ["_order", "cand"], values).drop("_order", CHUNK)
+def _ranks_in_chunks(cands: DataFrame, partitions: int | None) -> DataFrame:
+    """Rank from the best candidate down, for groups of any size."""
+    order = ["_order", "cand"]
+    chunked = range_chunks(cands.withColumn("_order", -F.col("score")), ["group_id", *order], partitions)
+    rank = {"rank": Running("sum", F.lit(1).cast("long"))}
+    return running(chunked, ["group_id"], order, rank).drop("_order", CHUNK)
 
 
 def top_k(cands: DataFrame, k: int = TOP_K, partitions: int | None = None) -> DataFrame:
@@ -31,8 +32,7 @@ def top_k(cands: DataFrame, k: int = TOP_K, partitions: int | None = None) -> Da
     before the shuffle. For a large one, groups are split into range chunks.
     """
     if k > GROUP_LIMIT:
-        rank = {"rank": Running("sum", F.lit(1).cast("long"))}
-        ranked = _in_chunks(cands, rank, partitions).withColumn("rank", F.col("rank").cast("int"))
+        ranked = _ranks_in_chunks(cands, partitions).withColumn("rank", F.col("rank").cast("int"))
     else:
         best = Window.partitionBy("group_id").orderBy(F.desc("score"), "cand")
         ranked = cands.withColumn("rank", F.row_number().over(best))
@@ -50,18 +50,26 @@ def _nucleus_of_top_k(cands: DataFrame, k: int) -> DataFrame:
 
 
 def _nucleus_of_all(cands: DataFrame, partitions: int | None) -> DataFrame:
-    """Nucleus over groups of any size: running mass by range chunks."""
-    peak = cands.groupBy("group_id").agg(F.max("score").alias("peak"))
-    weighted = cands.join(peak, "group_id").withColumn("w", F.exp(F.col("score") - F.col("peak")))
-    total = weighted.groupBy("group_id").agg(F.sum("w").alias("total"))
-    scaled = weighted.join(total, "group_id").select(
-        "group_id", "cand", "score", (F.col("w") / F.col("total")).alias("prob")
-    )
+    """Nucleus over groups of any size.
+
+    Groups are split into range chunks first; every join after that is on (group,
+    chunk), so no step gathers a large group.
+    """
+    key, order = ["group_id", CHUNK], ["_order", "cand"]
+    chunked = range_chunks(cands.withColumn("_order", -F.col("score")), ["group_id", *order], partitions)
+    tops = chunked.groupBy(*key).agg(F.max("score").alias("top"))
+    peaks = tops.select(*key, F.max("top").over(Window.partitionBy("group_id")).alias("peak"))
+    weighted = chunked.join(peaks, key).withColumn("w", F.exp(F.col("score") - F.col("peak")))
     values = {
-        "before": Running("sum", F.col("prob"), inclusive=False),
+        "mass": Running("sum", F.col("w"), inclusive=False),
         "rank": Running("sum", F.lit(1).cast("long")),
     }
-    return _in_chunks(scaled, values, partitions)
+    summed = running(weighted, ["group_id"], order, values, totals=["mass"])
+    total = F.col("mass_total")
+    return summed.select(
+        "group_id", "cand", "score", "rank", (F.col("w") / total).alias("prob"),
+        (F.col("mass") / total).alias("before"),
+    )
 
 
 def nucleus(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatweave.functions.messages import message, system_prefix
+from chatweave.functions.numbers import whole_div
 from chatweave.functions.text import classify_command, command_argument, strip
 from chatweave.operators.joins import bounded_broadcast
 from chatweave.operators.ordered import CHUNK, Running, running, running_in_one_chunk, span_chunks
@@ -41,26 +42,31 @@ def _answered() -> Column:
 
 
 def long_sessions(inputs: DataFrame, span: int = SPAN) -> DataFrame | None:
-    """Ids of sessions that reach beyond their first chunk, or None if there are none.
+    """All chunks (session, chunk) of sessions that reach beyond their first one, or
+    None if there are none.
 
     The bound on the position reaches the scan, so on ordinary data this reads next
-    to nothing. The ids are materialised, as later steps look them up again.
+    to nothing. Chunks rather than sessions are listed, so that inputs meet them on a
+    key that no session dominates. The list is materialised, as later steps look it up
+    again.
     """
-    ids = cut_lineage(inputs.filter(F.col("turn") >= span).select("conv_id").distinct())
-    return None if ids.isEmpty() else ids
+    last = inputs.filter(F.col("turn") >= span).groupBy("conv_id").agg(F.max("turn").alias("last"))
+    numbers = F.sequence(F.lit(0).cast("long"), whole_div("last", span))
+    chunks = cut_lineage(last.select("conv_id", F.explode(numbers).alias(CHUNK)))
+    return None if chunks.isEmpty() else chunks
 
 
 def _split(inputs: DataFrame, span: int) -> tuple[DataFrame, DataFrame | None]:
-    """Inputs of sessions within one chunk, and those of longer sessions if any."""
-    ids = long_sessions(inputs, span)
-    if ids is None:
-        return inputs, None
-    ids = bounded_broadcast(ids)
-    return inputs.join(ids, "conv_id", "left_anti"), inputs.join(ids, "conv_id", "left_semi")
+    """Chunked inputs of sessions within one chunk, and those of longer ones if any."""
+    rows, chunks = span_chunks(inputs, "turn", span), long_sessions(inputs, span)
+    if chunks is None:
+        return rows, None
+    chunks, key = bounded_broadcast(chunks), ["conv_id", CHUNK]
+    return rows.join(chunks, key, "left_anti"), rows.join(chunks, key, "left_semi")
 
 
-def _state(inputs: DataFrame, default_system: str, span: int, chunked: bool) -> DataFrame:
-    rows = span_chunks(read_inputs(inputs), "turn", span)
+def _state(inputs: DataFrame, default_system: str, chunked: bool) -> DataFrame:
+    rows = read_inputs(inputs)
     values = {
         "exits": Running("sum", (F.col("cmd") == "exit").cast("long")),
         "epoch": Running("sum", F.col("cmd").isin("clear", "system").cast("long")),
@@ -79,8 +85,8 @@ def session_state(inputs: DataFrame, default_system: str = DEFAULT_SYSTEM, span:
     Sessions within one chunk take plain windows; longer ones are split into chunks.
     """
     short, long = _split(inputs, span)
-    state = _state(short, default_system, span, chunked=False)
-    return state if long is None else state.unionByName(_state(long, default_system, span, chunked=True))
+    state = _state(short, default_system, chunked=False)
+    return state if long is None else state.unionByName(_state(long, default_system, chunked=True))
 
 
 def open_inputs(state: DataFrame) -> DataFrame:
@@ -88,8 +94,8 @@ def open_inputs(state: DataFrame) -> DataFrame:
     return state.filter(F.col("exits") == 0)
 
 
-def _turns(inputs: DataFrame, default_system: str, span: int, chunked: bool) -> DataFrame:
-    state = open_inputs(_state(inputs, default_system, span, chunked))
+def _turns(inputs: DataFrame, default_system: str, chunked: bool) -> DataFrame:
+    state = open_inputs(_state(inputs, default_system, chunked))
     return state.filter(F.col("cmd") == "turn").select(
         "conv_id", "turn", CHUNK, "epoch", "sys", "k", "u", "reply"
     )
@@ -156,9 +162,9 @@ def turn_context(
     """
     pairs = max_messages // 2
     short, long = _split(inputs, span)
-    held = _recent_pairs(_turns(short, default_system, span, chunked=False), pairs)
+    held = _recent_pairs(_turns(short, default_system, chunked=False), pairs)
     if long is not None:
-        turns = cut_lineage(_turns(long, default_system, span, chunked=True))
+        turns = cut_lineage(_turns(long, default_system, chunked=True))
         whole = _add_earlier_chunks(turns, _recent_pairs(turns, pairs), pairs)
         held = held.unionByName(whole.drop("halo", "k0"))
     messages = F.concat(

@@ -17,6 +17,7 @@ from chatweave.sources.tables import (
     materialise,
     publish,
     read_columns,
+    read_in_storage_order,
     read_jsonl,
     read_prefix,
     read_table,
@@ -81,6 +82,19 @@ def head_slice_small(spark: Spark, folder: str) -> DataFrame:
     return head.select("conv_id", "turn", F.md5("text").alias("text_md5"))
 
 
+@query("storage_prefix", """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_ord, doc_id, md5(text) AS text_md5
+FROM documents ORDER BY doc_id LIMIT 150
+""")
+def storage_prefix(spark: Spark, folder: str) -> DataFrame:
+    # Files hold consecutive key ranges, so storage order is key order.
+    path = scratch_path(spark, "stored")
+    docs = d.documents(spark, folder).select("doc_id", "text")
+    docs.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    rows = read_in_storage_order(spark, path, 150)
+    return rows.select("row_ord", "doc_id", F.md5("text").alias("text_md5"))
+
+
 @query("row_counts", """
 SELECT 'conversations' AS tbl, count(*) AS n FROM conversations
 UNION ALL SELECT 'documents', count(*) FROM documents

@@ -8,7 +8,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from chatweave.operators.joins import bounded_broadcast
 from chatweave.operators.ordered import byte_shards, head_slice
 from chatweave.schemas import CHAT_ROWS
 
@@ -22,6 +24,38 @@ def read_prefix(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return head_slice(df, keys, n)
 
 
+def read_in_storage_order(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
+    """A parquet dataset with ``row_ord``, the position of each row in storage order
+    (files by name, rows as stored), or only its first ``n`` rows.
+
+    Nothing is sorted or shuffled: rows know their place in their file, and files are
+    counted from their footers. With ``n``, files behind the last one needed are left out
+    of the scan.
+    """
+    rows = spark.read.parquet(path)
+    placed = rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    counts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    # One row per file.
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_file", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    )
+    if n is not None:
+        ends = F.col("_offset") + F.col("_size")
+        last = offsets.filter(ends >= n).agg(F.min("_file").alias("f")).first()["f"]
+        if last is not None:
+            placed = placed.filter(F.col("_file") <= last)
+            offsets = offsets.filter(F.col("_file") <= last)
+    found = placed.join(bounded_broadcast(offsets), "_file").withColumn(
+        "row_ord", F.col("_offset") + F.col("_row")
+    )
+    if n is not None:
+        found = found.filter(F.col("row_ord") < n)
+    return found.select("row_ord", *rows.columns)
+
+
 def write_jsonl(df: DataFrame, path: str, order: Sequence[str] = (), mode: str = "errorifexists") -> None:
     """One ``{"messages": ...}`` object per line; null contents are written as null.
 

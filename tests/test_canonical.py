@@ -14,6 +14,7 @@ from chatweave.sources.tables import (
     materialise,
     path_exists,
     publish,
+    read_in_storage_order,
     read_jsonl,
     require_path,
     write_jsonl,
@@ -121,6 +122,17 @@ def test_head_slice(spark, n, in_one_task, partitions):
     assert got == sorted(rows)[:n]
 
 
+@pytest.mark.parametrize("n", [0, 1, 12, 25, 26, 99, None])
+def test_storage_order(spark, tmp_path, n):
+    path = str(tmp_path / "s")
+    for low in range(0, 40, 10):
+        # Names in order: each append sorts behind the earlier ones only by its prefix.
+        spark.range(low, low + 10).coalesce(1).write.parquet(f"{path}/part={low:02d}")
+    rows = read_in_storage_order(spark, f"{path}/*", n).collect()
+    want = 40 if n is None else min(n, 40)
+    assert sorted((r["row_ord"], r["id"]) for r in rows) == [(i, i) for i in range(want)]
+
+
 def test_nest_in_parts(spark):
     rows = [(1, t, "user", f"m{t}") for t in range(10)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)

@@ -16,6 +16,7 @@ from chatweave.operators import sampling as s
 from chatweave.operators.inference import GenerationOptions, batched_map, infer
 from chatweave.operators.ordered import byte_shards, enumerate_rows
 from chatweave.operators.vocabulary import decode, encode, fit_vocabulary
+from chatweave.plans.artifacts import artifact_report
 from chatweave.plans.prepare import conversation_tokens, encoded_rows, run_prepare
 from chatweave.plans.training import training_batches, write_batches
 from chatweave.schemas import DEVICE_INFO
@@ -249,6 +250,20 @@ def test_artifact_folders(spark, tmp_path):
     assert "| Rank (r) | 8 |" in rows["a1"]["card"]
 
 
+def test_artifact_report(spark, tmp_path):
+    for name, files in (("a1", ["adapter_model.safetensors"]), ("a2", [])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "adapter_config.json").write_text('{"r": 4}')
+        for f in files:
+            (tmp_path / name / f).write_bytes(b"x" * 100)
+    files = list_artifacts(spark, str(tmp_path / "*"))
+    configs = read_configs(spark, str(tmp_path / "*/adapter_config.json"))
+    rows = {r["artifact"]: r for r in artifact_report(files, configs).collect()}
+    assert rows["a1"]["ready"] and rows["a1"]["n_files"] == 2 and rows["a1"]["total_bytes"] == 108
+    assert not rows["a2"]["ready"] and rows["a2"]["missing"] == ["adapter_model.safetensors"]
+    assert "| Rank (r) | 4 |" in rows["a1"]["card"]
+
+
 def test_config_wins_over_given_base(spark):
     adapters = spark.createDataFrame([("a", "m1"), ("b", None)], "artifact string, base_model_name_or_path string")
     bases = spark.createDataFrame([("m1", 1), ("m2", 2)], "base_model string, size int")

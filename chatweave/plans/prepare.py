@@ -20,7 +20,7 @@ from chatweave.functions.tokens import (
 from chatweave.operators.canonical import canonical_chats, canonical_pairs, mix_sources
 from chatweave.operators.vocabulary import encode
 from chatweave.session import spread
-from chatweave.sources.tables import read_prefix, write_columns
+from chatweave.sources.tables import read_in_storage_order, read_prefix, write_columns
 
 # Rows taken from the two sources.
 PAIR_ROWS = 800_000
@@ -93,19 +93,34 @@ def write_counted(df: DataFrame, path: str, mode: str = "errorifexists") -> Writ
 
 
 def prepare_dataset(
-    pairs: DataFrame, chats: DataFrame, pair_rows: int = PAIR_ROWS, chat_rows: int = CHAT_ROWS,
-    default_system: str | None = None,
+    pairs: DataFrame, chats: DataFrame, pair_rows: int | None = PAIR_ROWS,
+    chat_rows: int | None = CHAT_ROWS, default_system: str | None = None,
 ) -> DataFrame:
     """Slice, canonicalise, concatenate and render the two sources.
 
-    Both have a ``row_ord`` key. One lazy plan; rows get ``key`` = source and row.
+    Both have a ``row_ord`` key; a row count of None takes a source as it is. Rows get
+    ``key`` = source and row.
     """
-    first = canonical_pairs(read_prefix(pairs, ["row_ord"], pair_rows), keep=("row_ord",))
-    second = canonical_chats(read_prefix(chats, ["row_ord"], chat_rows), keep=("row_ord",))
+
+    def prefix(source: DataFrame, n: int | None) -> DataFrame:
+        return source if n is None else read_prefix(source, ["row_ord"], n)
+
+    first = canonical_pairs(prefix(pairs, pair_rows), keep=("row_ord",))
+    second = canonical_chats(prefix(chats, chat_rows), keep=("row_ord",))
     text = rendered_rows(mix_sources(first, second), default_system=default_system)
     return text.withColumn("key", F.concat_ws("-", "src_ord", "row_ord"))
 
 
+def prepare_from_files(
+    spark: SparkSession, pairs: str, chats: str, pair_rows: int = PAIR_ROWS, chat_rows: int = CHAT_ROWS,
+    default_system: str | None = None,
+) -> DataFrame:
+    """The same from two parquet paths, cut in storage order."""
+    first = read_in_storage_order(spark, pairs, pair_rows)
+    second = read_in_storage_order(spark, chats, chat_rows)
+    return prepare_dataset(first, second, None, None, default_system)
+
+
 def run_prepare(
     spark: SparkSession, pairs: DataFrame, chats: DataFrame, vocab: DataFrame, path: str,
     **options,

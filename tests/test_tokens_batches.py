@@ -17,7 +17,7 @@ from chatweave.operators.inference import GenerationOptions, batched_map, infer
 from chatweave.operators.ordered import byte_shards, enumerate_rows
 from chatweave.operators.vocabulary import decode, encode, fit_vocabulary
 from chatweave.plans.artifacts import artifact_report
-from chatweave.plans.prepare import conversation_tokens, encoded_rows, run_prepare
+from chatweave.plans.prepare import conversation_tokens, encoded_rows, prepare_from_files, run_prepare
 from chatweave.plans.training import training_batches, write_batches
 from chatweave.schemas import DEVICE_INFO
 from chatweave.sources.artifacts import list_artifacts, read_configs
@@ -316,6 +316,10 @@ def test_prepare_job(spark, tmp_path):
 
     text = prepare_dataset(pairs, chats, 15, 200)
     assert text.count() == 20
+    for name, df in (("p", pairs), ("c", chats)):
+        df.drop("row_ord").coalesce(1).write.parquet(str(tmp_path / name))
+    same = prepare_from_files(spark, str(tmp_path / "p"), str(tmp_path / "c"), 15, 200)
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, text.collect()))
     vocab = fit_vocabulary(text.select(tk.pieces("text").alias("p")), "p", 100)
     report = run_prepare(spark, pairs, chats, vocab, str(tmp_path / "d"), pair_rows=15, chat_rows=200)
     assert report.rows == 20 and report.seconds > 0 and report.rows_per_second > 0

@@ -94,10 +94,11 @@ def pad_batches(tokens: DataFrame, plan: DataFrame, key: str, ids: str, pad: int
     """Join the plan to the token rows and pad each row to the width of its batch.
 
     Widths come from the narrow plan, so token arrays are shuffled once, by a unique
-    key.
+    key. Token files are far smaller than the arrays in them, hence the hint against
+    broadcasting them by file size.
     """
     width = F.col("width")
-    joined = plan.join(tokens.select(key, ids), key)
+    joined = plan.join(tokens.select(key, ids).hint("merge"), key)
     return joined.select(
         key, "rank", "step", "micro", "slot", "length", "width",
         padded(ids, width, pad).alias("input_ids"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatweave.llm.queries import native
+from chatweave.llm.queries import native, texts
 
-MODULES = (native,)
+MODULES = (native, texts)
 
 
 def queries() -> dict:

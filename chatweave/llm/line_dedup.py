@@ -46,7 +46,8 @@ class Runs:
 
     def __init__(self, spark: SparkSession, fanout: int = 4):
         self.spark, self.fanout = spark, fanout
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Runs hold repeated keys only, a small part of what a shuffle holds.
+        self.buckets = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
         self.name = f"line_runs_{uuid.uuid4().hex}"
         self.path = scratch_path(spark, "line-runs")
         self.levels: list[list[str]] = []
@@ -54,14 +55,15 @@ class Runs:
 
     def _write(self, rows: DataFrame) -> str:
         table = f"{self.name}_{self.made}"
-        (rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
-         .option("path", f"{self.path}/{self.made}").saveAsTable(table))
+        (rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
+         .option("path", f"{self.path}/{self.made}").option("compression", "none").saveAsTable(table))
         self.made += 1
         return table
 
     def add(self, batch: DataFrame) -> None:
         """Add the keys of ``batch`` (h, k, top) that no run holds yet."""
-        fresh = batch.groupBy(*KEY).agg(F.max("top").alias("top"))
+        fresh = (batch.groupBy(*KEY).agg(F.max("top").alias("top"))
+                 .repartition(self.buckets, *KEY))
         for table in sum(self.levels, []):
             fresh = fresh.join(self.spark.table(table), KEY, "left_anti")
         self._place(self._write(fresh), 0)
@@ -72,7 +74,7 @@ class Runs:
         runs = self.levels[level]
         runs.append(table)
         if len(runs) == self.fanout:
-            merged = self._write(self._union(runs).repartition(self.buckets, *KEY))
+            merged = self._write(self._union(runs))
             for old in runs:
                 self.spark.sql(f"DROP TABLE {old}")
             self.levels[level] = []
@@ -112,7 +114,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     batch = F.when(F.col("top").isNull(), F.lit(len(set(cuts)))).otherwise(batch)
     repeated = scratch_path(spark, "repeated-lines")
     (lines.join(often.select(*KEY), KEY, "left_semi").withColumn("batch", batch)
-     .write.parquet(repeated))
+     .write.option("compression", "none").parquet(repeated))
     found = spark.read.schema("h bigint, k int, top {0}, batch int".format(
         dict(rows.dtypes)["top"])).parquet(repeated)
 

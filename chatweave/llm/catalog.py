@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatweave.llm.queries import native, texts
+from chatweave.llm.queries import native, texts, tokens
 
-MODULES = (native, texts)
+MODULES = (native, texts, tokens)
 
 
 def queries() -> dict:

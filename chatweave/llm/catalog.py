@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatweave.llm.queries import native, texts, tokens
+from chatweave.llm.queries import native, search, texts, tokens
 
-MODULES = (native, texts, tokens)
+MODULES = (native, texts, tokens, search)
 
 
 def queries() -> dict:

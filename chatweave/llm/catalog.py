@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatweave.llm.queries import native, search, texts, tokens
+from chatweave.llm.queries import language, native, search, texts, tokens
 
-MODULES = (native, texts, tokens, search)
+MODULES = (native, texts, tokens, search, language)
 
 
 def queries() -> dict:

@@ -15,6 +15,7 @@ Extra columns pass through.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,9 +97,10 @@ def _chunk(key: Column, bounds: list) -> Column:
         (c - 1) * width + F.size(F.filter(F.get(table, c - 1), lambda b: b <= key)))))
 
 
-def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
-    """``docs`` with ``_next``: the columns ``carried`` of the next row by falling id; the
-    last row gets those of the first.
+def with_next(docs: DataFrame, id_col: str, carried: list[str],
+              derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``derive(docs)`` with ``_next``: its columns ``carried`` of the next row by falling id;
+    the last row gets those of the first. ``derive`` adds columns row by row, before the shuffle.
 
     Rows of one id are taken by falling first carried column, null ids come last. Ids are cut into
     chunks of about equal size (their bounds are quantiles, as many as eight times the
@@ -115,13 +117,18 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     heads = sorted(ids.groupBy(_chunk(F.col("id"), bounds).alias("chunk")).agg(
         F.max("id").alias("head")).collect(), reverse=True)
     if not heads:
-        return docs.withColumn("_next", F.lit(None).cast(docs.select(F.struct(*carried)).dtypes[0][1]))
+        full = derive(docs)
+        return full.withColumn("_next", F.lit(None).cast(full.select(F.struct(*carried)).dtypes[0][1]))
     above = [(h["head"], heads[i - 1]["chunk"]) for i, h in enumerate(heads)]
     place = F.broadcast(spark.createDataFrame(above, "_head bigint, _chunk int"))
 
-    own = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
-                      F.struct(*carried).alias("carry"))
-    first = (own.join(place, F.col("id").eqNullSafe(F.col("_head")))
+    def shaped(df: DataFrame) -> DataFrame:
+        return derive(df).select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
+                                 F.struct(*carried).alias("carry"))
+
+    own = shaped(docs)
+    heads_only = docs.join(place, F.col(id_col).cast("bigint").eqNullSafe(F.col("_head")), "left_semi")
+    first = (shaped(heads_only).join(place, F.col("id").eqNullSafe(F.col("_head")))
              .groupBy(F.col("_chunk").alias("chunk"), "id").agg(F.max("carry").alias("carry")))
     rows = (own.withColumn("chunk", _chunk(F.col("id"), bounds)).withColumn("given", F.lit(0))
             .unionByName(first.withColumn("given", F.lit(1)), allowMissingColumns=True))

@@ -11,8 +11,7 @@ from chatweave.llm import fingerprint, secrets
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sketched = fingerprint.fingerprints(docs)
-    paired = fingerprint.with_next(sketched, "doc_id", ["text", "_sketch"])
+    paired = fingerprint.with_next(docs, "doc_id", ["text", "_sketch"], fingerprint.fingerprints)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = paired.withColumn("edited", F.concat(

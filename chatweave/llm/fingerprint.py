@@ -67,8 +67,10 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of ``a``'s shingles that ``b`` has; 1 for an empty ``a``."""
-    return _common(a, b, lambda p, q, both: F.when(p == 0, F.lit(1.0)).otherwise(both / p).cast("double"))
+    """Estimated share of ``a``'s shingles that ``b`` has; 1 for an empty ``a``, null where
+    both sketches are complete only below all hashes of ``a``."""
+    return _common(a, b, lambda p, q, both: F.when(F.size(a["hashes"]) == 0, F.lit(1.0)).when(
+        p > 0, both / p).cast("double"))
 
 
 def as_text(s: Column) -> Column:

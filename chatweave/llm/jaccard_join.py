@@ -4,12 +4,14 @@ A document's set is its distinct five-word shingles, as 64-bit hashes. Two docum
 when ``100 * intersection >= threshold * union``; the result is the connected groups of links.
 
 Sketches. Sets of one size band (sizes from ``4**j`` up to ``4**(j+1)``) are hashed into
-the same number of cells; a cell holds the XOR of its shingles. Each shingle that only one of
+the same number of cells, four for each shingle that the band allows; a cell holds the XOR
+of its shingles. Each shingle that only one of
 two sets has changes one cell, so the number of unequal cells is at most the symmetric
 difference. For a link the difference is at most ``(|A|+|B|)/9`` (threshold 80), which is at
-most a quarter of either set: by the pigeonhole principle at least one of the first
-``|A|/4 + 1`` filled cells of A, in any order that is the same for all documents, is also
-among those of B. These cells are the join keys. A set near the upper end of its band
+most a quarter of either set: by the pigeonhole principle the first k cells that A and B have in
+common, in any order that is the same for all documents, are among the first ``|A|/4 + k``
+filled cells of A, and likewise of B. These cells are the join keys. k is a tenth of the set, and a document that
+shares fewer of its keys with any others has no link and goes no further. A set near the upper end of its band
 also joins the next band, where partners of up to 5/4 its size are. A second
 sketch of the same kind, with one bit a cell and four bits for each shingle that the band allows,
 bounds the difference of a pair before its sets are fetched.
@@ -45,8 +47,8 @@ from chatweave.llm.components import connected
 from chatweave.session import scratch_path
 
 SIZE = 5
-CACHE = 500_000
 SLICE = 256
+PART = 1_000_000
 FREQUENT = 100_000
 COUNTED = 2_000_000
 BLOCK = 4096
@@ -62,28 +64,78 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+CODES = mix(np.arange(1, 257, dtype=np.uint64))
+CODES[ord("A"):ord("Z") + 1] = CODES[ord("a"):ord("z") + 1]
 
 
-HASHES = WordHashes()
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first places of the words of a byte string, all bytes at once."""
+    codes = np.frombuffer(data, np.uint8)
+    space = SPACES[codes]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    first = np.cumsum(sizes) - sizes
+    power = np.full(int(sizes.max()), TURN[2])
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    sums = np.add.reduceat(CODES[codes[~space]] * power[place], first)
+    return mix(sums + sizes.astype(np.uint64)), starts
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
-    words = text.encode().lower().split()
-    n = len(words)
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
+def _roll(h: np.ndarray) -> np.ndarray:
+    n = len(h) - SIZE + 1
+    return mix(sum(h[j:n + j] * TURN[j] for j in range(SIZE)))
+
+
+def _of_words(h: np.ndarray, rolled: np.ndarray | None = None) -> np.ndarray:
+    """Sorted distinct shingles of a row of word hashes."""
+    n = len(h)
     if n >= SIZE:
-        rolled = sum(h[j:n - SIZE + 1 + j] * TURN[j] for j in range(SIZE))
-        return np.unique(mix(rolled))
-    if not n:
-        return h
-    return mix(np.array([sum(int(x) * int(t) for x, t in zip(h, TURN)) + n & (1 << 64) - 1], np.uint64))
+        return np.unique(_roll(h) if rolled is None else rolled)
+    return mix((h * TURN[:n]).sum(keepdims=True) + np.uint64(n)) if n else h
+
+
+def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    waiting: list[bytes] = []
+    held = 0
+
+    def done() -> Iterator[np.ndarray]:
+        h, starts = word_hashes(b"\n".join(waiting))
+        ends = np.searchsorted(starts, np.cumsum([len(d) + 1 for d in waiting]))
+        rolled = _roll(h) if len(h) >= SIZE else h
+        at = 0
+        for end in ends.tolist():
+            yield _of_words(h[at:end], rolled[at:end - SIZE + 1] if end - at >= SIZE else None)
+            at = end
+
+    for text in texts:
+        data = text.encode()
+        if len(data) > PART:  # word by word, in parts cut at white space
+            parts, at = [], 0
+            while at < len(data):
+                stop = next((i for i in range(min(at + PART, len(data)), len(data)) if SPACES[data[i]]), len(data))
+                parts.append(word_hashes(data[at:stop])[0])
+                at = stop
+            yield from done() if waiting else ()
+            waiting, held = [], 0
+            yield _of_words(np.concatenate(parts))
+            continue
+        waiting.append(data)
+        held += len(data)
+        if held > PART:
+            yield from done()
+            waiting, held = [], 0
+    if waiting:
+        yield from done()
+
+
+def shingle_set(text: str) -> np.ndarray:
+    return next(shingle_sets([text]))
 
 
 def digest_of(shingles: np.ndarray) -> bytes:
@@ -106,20 +158,29 @@ def reach(n: int, threshold: int) -> int:
     return (100 - threshold) * (n + other) // (100 + threshold)
 
 
-def keys_of(shingles: np.ndarray, level: int, frequent: np.ndarray, threshold: int) -> np.ndarray:
-    """The join keys of a set in a size band."""
-    m = 4 ** (level + 1)
-    cell = (shingles >> np.uint64(62 - 2 * level)).astype(np.int64) if level < 31 else shingles.astype(np.int64)
+def asked(n: int) -> int:
+    """How many common cells a set of n is indexed for."""
+    return 1 + n // 10
+
+
+def keys_of(shingles: np.ndarray, level: int, frequent: np.ndarray, threshold: int) -> tuple[np.ndarray, int]:
+    """The join keys of a set in a size band, and how many of them any link shares at least."""
+    n = len(shingles)
+    cell = (shingles >> np.uint64(64 - 2 * level - 4)).astype(np.int64) if level < 30 else shingles.view(np.int64)
     starts = np.nonzero(np.r_[True, cell[1:] != cell[:-1]])[0]  # cells are runs of the sorted set
     value = np.bitwise_xor.reduceat(shingles, starts)
-    rare = np.ones(len(shingles), bool)
+    light = np.ones(len(starts), bool)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        rare = frequent[at] != shingles
-    light = np.logical_or.reduceat(rare, starts)
-    key = mix(value + cell[starts].astype(np.uint64) * TURN[0] + np.uint64(m))
-    order = np.lexsort((key, ~light))
-    return key[order[:reach(len(shingles), threshold) + 1]].view(np.int64)
+        light = np.logical_or.reduceat(frequent[at] != shingles, starts)
+    key = mix(value + cell[starts].astype(np.uint64) * TURN[0] + np.uint64(level))
+    far = reach(n, threshold)
+    keys = key[np.lexsort((key, ~light))[:far + asked(n)]]
+    # Sets with few filled cells may share none with a partner; these meet under one key.
+    if len(starts) <= 2 * reach(100 * n // threshold, threshold):
+        keys = np.r_[keys, mix(np.array([level], np.uint64))]
+    least = min(asked(-(-threshold * n // 100)), len(starts) - far)
+    return keys.view(np.int64), max(1, least) if len(starts) > 2 * reach(100 * n // threshold, threshold) else 1
 
 
 def parity_bits(shingles: np.ndarray, level: int) -> bytes:
@@ -153,7 +214,7 @@ def _members(kind: str):
 
         for part, texts in _texts(batches, 1):
             id_type = part.column(0).type
-            sets = [shingle_set(t) for t in texts]
+            sets = list(shingle_sets(texts))
             none = pa.nulls(len(sets), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
@@ -179,20 +240,20 @@ def _emit_keys(shipped, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, seen = shipped.value, set()
         for _, texts in _texts(batches, 0):
-            keys, nodes, bands = [], [], []
-            for text in texts:
-                s = shingle_set(text)
+            keys, nodes, bands, needs = [], [], [], []
+            for s in shingle_sets(texts):
                 if not len(s) or (node := node_of(digest_of(s))) in seen:
                     continue
                 seen.add(node)  # as many as documents in the task's split
                 for level in levels(len(s), threshold):
-                    k = keys_of(s, level, frequent, threshold)
+                    k, least = keys_of(s, level, frequent, threshold)
                     keys.append(k)
                     nodes.append(np.full(len(k), node, np.int64))
                     bands.append(np.full(len(k), level, np.int32))
+                    needs.append(np.full(len(k), least, np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (keys, nodes, bands)], ["key", "node", "level"])
+                    [pa.array(np.concatenate(x)) for x in (keys, nodes, bands, needs)], ["key", "node", "level", "least"])
 
     return run
 
@@ -202,8 +263,7 @@ def _emit_sets(bitmap, threshold: int):
         bits, seen = bitmap.value, set()
         for _, texts in _texts(batches, 0):
             rows = []
-            for text in texts:
-                s = shingle_set(text)
+            for s in shingle_sets(texts):
                 if not len(s):
                     continue
                 digest = digest_of(s)
@@ -295,6 +355,15 @@ def _verify(threshold: int):
     return run
 
 
+def _enough(shared: DataFrame) -> DataFrame:
+    """The rows of sets that share enough keys, of keys that still have two such sets."""
+    some = (shared.groupBy("node", "level", "least").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") >= F.col("least")).select("node", "level"))
+    left = shared.join(some, ["node", "level"], "left_semi")
+    keys = left.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    return left.join(keys.select("key"), "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
     """Per row: the id, ``n_shingles`` and ``component_id``, the least id of its group."""
     spark = docs.sparkSession
@@ -310,10 +379,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.filter(F.col("n").isNotNull()).select("id", "n", "digest")
 
     by_key = Window.partitionBy("key")
-    keyed = rows.select("text").mapInArrow(_emit_keys(spark.sparkContext.broadcast(frequent), threshold), "key bigint, node bigint, level int")
+    keyed = rows.select("text").mapInArrow(_emit_keys(spark.sparkContext.broadcast(frequent), threshold), "key bigint, node bigint, level int, least int")
     shared = (keyed.withColumns({
         "low": F.min("node").over(by_key), "high": F.max("node").over(by_key)}).filter(F.col("low") < F.col("high")))
-    shared = _saved(shared.select("key", "node", "level").distinct(), "shared-keys")
+    shared = _saved(shared.select("key", "node", "level", "least").distinct(), "shared-keys")
+    shared = _saved(_enough(_enough(shared)), "kept-keys")
     signed = shared.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("bucket"), F.count(F.lit(1)).alias("size"))
     buckets = _saved(shared.join(signed, "key").select("bucket", "size", "level", "node").distinct(), "buckets")
 

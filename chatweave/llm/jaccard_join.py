@@ -44,6 +44,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatweave.llm.components import connected
+from chatweave.llm.frequent import most_frequent
+from chatweave.llm.hashing import CODES, TURN, chunk_hashes, mix
 from chatweave.session import scratch_path
 
 SIZE = 5
@@ -53,37 +55,14 @@ FREQUENT = 100_000
 COUNTED = 2_000_000
 BLOCK = 4096
 BITMAP = 1 << 23
-MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-TURN = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads their bits."""
-    x = (x ^ (x >> np.uint64(30))) * MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
 SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
-CODES = mix(np.arange(1, 257, dtype=np.uint64))
-CODES[ord("A"):ord("Z") + 1] = CODES[ord("a"):ord("z") + 1]
+FOLDED = CODES.copy()  # A-Z as a-z
+FOLDED[ord("A"):ord("Z") + 1] = CODES[ord("a"):ord("z") + 1]
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first places of the words of a byte string, all bytes at once."""
-    codes = np.frombuffer(data, np.uint8)
-    space = SPACES[codes]
-    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
-    starts, sizes = edges[::2], edges[1::2] - edges[::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64), starts
-    first = np.cumsum(sizes) - sizes
-    power = np.full(int(sizes.max()), TURN[2])
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    sums = np.add.reduceat(CODES[codes[~space]] * power[place], first)
-    return mix(sums + sizes.astype(np.uint64)), starts
+    """Hashes and first places of the lower-cased words of a byte string."""
+    return chunk_hashes(data, SPACES, FOLDED)[:2]
 
 
 def _roll(h: np.ndarray) -> np.ndarray:
@@ -372,9 +351,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = _saved(rows.mapInArrow(run, schema), "members")
 
     # At most FREQUENT rows come to the driver: the order of cells, not their choice.
-    often = (members.filter(F.col("often").isNotNull())
-             .select(F.explode(F.arrays_zip("often", "times")).alias("o")).groupBy("o.often")
-             .agg(F.sum("o.times").alias("times")).orderBy(F.desc("times"), "often").limit(FREQUENT).collect())
+    often = members.filter(F.col("often").isNotNull()).select(F.explode(F.arrays_zip("often", "times")).alias("o"))
+    often = most_frequent(often.groupBy("o.often").agg(F.sum("o.times").alias("times")), "times", FREQUENT)
     frequent = np.sort(np.array([r["often"] for r in often], np.int64).view(np.uint64))
     members = members.filter(F.col("n").isNotNull()).select("id", "n", "digest")
 

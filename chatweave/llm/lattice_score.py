@@ -43,6 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatweave.llm.frequent import most_frequent
 from chatweave.session import scratch_path
 
 END = b""
@@ -254,8 +255,7 @@ def score_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col
     total = table.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = total["n"], total["v"]
     weights = fit_pieces(table, path)
-    # As many rows as the parameter says at most.
-    top = {bytes(r["word"]): r["c"] for r in table.orderBy(F.desc("c"), "word").limit(head).collect()}
+    top = {bytes(r["word"]): r["c"] for r in most_frequent(table, "c", head)}
     shipped = spark.sparkContext.broadcast(top)
 
     kind = dict(rows.dtypes)["id"]

@@ -13,8 +13,8 @@ of a large split, are dealt out anew, sorted by length and packed once more, in
 ``regroup`` sequences. All other pieces are final and never shuffled.
 
 Token ids come from the vocabulary's library by white-space-separated chunk; such a
-vocabulary drops white space, and chunks repeat, so each worker remembers the ids of
-lately used chunks (two generations of ``CACHE``).
+vocabulary drops white space, and chunks repeat, so each worker remembers the ids of up to
+``CACHE`` chunks.
 
 Defined cases: null text is empty and gives the end token alone; repeated ids and rows are
 packed as they come; null ids pass through; an empty table gives no pieces; other columns are ignored.
@@ -26,19 +26,26 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatweave.llm.hashing import chunk_hashes
+from chatweave.llm.token_count import byte_symbols
 from chatweave.session import scratch_path
 
-CACHE = 450_000
+# Chunks remembered, 40 bytes each or so, before a worker starts over.
+CACHE = 4_000_000
+RECENT = 150_000
 SLICE = 256
 FLUSH = 1_000
-TOGETHER = 2_000
+LONG = 200
+CUTS = np.isin(np.arange(256), [32, 10])
 
 
 class BestFit:
@@ -78,71 +85,103 @@ class BestFit:
         return bin_, self.capacity - free
 
 
-class ChunkIds(dict):
-    """Little-endian 32-bit ids of the chunks between white space.
+class ChunkIds:
+    """Ids of the chunks between blanks and line feeds, a batch of texts at a time.
 
-    Most chunks are a word of Latin-1 letters and punctuation. The vocabulary ends a word there
-    too, so new words are encoded many at a time, with blanks between, and told apart by the
-    end mark of their last piece. All other chunks are encoded alone.
+    Chunks are hashed all at once (long ones by themselves, with a strong hash); different
+    hashes of a batch are looked up in a sorted array, and only new chunks become strings. Most
+    of these are a word of Latin-1 letters and punctuation, which the vocabulary's pattern
+    parts in the same way; its merges are asked for directly. All other chunks take its whole way.
     """
 
     # Letters whose case and composition no library disagrees on; no apostrophe, no "<".
     SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{-~]*)")
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(path)
-        self.encode = model.encode_batch_fast
-        # What is full becomes the old generation; what is used again moves back.
-        self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        vocab = model.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def _alone(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
-        for chunk, e in zip(chunks, self.encode(chunks, add_special_tokens=False), strict=True):
-            yield chunk, np.array(e.ids, "<u4").tobytes()
-
-    def _learn(self, chunks: list[str]) -> None:
-        found = [(c, m.group(1).lower(), m.group(2)) for c in chunks if (m := self.SIMPLE.fullmatch(c))]
-        if len(self.words) >= CACHE:
-            self.words, self.old_words = {}, self.words
-        self.words[""] = b""
-        new = self._known({w for _, w, _ in found}.difference(self.words), self.old_words, self.words)
-        for at in range(0, len(new), TOGETHER):
-            part = new[at:at + TOGETHER]
-            ids = np.array(self.encode([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.nonzero(self.ends[ids])[0] + 1
-            if len(ends) != len(part):
-                self.words.update(self._alone(part))
-                continue
-            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.words.update((w, data[cuts[i]:cuts[i + 1]]) for i, w in enumerate(part))
-        self.words.update(self._alone(list({t for _, _, t in found}.difference(self.words))))
-        self.update((c, self.words[w] + self.words[t]) for c, w, t in found)
-        self.update(self._alone([c for c in chunks if c not in self]))
-
-    @staticmethod
-    def _known(wanted: set[str], old: dict[str, bytes], to: dict[str, bytes]) -> list[str]:
-        """Moves what the old generation has; the rest."""
-        if not old:
-            return list(wanted)
-        to.update((x, old[x]) for x in wanted if x in old)
-        return [x for x in wanted if x not in old]
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) >= CACHE:
-            self.old = dict(self)
-            self.clear()
-        self._learn(self._known(set().union(*chunks).difference(self), self.old, self))
-        for c in chunks:
-            yield b"".join(map(self.__getitem__, c))
+        self.encode, self.merge = model.encode_batch_fast, model.model.tokenize
+        self.symbols = dict(enumerate(byte_symbols()))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)  # sorted, with the entry of each
+        self.entries = np.zeros(0, np.int64)
+        self.recent: dict[int, int] = {}
+        self.n = 0
+        self.store, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.start, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Entries of new chunks, whose ids follow each other."""
+        while self.used + len(ids) > len(self.store):
+            self.store = np.r_[self.store, np.zeros_like(self.store)]
+        while self.n + len(sizes) > len(self.size):
+            self.start, self.size = np.r_[self.start, np.zeros_like(self.start)], np.r_[self.size, np.zeros_like(self.size)]
+        self.store[self.used:self.used + len(ids)] = ids
+        made = np.arange(self.n, self.n + len(sizes))
+        self.start[made], self.size[made] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used, self.n = self.used + len(ids), self.n + len(sizes)
+        return made
+
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has."""
+        found = [m.groups() if (m := self.SIMPLE.fullmatch(c)) else (None, c) for c in chunks]
+        ids: dict[str, list[int]] = {"": []}
+        for word in {x for w, t in found if w is not None for x in (w, t) if x}:
+            # Bytes as the vocabulary's symbols; letters of these chunks have one lower case.
+            symbols = word.lower().encode().decode("latin-1").translate(self.symbols)
+            ids[word] = [t.id for t in self.merge(symbols)]
+        rest = [t for w, t in found if w is None]
+        alone = iter(self.encode(rest, add_special_tokens=False))
+        all_ids = [ids[w] + ids[t] if w is not None else next(alone).ids for w, t in found]
+        sizes = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
+        return np.fromiter(chain.from_iterable(all_ids), np.uint32, int(sizes.sum())), sizes
+
+    def _entries_of(self, hashes: np.ndarray, text_at) -> np.ndarray:
+        """Entries of different hashes; text_at(i) is the chunk of the i-th."""
+        out = np.full(len(hashes), -1)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+            hit = self.keys[at] == hashes
+            out[hit] = self.entries[at[hit]]
+        left = np.flatnonzero(out < 0)
+        get = self.recent.get
+        out[left] = [get(h, -1) for h in hashes[left].tolist()]
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            ids, sizes = self._encode([text_at(i) for i in new.tolist()])
+            out[new] = made = self._append(ids, sizes)
+            self.recent.update(zip(hashes[new].tolist(), made.tolist()))
+        if len(self.recent) > RECENT:
+            keys = np.r_[self.keys, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))]
+            entries = np.r_[self.entries, np.fromiter(self.recent.values(), np.int64, len(self.recent))]
+            order = np.argsort(keys)
+            self.keys, self.entries, self.recent = keys[order], entries[order], {}
+        return out
+
+    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if self.n > CACHE:
+            self._forget()
+        parts = [t.encode() for t in texts]
+        data = b"\n".join(parts)
+        hashes, starts, sizes = chunk_hashes(data, CUTS)
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i]:starts[i] + sizes[i]])
+        different, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        entries = self._entries_of(different, lambda i: data[starts[first[i]]:starts[first[i]] + sizes[first[i]]].decode())
+        used = entries[back]
+        n = self.size[used]
+        ends = np.cumsum(n)
+        ids = self.store[np.repeat(self.start[used] - ends + n, n) + np.arange(int(n.sum()))]
+        cuts = np.searchsorted(starts, np.cumsum([len(p) + 1 for p in parts]))
+        at = 0
+        for cut in cuts.tolist():
+            end = int(ends[cut - 1]) if cut else 0
+            yield ids[at:end]
+            at = end
 
 
 @lru_cache(maxsize=2)
@@ -195,7 +234,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     sequence_id and offset."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind, end = dict(rows.dtypes)["id"], end_id.to_bytes(4, "little")
+    kind = dict(rows.dtypes)["id"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, out = chunk_ids(path), None
@@ -204,7 +243,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 for id_, ids in zip(part.column(0).to_pylist(), known.texts(part.column(1).to_pylist()), strict=True):
-                    ids += end
+                    ids = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
                     for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
                         cut = ids[4 * start:4 * (start + capacity)]
                         out.add((id_, piece, start, len(cut) // 4, cut))

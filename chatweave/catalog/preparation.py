@@ -255,7 +255,7 @@ SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages,
 FROM kept WHERE n <= 4 GROUP BY conv_id
 """)
 def last_of_array(spark: Spark, folder: str) -> DataFrame:
-    rows = nest_messages(d.conversations(spark, folder)).filter(F.col("part") == 0)
+    rows = nest_messages(last_message_rows(d.conversations(spark, folder), n=4))
     last = rows.withColumn("messages", last_messages("messages", 4))
     return last.select("conv_id", F.size("messages").alias("n_messages"), _contents_md5().alias("contents_md5"))
 

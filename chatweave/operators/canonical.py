@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from chatweave.functions.messages import instruction_pair, message, system_prefix
 from chatweave.functions.numbers import whole_div
@@ -95,21 +96,20 @@ def mix_sources(*sources: DataFrame) -> DataFrame:
 
 def nest_messages(
     rows: DataFrame, group: str = "conv_id", position: str = "turn",
-    role: str = "role", content: str = "text", part_size: int = 1024,
+    role: str = "role", content: str = "text", part_size: int | None = None,
 ) -> DataFrame:
-    """Message rows to message arrays, in order.
+    """Message rows to message arrays, in order: one row per conversation.
 
-    A conversation longer than ``part_size`` positions comes as several parts
-    (``part`` 0, 1, ...) whose arrays follow each other, so no array grows with the
-    longest conversation. Shorter ones are one row with part 0.
+    With ``part_size`` a conversation comes as one row per stretch of so many positions,
+    numbered by ``part``.
     """
-    part = whole_div(position, part_size).alias("part")
+    parts = [] if part_size is None else [whole_div(position, part_size).alias("part")]
     item = F.struct(
         F.col(position).alias("p"), F.col(role).alias("role"), F.col(content).alias("content")
     )
-    nested = rows.groupBy(F.col(group), part).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    nested = rows.groupBy(F.col(group), *parts).agg(F.sort_array(F.collect_list(item)).alias("items"))
     return nested.select(
-        group, "part",
+        group, *(["part"] if parts else []),
         F.transform(
             "items", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))
         ).cast(MESSAGES).alias("messages"),
@@ -122,11 +122,11 @@ def exchanges(
 ) -> DataFrame:
     """Pair each user message with the assistant message right after it.
 
-    The pair is an equi-join on (conversation, position), a unique key, so a huge
-    conversation spreads over the shuffle; an unanswered message has a null reply.
+    Right after means the next row of the conversation, so positions may have gaps; an
+    unanswered message has a null reply. Positions are unique within a conversation.
     """
-    users = rows.filter(F.col(role) == "user").select(group, position, F.col(content).alias("text"))
-    replies = rows.filter(F.col(role) == "assistant").select(
-        group, (F.col(position) - 1).alias(position), F.col(content).alias("reply")
-    )
-    return users.join(replies, [group, position], "left")
+    order = Window.partitionBy(group).orderBy(position)
+    after = F.struct(F.col(role).alias("role"), F.col(content).alias("content"))
+    paired = rows.select(group, position, role, F.col(content).alias("text"), F.lead(after).over(order).alias("_next"))
+    reply = F.when(F.col("_next.role") == "assistant", F.col("_next.content"))
+    return paired.filter(F.col(role) == "user").select(group, position, "text", reply.alias("reply"))

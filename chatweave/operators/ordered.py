@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatweave.functions.numbers import whole_div
+from chatweave.operators.joins import join_null_safe
 from chatweave.session import cut_lineage
 
 CHUNK = "_chunk"
@@ -79,7 +80,7 @@ def running(
         # A global order has as many carry rows as it has chunks, which the
         # chunking rule bounds (hash prefixes or shuffle partitions).
         carry = F.broadcast(carry)
-    joined = df.join(carry, [*group, CHUNK], "left")
+    joined = join_null_safe(df, carry, [*group, CHUNK])
 
     inside = Window.partitionBy(*group, CHUNK).orderBy(*order_cols)
     out = []
@@ -172,24 +173,45 @@ def enumerate_rows(
 def head_slice(
     df: DataFrame, keys: Sequence[str], n: int, in_one_task: int = HEAD_IN_ONE_TASK
 ) -> DataFrame:
-    """The first ``n`` rows in the order of ``keys`` (unique, not null); a shorter
-    input comes back whole.
+    """The first ``n`` rows in the order of ``keys``, null before all values; a shorter
+    input comes back whole. Of rows that share the last key, as many as fit come, any of them.
 
     A small prefix is a top-n. A large one looks up the n-th key on the key columns
     alone and filters by it, so the rows themselves are not shuffled and the bound
-    on the leading key reaches the scan.
+    on the leading key reaches the scan. For an integer leading key only keys up to a
+    quantile somewhat above the n-th are numbered.
     """
     if n <= in_one_task:
         return df.orderBy(*keys).limit(n)
-    indexed = global_index(df.select(*keys), keys)
+    indexed = global_index(_below_quantile(df.select(*keys), keys[0], n), keys)
     last = indexed.filter(F.col("idx") == n - 1).select(*keys).first()
     if last is None:
         return df
     types = {f.name: f.dataType for f in df.schema.fields}
     bound = F.struct(*[F.lit(last[k]).cast(types[k]).alias(k) for k in keys])
-    return df.filter(
-        (F.col(keys[0]) <= F.lit(last[keys[0]])) & (F.struct(*[F.col(k) for k in keys]) <= bound)
-    )
+    row, lead = F.struct(*[F.col(k) for k in keys]), F.col(keys[0])
+    reach = lead.isNull() if last[keys[0]] is None else lead.isNull() | (lead <= F.lit(last[keys[0]]))
+    lower = df.filter(reach & (row < bound))
+    equal = df.filter(reach & row.eqNullSafe(bound))
+    same = indexed.filter(F.struct(*[F.col(k) for k in keys]).eqNullSafe(bound)).agg(
+        F.count(F.lit(1)).alias("n"), F.min("idx").alias("first")).first()
+    room = n - same["first"]
+    return df.filter(reach & (row <= bound)) if same["n"] == room else lower.unionByName(equal.limit(room))
+
+
+def _below_quantile(keys: DataFrame, lead: str, n: int) -> DataFrame:
+    """Keys up to a bound that at least ``n`` rows do not exceed; all keys if none is found."""
+    if keys.schema[lead].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return keys
+    total = keys.agg(F.count(F.lit(1)).alias("n"), F.count(lead).alias("known")).first()
+    if n >= total["n"]:
+        return keys
+    share = min(1.0, n / max(1, total["known"]) * 1.02 + 0.001)
+    bound = keys.agg(F.percentile_approx(lead, share, 10_000).alias("b")).first()["b"]
+    if bound is None:
+        return keys
+    near = keys.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(bound)))
+    return near if near.count() >= n else keys
 
 
 def byte_shards(

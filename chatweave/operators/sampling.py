@@ -1,4 +1,9 @@
-"""Selection among scored candidates: rows ``(group_id, cand, score)``."""
+"""Selection among scored candidates: rows ``(group_id, cand, score)``.
+
+Candidates are ordered from the highest score down, then by the smaller id. NaN counts as the
+highest number, as everywhere in Spark; null scores come last. Rows with a null group are
+one group. The order is the same for every ``k``.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chatweave.operators.joins import join_null_safe
 from chatweave.operators.ordered import CHUNK, Running, range_chunks, running
 
 # The default sampling settings.
@@ -17,12 +23,15 @@ TOP_P = 0.9
 GROUP_LIMIT = 1_000
 
 
+def _best_first() -> list[Column]:
+    return [F.desc_nulls_last("score"), F.col("cand").asc()]
+
+
 def _ranks_in_chunks(cands: DataFrame, partitions: int | None) -> DataFrame:
     """Rank from the best candidate down, for groups of any size."""
-    order = ["_order", "cand"]
-    chunked = range_chunks(cands.withColumn("_order", -F.col("score")), ["group_id", *order], partitions)
+    chunked = range_chunks(cands, ["group_id", *_best_first()], partitions)
     rank = {"rank": Running("sum", F.lit(1).cast("long"))}
-    return running(chunked, ["group_id"], order, rank).drop("_order", CHUNK)
+    return running(chunked, ["group_id"], _best_first(), rank).drop(CHUNK)
 
 
 def top_k(cands: DataFrame, k: int = TOP_K, partitions: int | None = None) -> DataFrame:
@@ -34,7 +43,7 @@ def top_k(cands: DataFrame, k: int = TOP_K, partitions: int | None = None) -> Da
     if k > GROUP_LIMIT:
         ranked = _ranks_in_chunks(cands, partitions).withColumn("rank", F.col("rank").cast("int"))
     else:
-        best = Window.partitionBy("group_id").orderBy(F.desc("score"), "cand")
+        best = Window.partitionBy("group_id").orderBy(*_best_first())
         ranked = cands.withColumn("rank", F.row_number().over(best))
     return ranked.filter(F.col("rank") <= k)
 
@@ -42,11 +51,11 @@ def top_k(cands: DataFrame, k: int = TOP_K, partitions: int | None = None) -> Da
 def _nucleus_of_top_k(cands: DataFrame, k: int) -> DataFrame:
     """Nucleus over at most ``k`` rows per group."""
     group = Window.partitionBy("group_id")
-    best = group.orderBy(F.desc("score"), "cand")
+    best = group.orderBy(*_best_first())
     weighted = top_k(cands, k).withColumn("w", F.exp(F.col("score") - F.max("score").over(group)))
-    scaled = weighted.withColumn("prob", F.col("w") / F.sum("w").over(group))
-    mass = F.sum("prob").over(best.rowsBetween(Window.unboundedPreceding, 0))
-    return scaled.withColumn("before", mass - F.col("prob"))
+    total = F.sum("w").over(group)
+    mass = F.coalesce(F.sum("w").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    return weighted.withColumn("prob", F.col("w") / total).withColumn("before", mass / total)
 
 
 def _nucleus_of_all(cands: DataFrame, partitions: int | None) -> DataFrame:
@@ -55,11 +64,11 @@ def _nucleus_of_all(cands: DataFrame, partitions: int | None) -> DataFrame:
     Groups are split into range chunks first; every join after that is on (group,
     chunk), so no step gathers a large group.
     """
-    key, order = ["group_id", CHUNK], ["_order", "cand"]
-    chunked = range_chunks(cands.withColumn("_order", -F.col("score")), ["group_id", *order], partitions)
+    key, order = ["group_id", CHUNK], _best_first()
+    chunked = range_chunks(cands, ["group_id", *order], partitions)
     tops = chunked.groupBy(*key).agg(F.max("score").alias("top"))
     peaks = tops.select(*key, F.max("top").over(Window.partitionBy("group_id")).alias("peak"))
-    weighted = chunked.join(peaks, key).withColumn("w", F.exp(F.col("score") - F.col("peak")))
+    weighted = join_null_safe(chunked, peaks, key, "inner").withColumn("w", F.exp(F.col("score") - F.col("peak")))
     values = {
         "mass": Running("sum", F.col("w"), inclusive=False),
         "rank": Running("sum", F.lit(1).cast("long")),

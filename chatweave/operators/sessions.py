@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatweave.functions.messages import message, system_prefix
-from chatweave.functions.numbers import whole_div
 from chatweave.functions.text import classify_command, command_argument, strip
-from chatweave.operators.joins import bounded_broadcast
+from chatweave.operators.joins import bounded_broadcast, join_null_safe
 from chatweave.operators.ordered import CHUNK, Running, running, running_in_one_chunk, span_chunks
 from chatweave.schemas import MESSAGES
 from chatweave.session import cut_lineage
@@ -42,18 +41,17 @@ def _answered() -> Column:
 
 
 def long_sessions(inputs: DataFrame, span: int = SPAN) -> DataFrame | None:
-    """All chunks (session, chunk) of sessions that reach beyond their first one, or
-    None if there are none.
+    """All chunks (session, chunk) that occur in sessions with rows outside their first
+    chunk, or None if there are none.
 
-    The bound on the position reaches the scan, so on ordinary data this reads next
-    to nothing. Chunks rather than sessions are listed, so that inputs meet them on a
-    key that no session dominates. The list is materialised, as later steps look it up
-    again.
+    Chunks rather than sessions are listed, so that inputs meet them on a key that no
+    session dominates. The list is materialised, as later steps look it up again.
     """
-    last = inputs.filter(F.col("turn") >= span).groupBy("conv_id").agg(F.max("turn").alias("last"))
-    numbers = F.sequence(F.lit(0).cast("long"), whole_div("last", span))
-    chunks = cut_lineage(last.select("conv_id", F.explode(numbers).alias(CHUNK)))
-    return None if chunks.isEmpty() else chunks
+    outside = inputs.filter((F.col("turn") >= span) | (F.col("turn") < 0))
+    if outside.isEmpty():
+        return None
+    found = span_chunks(inputs, "turn", span).select("conv_id", CHUNK).distinct()
+    return cut_lineage(join_null_safe(found, outside.select("conv_id").distinct(), ["conv_id"], "left_semi"))
 
 
 def _split(inputs: DataFrame, span: int) -> tuple[DataFrame, DataFrame | None]:
@@ -62,7 +60,7 @@ def _split(inputs: DataFrame, span: int) -> tuple[DataFrame, DataFrame | None]:
     if chunks is None:
         return rows, None
     chunks, key = bounded_broadcast(chunks), ["conv_id", CHUNK]
-    return rows.join(chunks, key, "left_anti"), rows.join(chunks, key, "left_semi")
+    return join_null_safe(rows, chunks, key, "left_anti"), join_null_safe(rows, chunks, key, "left_semi")
 
 
 def _state(inputs: DataFrame, default_system: str, chunked: bool) -> DataFrame:
@@ -101,6 +99,13 @@ def _turns(inputs: DataFrame, default_system: str, chunked: bool) -> DataFrame:
     )
 
 
+def checked_messages(n: int) -> int:
+    """A history bound: positive and even, as history comes in pairs."""
+    if n <= 0 or n % 2:
+        raise ValueError("max_messages must be positive and even")
+    return n
+
+
 def _pair() -> Column:
     """The two messages an answered input adds to the history."""
     return F.array(message("user", "u"), message("assistant", "reply")).cast(MESSAGES)
@@ -130,14 +135,14 @@ def _add_earlier_chunks(turns: DataFrame, held: DataFrame, pairs: int) -> DataFr
         .filter(F.col("_n") <= pairs)
         .select("conv_id", F.col("k").alias("pk"), F.col("epoch").alias("pe"), _pair().alias("pair"))
     )
-    starts = turns.filter(F.col(CHUNK) > 0).groupBy("conv_id", CHUNK).agg(F.min("k").alias("k0"))
+    starts = turns.groupBy("conv_id", CHUNK).agg(F.min("k").alias("k0"))
     wanted = starts.filter(F.col("k0") > 0).select(
         "conv_id", CHUNK, "k0",
         F.explode(F.sequence(F.greatest(F.col("k0") - pairs, F.lit(0)), F.col("k0") - 1)).alias("pk"),
     )
     item = F.struct(F.col("pk").alias("k"), F.col("pe").alias("epoch"), "pair")
     carried = (
-        wanted.join(carriers, ["conv_id", "pk"])
+        join_null_safe(wanted, carriers, ["conv_id", "pk"], "inner")
         .groupBy("conv_id", CHUNK)
         .agg(F.sort_array(F.collect_list(item)).alias("halo"), F.first("k0").alias("k0"))
     )
@@ -145,7 +150,7 @@ def _add_earlier_chunks(turns: DataFrame, held: DataFrame, pairs: int) -> DataFr
     usable = F.filter(F.col("halo"), lambda h: (h["epoch"] == epoch) & (h["k"] >= k - pairs))
     # Only the first turns of a chunk look back beyond it.
     earlier = F.when(k - F.lit(pairs) < F.col("k0"), F.transform(usable, lambda h: h["pair"]))
-    return held.join(carried, ["conv_id", CHUNK], "left").withColumn(
+    return join_null_safe(held, carried, ["conv_id", CHUNK]).withColumn(
         "past", F.concat(F.coalesce(earlier, F.slice("past", 1, 0)), F.col("past"))
     )
 
@@ -160,7 +165,7 @@ def turn_context(
     Sessions within one chunk need one shuffle by session. Longer sessions are worked
     on in chunks, and only their turns are materialised, as three steps read them.
     """
-    pairs = max_messages // 2
+    pairs = checked_messages(max_messages) // 2
     short, long = _split(inputs, span)
     held = _recent_pairs(_turns(short, default_system, chunked=False), pairs)
     if long is not None:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chatweave.functions.messages import render, render_message
 from chatweave.functions.tokens import (
@@ -18,6 +19,7 @@ from chatweave.functions.tokens import (
     truncate,
 )
 from chatweave.operators.canonical import canonical_chats, canonical_pairs, mix_sources
+from chatweave.operators.joins import join_null_safe
 from chatweave.operators.vocabulary import encode
 from chatweave.session import spread
 from chatweave.sources.tables import read_in_storage_order, read_prefix, write_columns
@@ -32,12 +34,12 @@ def conversation_tokens(rows: DataFrame, max_length: int = TRAIN_MAX_LENGTH) ->
     ``max_length`` pieces, from message rows.
 
     Pieces never cross a message border of the template, so messages are counted one by
-    one. Every message has at least one piece, so positions from ``max_length`` on
-    cannot reach the kept prefix: they are counted, not collected. One shuffle by
-    conversation, combined on the map side; no conversation ever sits in one place as a
-    whole. Texts travel rather than pieces, which take several times the room; of a
-    message with more than ``max_length`` pieces only these travel, joined by blanks,
-    and split to the same pieces again. Positions count from 0 without gaps.
+    one. Every message has at least one piece, so only the first ``max_length`` messages
+    of a conversation can reach the kept prefix; they are cut out by row number, on the map
+    side first, and the rest is counted, not collected. Texts travel rather than pieces,
+    which take several times the room; of a message with more than ``max_length`` pieces
+    only these travel, joined by blanks, and split to the same pieces again. Positions may
+    have gaps.
     """
     rendered = spread(rows, "conv_id", "turn").select(
         "conv_id", "turn", render_message(F.col("role"), F.col("text")).alias("x")
@@ -45,12 +47,14 @@ def conversation_tokens(rows: DataFrame, max_length: int = TRAIN_MAX_LENGTH) ->
     counted = rendered.withColumn("n", F.regexp_count("x", F.lit(PIECE_PATTERN)))
     long = F.array_join(truncate(pieces("x"), max_length), " ")
     text = F.when(F.col("n") <= max_length, F.col("x")).otherwise(long)
-    head = F.when(F.col("turn") < max_length, F.struct("turn", text.alias("x")))
-    grouped = counted.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_messages"),
-        F.sum(F.col("n").cast("long")).alias("n_tokens"),
-        F.sort_array(F.collect_list(head)).alias("head"),
+    sizes = counted.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("n_messages"), F.sum(F.col("n").cast("long")).alias("n_tokens"),
     )
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    first = counted.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= max_length)
+    heads = first.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("_r", text.alias("x")))).alias("head"))
+    grouped = join_null_safe(sizes, heads, ["conv_id"])
     joined = F.array_join(F.transform("head", lambda h: h["x"]), "\n")
     return grouped.select(
         "conv_id", "n_messages", "n_tokens", truncate(pieces(joined), max_length).alias("pieces")

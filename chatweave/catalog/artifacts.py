@@ -77,16 +77,21 @@ def file_sizes(spark: Spark, folder: str) -> DataFrame:
 
 
 @query("artifact_scan", """
-SELECT 'lang=' || lang AS artifact, CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes,
+SELECT 'lang=' || lang AS artifact, 1::BIGINT AS n_files, 'text' AS kinds, CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes,
   CAST(sum(strlen(text) + 1) AS DOUBLE) / 1073741824.0::DOUBLE AS total_gb
 FROM documents GROUP BY lang
 """)
 def artifact_scan(spark: Spark, folder: str) -> DataFrame:
     # One folder per language; each text is followed by a line end.
     path = scratch_path(spark, "artifacts")
-    d.documents(spark, folder).select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path)
-    files = list_artifacts(spark, f"{path}/*")
-    return inv.artifact_sizes(files).select("artifact", "total_bytes", "total_gb")
+    texts = d.documents(spark, folder).select("lang", F.col("text").alias("value"))
+    texts.repartition("lang").write.partitionBy("lang").text(path)
+    folders = d.documents(spark, folder).select(F.concat(F.lit(f"{path}/lang="), "lang").alias("path")).distinct()
+    # Checksum files lie beside the files on some file systems.
+    files = list_artifacts(spark, folders).filter(~F.col("name").startswith("."))
+    kinds = files.groupBy("artifact").agg(F.array_join(F.array_sort(F.collect_set(F.when(
+        F.col("name").rlike("^part-.*[.]txt$"), "text").otherwise("other"))), ",").alias("kinds"))
+    return inv.artifact_sizes(files).join(kinds, "artifact").select("artifact", "n_files", "kinds", "total_bytes", "total_gb")
 
 
 # Adapter configs: one per document source and language, some fields left out.
@@ -131,21 +136,22 @@ def config_scan(spark: Spark, folder: str) -> DataFrame:
 
 @query("card_text", f"""
 WITH {CONFIGS_SQL}
-SELECT artifact, 19 AS n_lines, 1 AS n_rank_lines,
-  '| Target modules | ' || modules || ' |' AS modules_line
-FROM configs
+SELECT artifact, md5('---' || chr(10) || 'license: apache-2.0' || chr(10) || 'base_model: ' || b || chr(10)
+  || 'tags:' || chr(10) || '- fine-tuned' || chr(10) || '- lora' || chr(10) || 'library_name: peft' || chr(10)
+  || 'pipeline_tag: text-generation' || chr(10) || '---' || chr(10) || chr(10) || '# Adapter for ' || b || chr(10) || chr(10)
+  || '| Field | Value |' || chr(10) || '| --- | --- |' || chr(10) || '| Base model | ' || b || ' |' || chr(10)
+  || '| Rank (r) | ' || coalesce(CAST(r AS VARCHAR), '{inv.DEFAULT_RANK}') || ' |' || chr(10)
+  || '| Alpha | ' || coalesce(CAST(alpha AS VARCHAR), '{inv.DEFAULT_ALPHA}') || ' |' || chr(10)
+  || '| Target modules | ' || modules || ' |' || chr(10) || '| Training steps | 2038 |') AS card_md5
+FROM (SELECT *, coalesce(base, '{inv.DEFAULT_BASE_MODEL}') AS b FROM configs)
 """)
 def card_text(spark: Spark, folder: str) -> DataFrame:
     cards = inv.config_defaults(_configs(spark, folder), base=inv.DEFAULT_BASE_MODEL,
                                 rank=inv.DEFAULT_RANK, alpha=inv.DEFAULT_ALPHA)
     path = scratch_path(spark, "cards")
     write_cards(cards.withColumn("card", inv.card_text()).repartition("artifact"), path)
-    lines = spark.read.text(path)
-    return lines.groupBy("artifact").agg(
-        F.count(F.lit(1)).cast("int").alias("n_lines"),
-        F.sum(F.col("value").startswith("| Rank (r) | ").cast("int")).cast("int").alias("n_rank_lines"),
-        F.max(F.when(F.col("value").startswith("| Target modules"), F.col("value"))).alias("modules_line"),
-    )
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select("artifact", F.md5(F.regexp_replace("value", "\n$", "")).alias("card_md5"))
 
 
 @query("adapter_base", f"""

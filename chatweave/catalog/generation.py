@@ -15,12 +15,12 @@ Spark = SparkSession
 
 
 def _echo_factory():
-    """A stand-in model: answers in capitals and fails on long prompts."""
+    """A stand-in model: answers with the reversed prompt and fails on long ones."""
 
-    def model(prompt: str, max_new_tokens: int, **_) -> str:
-        if len(prompt) > 900:
+    def model(prompts: list[str], max_new_tokens: int, **_) -> list[str]:
+        if any(len(p) > 900 for p in prompts):
             raise ValueError("prompt too long")
-        return prompt[:max_new_tokens][::-1]
+        return [p[:max_new_tokens][::-1] for p in prompts]
 
     return model
 
@@ -37,7 +37,7 @@ FROM p
 def batch_infer(spark: Spark, folder: str) -> DataFrame:
     prompts = d.conversations(spark, folder).filter(F.col("role") == "user").select("conv_id", "turn", "text")
     named = prompts.withColumnRenamed("text", "prompt")
-    rows = answer_prompts(named, _echo_factory, options=GenerationOptions(max_new_tokens=200))
+    rows = answer_prompts(named, _echo_factory, options=GenerationOptions(max_new_tokens=200), batch_size=32)
     return rows.select("conv_id", "turn", F.md5("response").alias("response_md5"), "error")
 
 

@@ -11,6 +11,7 @@ from chatweave.functions.messages import last_messages, prompt_messages, render
 from chatweave.functions.text import base_name, is_blank, preview, strip
 from chatweave.operators import ordered
 from chatweave.operators.canonical import canonical_chats, canonical_pairs, mix_sources, nest_messages
+from chatweave.operators.sessions import last_message_rows
 from chatweave.plans.prepare import conversation_tokens, prepare_dataset, rendered_rows
 from chatweave.session import scratch_path
 from chatweave.sources.tables import (

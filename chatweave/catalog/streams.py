@@ -89,8 +89,12 @@ def stream_contexts(spark: Spark, folder: str) -> DataFrame:
     inputs = d.session_inputs(spark, folder)
     # Stretches of turns, written one after the other; within a stretch a session is in
     # one file, so files in order of their time keep the order of each session.
-    for i, (low, high) in enumerate([(0, 300), (300, 600), (600, 1000)]):
-        stretch = inputs.filter((F.col("turn") >= low) & (F.col("turn") < high))
+    for i, (low, high) in enumerate([(None, 300), (300, 600), (600, None)]):
+        stretch = inputs
+        if low is not None:
+            stretch = stretch.filter(F.col("turn") >= low)
+        if high is not None:
+            stretch = stretch.filter(F.col("turn") < high)
         stretch.repartition("conv_id").write.mode("append").parquet(f"{root}/in/stretch={i}")
     stream = chat_contexts(readers.session_inputs(spark, f"{root}/in/*", files_per_batch=5))
     return context_report(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))

@@ -14,7 +14,6 @@ from chatweave.operators.vocabulary import (
     decode,
     encode,
     fit_vocabulary,
-    tokenizer_file_encoder,
 )
 from chatweave.plans.prepare import encoded_rows
 from chatweave.session import spread
@@ -178,27 +177,3 @@ def length_stats(spark: Spark, folder: str) -> DataFrame:
         F.countDistinct("piece").alias("n_distinct")
     )
     return sizes.join(kinds, "lang")
-
-
-def _tokenizer_json(vocab: DataFrame) -> str:
-    """A word-level tokenizer file for a fitted vocabulary (of bounded size)."""
-    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
-
-    from chatweave.functions.tokens import PIECE_PATTERN
-
-    ids = {row["piece"]: row["id"] for row in vocab.collect()} | {SPECIALS[UNK_ID]: UNK_ID}
-    tokenizer = Tokenizer(models.WordLevel(ids, unk_token=SPECIALS[UNK_ID]))
-    tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(PIECE_PATTERN), "removed", invert=True)
-    return tokenizer.to_str()
-
-
-@query("tokenizer_file", f"""
-WITH {ENCODED_SQL}
-SELECT doc_id, CAST(least(len(ids), 2048) AS INTEGER) AS n_tokens, md5(array_to_string(ids[1:2048], ',')) AS ids_md5
-FROM encoded
-""")
-def tokenizer_file(spark: Spark, folder: str) -> DataFrame:
-    coder = tokenizer_file_encoder(_tokenizer_json(_vocabulary(spark, folder)), max_length=2048)
-    docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
-    rows = docs.select("doc_id", coder(F.col("text")).alias("ids"))
-    return rows.select("doc_id", F.size("ids").alias("n_tokens"), F.md5(_joined("ids")).alias("ids_md5"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -30,47 +31,80 @@ class GenerationOptions:
 def batched_map(
     df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, batch_size: int = 10_000
 ) -> DataFrame:
-    """Map pandas batches of at most ``batch_size`` rows; the output has the columns of
-    ``schema`` only. Partitions run in parallel."""
+    """Map pandas batches of ``batch_size`` rows, the last of a partition being shorter;
+    the output has the columns of ``schema`` only. Partitions run in parallel."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
         for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                yield fn(batch.iloc[start:start + batch_size])
+            held.append(batch)
+            n += len(batch)
+            if n < batch_size:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            whole = n - n % batch_size
+            for start in range(0, whole, batch_size):
+                yield fn(rows.iloc[start:start + batch_size].reset_index(drop=True))
+            held, n = [rows.iloc[whole:]], n - whole
+        if n:
+            yield fn(pd.concat(held, ignore_index=True))
 
     return df.mapInPandas(run, schema)
 
 
+# Models of this worker process, by the id of the function that uses them.
+_MODELS: dict[str, Callable] = {}
+
+
+def _model(key: str, factory: Callable[[], Callable]) -> Callable:
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = factory()
+    return _MODELS[key]
+
+
 def generator(
-    factory: Callable[[], Callable[..., str]], options: GenerationOptions = GenerationOptions()
+    factory: Callable[[], Callable], options: GenerationOptions = GenerationOptions(),
+    batch_size: int | None = None,
 ) -> Callable[[Column | str], Column]:
     """Prompt text to ``struct<response, error>``.
 
-    ``factory`` builds the model once per task; the model is called with the prompt
-    and the generation arguments. A failing row yields an error, not a failed job.
+    ``factory`` builds the model once per worker process. With a ``batch_size`` the model is
+    called with lists of at most so many prompts and the generation arguments, and answers
+    each; if a call fails, its prompts are tried one by one. Without, it is called with one
+    prompt. A failing row yields an error, not a failed job.
     """
-    arguments = options.arguments()
+    arguments, key = options.arguments(), uuid.uuid4().hex
 
     @F.pandas_udf("struct<response:string,error:string>")
     def generate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = factory()
+        built = _model(key, factory)
+        model = built if batch_size else lambda prompts, **kw: [built(p, **kw) for p in prompts]
+        size = batch_size or 1
 
-        def answer(prompt: str) -> tuple[str | None, str | None]:
+        def answers(prompts: list[str]) -> list[tuple[str | None, str | None]]:
             try:
-                return model(prompt, **arguments), None
+                said = model(prompts, **arguments)
+                if len(said) != len(prompts):
+                    raise ValueError(f"{len(said)} answers to {len(prompts)} prompts")
+                return [(x, None) for x in said]
             except Exception as e:
-                return None, f"{type(e).__name__}: {e}"
+                if len(prompts) == 1:
+                    return [(None, f"{type(e).__name__}: {e}")]
+                return [x for p in prompts for x in answers([p])]
 
         for batch in batches:
-            yield pd.DataFrame([answer(p) for p in batch], columns=["response", "error"])
+            prompts = batch.tolist()
+            rows = [x for i in range(0, len(prompts), size) for x in answers(prompts[i:i + size])]
+            yield pd.DataFrame(rows, columns=["response", "error"])
 
     return generate
 
 
 def infer(
-    prompts: DataFrame, prompt: str, factory: Callable[[], Callable[..., str]],
-    options: GenerationOptions = GenerationOptions(),
+    prompts: DataFrame, prompt: str, factory: Callable[[], Callable],
+    options: GenerationOptions = GenerationOptions(), batch_size: int | None = None,
 ) -> DataFrame:
     """Add ``response`` and ``error`` to a prompt table."""
-    answered = prompts.withColumn("_a", generator(factory, options)(F.col(prompt)))
+    answered = prompts.withColumn("_a", generator(factory, options, batch_size)(F.col(prompt)))
     return answered.select(*prompts.columns, "_a.response", "_a.error")

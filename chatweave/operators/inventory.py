@@ -26,7 +26,7 @@ def file_sizes(listing: DataFrame) -> DataFrame:
 
 def artifact_sizes(listing: DataFrame, artifact: str = "artifact") -> DataFrame:
     return listing.groupBy(artifact).agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("total_bytes")
+        F.count("name").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")
     ).withColumn("total_gb", gibibytes("total_bytes"))
 
 
@@ -63,13 +63,14 @@ def card_text(
 ) -> Column:
     """A Markdown card of one configured artifact (after ``config_defaults``): a metadata
     block and a table of the training details."""
-    meta = [f"license: {license}", "base_model: %s", "tags:", *[f"- {t}" for t in tags],
-            f"library_name: {library}", "pipeline_tag: text-generation"]
-    table = ["| Field | Value |", "| --- | --- |", "| Base model | %s |", "| Rank (r) | %s |", "| Alpha | %s |",
-             "| Target modules | %s |", f"| Training steps | {training_steps} |"]
-    text = "\n".join(["---", *meta, "---", "", "# Adapter for %s", "", *table])
     base = F.col("base_model")
-    return F.format_string(text, base, base, base, F.col("lora_r"), F.col("lora_alpha_text"), F.col("modules"))
+    lines = ["---", f"license: {license}", F.concat(F.lit("base_model: "), base), "tags:", *[f"- {t}" for t in tags],
+             f"library_name: {library}", "pipeline_tag: text-generation", "---", "",
+             F.concat(F.lit("# Adapter for "), base), "", "| Field | Value |", "| --- | --- |"]
+    fields = {"Base model": base, "Rank (r)": F.col("lora_r"), "Alpha": F.col("lora_alpha_text"),
+              "Target modules": F.col("modules"), "Training steps": F.lit(training_steps)}
+    lines += [F.concat(F.lit(f"| {name} | "), F.coalesce(value, F.lit("null")), F.lit(" |")) for name, value in fields.items()]
+    return F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines])
 
 
 def device_memory(devices: Column | str = "devices") -> Column:

@@ -181,7 +181,7 @@ def head_slice(
     on the leading key reaches the scan. For an integer leading key only keys up to a
     quantile somewhat above the n-th are numbered.
     """
-    if n <= in_one_task:
+    if n <= max(in_one_task, 0):
         return df.orderBy(*keys).limit(n)
     indexed = global_index(_below_quantile(df.select(*keys), keys[0], n), keys)
     last = indexed.filter(F.col("idx") == n - 1).select(*keys).first()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -10,9 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chatweave.functions.tokens import pad_id, without_ids
 from chatweave.operators.ordered import global_index
+from chatweave.session import cut_lineage
 
 # Ids below the first piece id, in this order.
 SPECIALS = ("<unk>", "<eos>", "<pad>")
@@ -22,22 +23,30 @@ UNK_ID, EOS_ID, PAD_ID = 0, 1, 2
 # joined by shuffle.
 SHIPPED_PIECES = 500_000
 
-# Copies of a large vocabulary, to split frequent pieces in the shuffle join.
-JOIN_SALTS = 32
+# Pieces of a large vocabulary that are broadcast; its ids follow frequency.
+HEAD_PIECES = 100_000
 
 
 def fit_vocabulary(pieces: DataFrame, column: str, size: int, first_id: int = len(SPECIALS)) -> DataFrame:
     """The ``size`` most frequent pieces of an array column: ``(piece, id, n)``.
 
     Ids follow count, then the piece in binary order. Counting combines on the map
-    side, so a frequent piece does not load one task; ranks come from range partitions
-    of the counts, so no task sorts all pieces.
+    side, so a frequent piece does not load one task. The least count that can be among
+    the ``size`` comes from the number of pieces per count; only pieces that have it are
+    ranked.
     """
     # An outer explode: the inner one makes the optimizer test the array's size in a
     # filter at the scan, which splits every text once more per test.
     exploded = pieces.select(F.explode_outer(column).alias("piece")).filter(F.col("piece").isNotNull())
     counts = exploded.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    ranked = global_index(counts.withColumn("_order", -F.col("n")), ["_order", "piece"])
+    counts = cut_lineage(counts)
+    # How many pieces have each count; a cumulative sum from the top gives the least count kept.
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("pieces"))
+    before = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    least = (sizes.withColumn("above", F.coalesce(F.sum("pieces").over(before), F.lit(0)))
+             .filter(F.col("above") < size).agg(F.min("n").alias("n")).first()["n"])
+    survivors = counts.filter(F.col("n") >= F.lit(least)) if least is not None else counts.limit(0)
+    ranked = global_index(survivors.withColumn("_order", -F.col("n")), ["_order", "piece"])
     chosen = ranked.filter(F.col("idx") < size)
     return chosen.select("piece", (F.col("idx") + F.lit(first_id)).cast("int").alias("id"), "n")
 
@@ -83,14 +92,26 @@ def _list_of(values: pa.Array, like: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values, mask=mask)
 
 
+def _flat_lookup(known: dict, missing, kind: pa.DataType) -> Callable[[pa.Array], pa.Array]:
+    """List elements by a dictionary built once; each different element of a batch is
+    looked up once."""
+
+    def look(column: pa.Array) -> pa.Array:
+        once = column.flatten().dictionary_encode()
+        found = pa.array([known.get(x, missing) for x in once.dictionary.to_pylist()], kind)
+        return _list_of(pc.fill_null(pc.take(found, once.indices), missing), column)
+
+    return look
+
+
 def encoder(vocab: Vocabulary) -> Callable[[Column | str], Column]:
-    """Pieces to ids as an Arrow function: one hash lookup per batch, no shuffle."""
+    """Pieces to ids as an Arrow function: one lookup table per task, no shuffle."""
 
     @F.arrow_udf("array<int>")
-    def encode(column: pa.Array) -> pa.Array:
-        found = pc.index_in(column.flatten(), value_set=vocab.pieces)
-        ids = pc.fill_null(pc.take(vocab.ids, found), vocab.unk)
-        return _list_of(ids, column)
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        look = _flat_lookup(dict(zip(vocab.pieces.to_pylist(), vocab.ids.to_pylist())), vocab.unk, pa.int32())
+        for column in batches:
+            yield look(column)
 
     return encode
 
@@ -99,35 +120,38 @@ def decoder(vocab: Vocabulary) -> Callable[[Column | str], Column]:
     """Ids to pieces; ids outside the vocabulary give the unknown mark."""
 
     @F.arrow_udf("array<string>")
-    def decode(column: pa.Array) -> pa.Array:
-        found = pc.index_in(column.flatten().cast(pa.int32()), value_set=vocab.ids)
-        return _list_of(pc.fill_null(pc.take(vocab.pieces, found), SPECIALS[UNK_ID]), column)
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = dict(zip(vocab.ids.to_pylist(), vocab.pieces.to_pylist()))
+        look = _flat_lookup(known, SPECIALS[UNK_ID], pa.string())
+        for column in batches:
+            yield look(column)
 
     return decode
 
 
 def _lookup_by_join(
-    df: DataFrame, key: str, column: str, table: DataFrame, left: str, right: str,
-    missing: Column, out: str, salts: int,
+    df: DataFrame, column: str, table: DataFrame, left: str, right: str, missing: Column, out: str,
 ) -> DataFrame:
-    """Look every element up by a salted shuffle join and rebuild the arrays."""
-    items = (
-        df.select(key, F.posexplode_outer(column).alias("_pos", left))
-        .filter(F.col("_pos").isNotNull())
-        .withColumn("_salt", F.pmod(F.xxhash64(key, "_pos"), F.lit(salts)))
-    )
-    copies = table.select(left, right).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    )
-    found = items.join(copies, [left, "_salt"], "left").select(
-        key, "_pos", F.coalesce(right, missing).alias("_v")
-    )
-    rebuilt = found.groupBy(key).agg(
+    """Look every element up by joins and rebuild the arrays.
+
+    Rows get an id of their own, fixed in the shared folder, so no key of the caller
+    matters. Ids follow frequency: the ``HEAD_PIECES`` first are broadcast, and only the
+    elements that are not among them are shuffled.
+    """
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    items = rows.select("_row", F.posexplode_outer(column).alias("_pos", left)).filter(F.col("_pos").isNotNull())
+    head = table.filter(F.col("id") < HEAD_PIECES).select(left, F.struct(right).alias("_found"))
+    met = items.join(F.broadcast(head), left, "left")
+    near = met.filter(F.col("_found").isNotNull()).select("_row", "_pos", F.col(f"_found.{right}").alias("_v"))
+    rest = table.filter(F.col("id") >= HEAD_PIECES).select(left, right)
+    far = met.filter(F.col("_found").isNull()).join(rest, left, "left").select(
+        "_row", "_pos", F.coalesce(right, missing).alias("_v"))
+    rebuilt = near.unionByName(far).groupBy("_row").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_v"))), lambda x: x["_v"]).alias("_new")
     )
     # Rows with empty arrays have no items, hence the outer join.
     empty = F.when(F.col(column).isNotNull(), F.slice(F.array(missing), 1, 0))
-    return df.join(rebuilt, key, "left").withColumn(out, F.coalesce("_new", empty)).drop("_new")
+    return rows.join(rebuilt, "_row", "left").withColumn(out, F.coalesce("_new", empty)).drop("_new", "_row")
 
 
 def encode(
@@ -136,13 +160,13 @@ def encode(
 ) -> DataFrame:
     """Pieces to ids for every row; unknown pieces get the unknown id.
 
-    ``key`` identifies rows and is used for vocabularies above ``limit`` only.
+    Keys may repeat or be null; rows are told apart by ids of their own.
     """
     shipped = ship_vocabulary(vocab, limit)
     if shipped is not None:
         return df.withColumn(out, encoder(shipped)(F.col(column)))
     ids = vocab.select("piece", F.col("id").cast("int").alias("id"))
-    return _lookup_by_join(df, key, column, ids, "piece", "id", F.lit(UNK_ID), out, JOIN_SALTS)
+    return _lookup_by_join(df, column, ids, "piece", "id", F.lit(UNK_ID), out)
 
 
 def decode(
@@ -159,32 +183,5 @@ def decode(
         found = held.withColumn("_pieces", decoder(shipped)(F.col("_ids")))
     else:
         table = vocab.select(F.col("id").cast("int").alias("id"), "piece")
-        found = _lookup_by_join(
-            held, key, "_ids", table, "id", "piece", F.lit(SPECIALS[UNK_ID]), "_pieces", JOIN_SALTS
-        )
+        found = _lookup_by_join(held, "_ids", table, "id", "piece", F.lit(SPECIALS[UNK_ID]), "_pieces")
     return found.withColumn(out, F.array_join("_pieces", separator)).drop("_ids", "_pieces")
-
-
-def tokenizer_file_encoder(
-    serialized: str, max_length: int | None = None
-) -> Callable[[Column | str], Column]:
-    """Encode text with a user-supplied tokenizer (its JSON text), loaded once per task.
-
-    The JSON travels with the function, so workers need no shared file.
-    """
-
-    @F.arrow_udf("array<int>")
-    def encode_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # One task has one core; threads of its own would crowd the others.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(serialized)
-        if max_length is not None:
-            tokenizer.enable_truncation(max_length)
-        for batch in batches:
-            texts = batch.fill_null("").to_pylist()
-            ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-            yield pa.array(ids, pa.list_(pa.int32()))
-
-    return encode_text

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatweave.operators.inventory import artifact_sizes, card_text, config_defaults, missing_files
+from chatweave.operators.inventory import REQUIRED_FILES, artifact_sizes, card_text, config_defaults, missing_files
 
 
 def artifact_report(listing: DataFrame, configs: DataFrame) -> DataFrame:
-    """One row per artifact: config fields, file count, size, missing files and card.
+    """One row per artifact of either input: config fields, file count, size, missing files
+    and card.
 
     Both inputs are reduced to one row per artifact before they meet.
     """
@@ -20,6 +21,8 @@ def artifact_report(listing: DataFrame, configs: DataFrame) -> DataFrame:
     return (
         artifact_sizes(listing)
         .join(missing_files(listing), "artifact", "left")
-        .join(described, "artifact", "left")
+        .join(described, "artifact", "full")
+        .withColumn("n_files", F.coalesce("n_files", F.lit(0)))
+        .withColumn("missing", F.coalesce("missing", F.array(*[F.lit(r) for r in REQUIRED_FILES])))
         .withColumn("ready", F.size("missing") == 0)
     )

@@ -19,7 +19,7 @@ def prompt_texts(prompts: DataFrame, prompt: str = "prompt", system: str | None
 
 
 def answer_prompts(
-    prompts: DataFrame, factory: Callable[[], Callable[..., str]], prompt: str = "prompt",
-    system: str | None = None, options: GenerationOptions = GenerationOptions(),
+    prompts: DataFrame, factory: Callable[[], Callable], prompt: str = "prompt",
+    system: str | None = None, options: GenerationOptions = GenerationOptions(), batch_size: int | None = None,
 ) -> DataFrame:
-    return infer(prompt_texts(prompts, prompt, system), "text", factory, options)
+    return infer(prompt_texts(prompts, prompt, system), "text", factory, options, batch_size)

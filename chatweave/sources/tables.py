@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,14 +117,13 @@ def materialise(
 
 
 def publish(df: DataFrame, path: str, revision: str | None = None) -> None:
-    """Replace one revision of a published table and leave the others alone."""
-    (
-        df.withColumn("revision", F.lit(revision or "main"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("revision")
-        .parquet(path)
-    )
+    """Replace one revision of a published table, also by no rows, and leave the others alone.
+
+    The revision's folder is overwritten by its path, with the table's own way of writing
+    partition values.
+    """
+    name = re.sub(r"[\x00-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m[0]):02X}", revision or "main")
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/revision={name}")
 
 
 def write_sharded(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from chatweave.functions.text import classify_command, command_argument, strip
-from chatweave.operators.sessions import DEFAULT_SYSTEM, MAX_MESSAGES
+from chatweave.operators.sessions import DEFAULT_SYSTEM, MAX_MESSAGES, checked_messages
 from chatweave.schemas import MESSAGES
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -72,7 +72,7 @@ class ChatSession(StatefulProcessor):
 
     def __init__(self, default_system: str, max_messages: int) -> None:
         self.default_system = default_system
-        self.max_messages = max_messages
+        self.max_messages = checked_messages(max_messages)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.history = handle.getListState("history", "role string, content string")

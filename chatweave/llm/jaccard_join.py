@@ -219,7 +219,7 @@ def _emit_keys(shipped, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, seen = shipped.value, set()
         for _, texts in _texts(batches, 0):
-            keys, nodes, bands, needs = [], [], [], []
+            keys, nodes, bands, needs, sizes = [], [], [], [], []
             for s in shingle_sets(texts):
                 if not len(s) or (node := node_of(digest_of(s))) in seen:
                     continue
@@ -230,9 +230,11 @@ def _emit_keys(shipped, threshold: int):
                     nodes.append(np.full(len(k), node, np.int64))
                     bands.append(np.full(len(k), level, np.int32))
                     needs.append(np.full(len(k), least, np.int32))
+                    sizes.append(np.full(len(k), len(s), np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (keys, nodes, bands, needs)], ["key", "node", "level", "least"])
+                    [pa.array(np.concatenate(x)) for x in (keys, nodes, bands, needs, sizes)],
+                    ["key", "node", "level", "least", "n"])
 
     return run
 
@@ -264,6 +266,8 @@ def forest(digests: list, n: np.ndarray, groups: list, sketches: np.ndarray, wro
     """Edges that join groups of a bucket, one for each pair of groups met, among pairs that
     sizes and sketches allow and that have not been found wrong."""
     root = {g: g for g in groups}
+    numbers = {g: k for k, g in enumerate(root)}
+    labels = np.array([numbers[g] for g in groups])
 
     def find(g):
         while root[g] != g:
@@ -271,26 +275,41 @@ def forest(digests: list, n: np.ndarray, groups: list, sketches: np.ndarray, wro
             g = root[g]
         return g
 
-    edges = []
+    # The allowed pairs between different groups, those with the most room first, as these
+    # are the likeliest to hold.
+    pairs = []
     for i in range(len(digests) - 1):
         rest = slice(i + 1, None)
         least, most = np.minimum(n[rest], n[i]), np.maximum(n[rest], n[i])
-        fits = np.nonzero(most * threshold <= 100 * least)[0] + i + 1
+        fits = np.flatnonzero((most * threshold <= 100 * least) & (labels[rest] != labels[i])) + i + 1
         if not len(fits):
             continue
         off = np.bitwise_count(sketches[fits] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        near = fits[off * (100 + threshold) <= (100 - threshold) * (n[fits] + n[i])]
+        good = off * (100 + threshold) <= (100 - threshold) * (n[fits] + n[i])
+        share = off[good] / (n[fits[good]] + n[i])
+        # One partner in each group is enough for now.
+        order = np.argsort(share, kind="stable")
+        near, share = fits[good][order], share[order]
+        _, first = np.unique(labels[near], return_index=True)
         not_these = set(wrong[i] or ())
-        for j in near:
-            a, b = find(groups[i]), find(groups[j])
-            if a != b and digests[j] not in not_these:
-                root[max(a, b)] = min(a, b)
-                edges.append((digests[i], digests[j]))
+        if not_these:
+            first = [k for k in range(len(near)) if digests[near[k]] not in not_these]
+        pairs += [(share[k], i, int(near[k])) for k in first]
+    edges = []
+    for _, i, j in sorted(pairs):
+        a, b = find(groups[i]), find(groups[j])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            edges.append((digests[i], digests[j]))
     return edges
 
 
+EDGES = "at bigint, x int, y int, u binary, v binary"
+
+
 def _emit_edges(threshold: int):
-    """Rows (bucket, x, y, digest, n, group, bits, wrong), sorted by the first three, to edges."""
+    """Rows (at, x, y, digest, n, group, bits, wrong), sorted by the first three, which name a
+    bucket and its pair of blocks, to edges with these names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, held = None, []
 
@@ -301,7 +320,12 @@ def _emit_edges(threshold: int):
             sketches = np.frombuffer(b"".join(by[3]), np.uint8).reshape(len(held), -1)
             if sketches.shape[1] % 8 == 0:
                 sketches = sketches.view(np.uint64)
-            return forest(by[0], np.array(by[1]), by[2], sketches, by[4], threshold)
+            return [(*place, *e) for e in forest(by[0], np.array(by[1]), by[2], sketches, by[4], threshold)]
+
+        def out(edges: list[tuple]) -> pa.RecordBatch:
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*edges, strict=True), types, strict=True)], ["at", "x", "y", "u", "v"])
 
         edges: list[tuple] = []
         for batch in batches:
@@ -311,11 +335,11 @@ def _emit_edges(threshold: int):
                     place, held = row[:3], []
                 held.append(row[3:])
             if edges:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*edges, strict=True)], ["u", "v"])
+                yield out(edges)
                 edges = []
         edges += done() if held else []
         if edges:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*edges, strict=True)], ["u", "v"])
+            yield out(edges)
 
     return run
 
@@ -334,13 +358,16 @@ def _verify(threshold: int):
     return run
 
 
-def _enough(shared: DataFrame) -> DataFrame:
-    """The rows of sets that share enough keys, of keys that still have two such sets."""
-    some = (shared.groupBy("node", "level", "least").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= F.col("least")).select("node", "level"))
-    left = shared.join(some, ["node", "level"], "left_semi")
-    keys = left.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    return left.join(keys.select("key"), "key", "left_semi")
+def _enough(shared: DataFrame, threshold: int) -> DataFrame:
+    """The rows (key, node, level, least, n) of sets that share enough of their keys with
+    sets of a size near their own."""
+    by_size = Window.partitionBy("key").orderBy("n", "node")
+    near = (shared.withColumns({"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)})
+            .filter((F.col("before") * 100 >= F.col("n") * threshold) | (F.col("n") * 100 >= F.col("after") * threshold))
+            .drop("before", "after"))
+    some = (near.groupBy("node", "level", "least").agg(F.count(F.lit(1)).alias("has"))
+            .filter(F.col("has") >= F.col("least")).select("node", "level"))
+    return near.join(some, ["node", "level"], "left_semi")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
@@ -357,11 +384,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.filter(F.col("n").isNotNull()).select("id", "n", "digest")
 
     by_key = Window.partitionBy("key")
-    keyed = rows.select("text").mapInArrow(_emit_keys(spark.sparkContext.broadcast(frequent), threshold), "key bigint, node bigint, level int, least int")
+    keyed = rows.select("text").mapInArrow(_emit_keys(spark.sparkContext.broadcast(frequent), threshold), "key bigint, node bigint, level int, least int, n bigint")
     shared = (keyed.withColumns({
         "low": F.min("node").over(by_key), "high": F.max("node").over(by_key)}).filter(F.col("low") < F.col("high")))
-    shared = _saved(shared.select("key", "node", "level", "least").distinct(), "shared-keys")
-    shared = _saved(_enough(_enough(shared)), "kept-keys")
+    shared = shared.select("key", "node", "level", "least", "n").distinct()
+    for _ in range(2):  # each time sets go, others lose their partners
+        shared = _saved(_enough(shared, threshold), "shared-keys")
     signed = shared.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("bucket"), F.count(F.lit(1)).alias("size"))
     buckets = _saved(shared.join(signed, "key").select("bucket", "size", "level", "node").distinct(), "buckets")
 
@@ -384,23 +412,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = (buckets.join(known.select("digest", "node", "n", F.explode("sketches").alias("s")), "node")
            .filter(F.col("level") == F.col("s.level")).withColumn("parts", parts).withColumn("block", block)
            .withColumn("other", other))
-    met = _saved(met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                            "digest", "n", F.col("s.bits").alias("bits"), "level"), "met")
+    met = _saved(met.select(F.xxhash64("bucket", "level").alias("at"), F.least("block", "other").alias("x"),
+                            F.greatest("block", "other").alias("y"), "digest", "n", F.col("s.bits").alias("bits")), "met")
 
     edges, wrong, groups = None, None, None
+    place = ["at", "x", "y"]
     while True:
         now = met.withColumn("group", F.col("digest")) if groups is None else (
             met.join(groups, met["digest"] == groups["node"], "left")
             .withColumn("group", F.coalesce("component", "digest")).drop("node", "component"))
         now = now.withColumn("wrong", F.lit(None).cast("array<binary>")) if wrong is None else (
             now.join(wrong.groupBy(F.col("a").alias("digest")).agg(F.collect_set("b").alias("wrong")), "digest", "left"))
-        place = ["bucket", "level", "x", "y"]
-        dealt = (now.withColumn("at", F.xxhash64("bucket", "level")).select("at", "x", "y", "digest", "n", "group", "bits", "wrong", *place[:2])
-                 .repartition("at", "x", "y").sortWithinPartitions("at", "x", "y", "digest")
-                 .select("at", "x", "y", "digest", "n", "group", "bits", "wrong"))
-        tried = _saved(dealt.mapInArrow(_emit_edges(threshold), "u binary, v binary").distinct(), "edges")
-        if tried.isEmpty():
+        dealt = (now.select(*place, "digest", "n", "group", "bits", "wrong")
+                 .repartition(*place).sortWithinPartitions(*place, "digest"))
+        found = _saved(dealt.mapInArrow(_emit_edges(threshold), EDGES), "edges")
+        tried = found.select("u", "v").distinct()
+        if found.isEmpty():
             break
+        # Groups only grow: a bucket without an edge now will have none later.
+        met = met.join(found.select(*place).distinct(), place, "left_semi")
         one, two = (full.select(F.col("digest").alias(d), F.col("shingles").alias(s)) for d, s in (("u", "a"), ("v", "b")))
         tested = _saved(tried.join(one, "u").join(two, "v").select("u", "v", "a", "b")
                         .mapInArrow(_verify(threshold), "u binary, v binary, holds boolean"), "tested")

@@ -235,7 +235,7 @@ def test_items_are_found_exactly(spark):
     rng = random.Random(5)
     items = [(i, " ".join(f"i{i}w{j}" for j in range(n))) for i, n in enumerate([1, 3, 5, 6, 9, 10, 14, 15, 24, 60, 200])] + [(90, None), (91, " "), (3, "x y z x y z x y")]
     docs = [(None, items[8][1]), (5, None), (5, items[3][1]), (5, items[3][1].upper())]
-    for k in range(120):
+    for k in range(160):
         i, text = items[rng.randrange(11)]
         words = text.split()
         for _ in range(rng.randrange(4)):
@@ -270,8 +270,8 @@ def test_language_evidence(spark):
     alone = {r.doc_id: r for r in identify(df, model).collect()}
     assert sum(alone[i].text_lang == x for i, _, x, _ in rows if i >= 150) >= 145
     # A text that could be either goes with its host, its declaration and its suffix.
-    odd = [(1000, "a", None, "de.example.de"), (1001, "a", "fr", None), (1002, "a", None, "new.fr"), (1003, None, "en", "x"), (1004, "12 34", "en", "x"),
-           (1005, "日本語の文章です。これは誰にも読めない" * 5, None, None), (1000, "a", None, "de.example.de")]
+    odd = [(1000, "q", None, "de.example.de"), (1001, "q", "fr", None), (1002, "q", None, "new.fr"), (1003, None, "en", "x"), (1004, "12 34", "en", "x"),
+           (1005, "日本語の文章です。これは誰にも読めない" * 5, None, None), (1000, "q", None, "de.example.de")]
     more = df.drop("scores").unionByName(spark.createDataFrame(odd, "doc_id bigint, text string, lang string, host string"))
     got = {r.doc_id: r for r in identify(more, model, declared=F.col("lang"), host=F.col("host")).collect()}
     assert [got[i].language for i in (1000, 1001, 1002)] == ["de", "fr", "fr"]

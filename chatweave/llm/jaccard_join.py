@@ -13,7 +13,7 @@ common, in any order that is the same for all documents, are among the first ``|
 filled cells of A, and likewise of B. These cells are the join keys. k is a tenth of the set, and a document that
 shares fewer of its keys with any others has no link and goes no further. A set near the upper end of its band
 also joins the next band, where partners of up to 5/4 its size are. A second
-sketch of the same kind, with one bit a cell and four bits for each shingle that the band allows,
+sketch of the same kind, with one bit a cell and two bits for each shingle that the band allows,
 bounds the difference of a pair before its sets are fetched.
 
 Order of cells. Passages that many documents share would make hot keys. Cells that hold only
@@ -23,8 +23,8 @@ frequent shingles come last; the rest is ordered by hash. The list of frequent s
 Groups. Documents of equal sets are one class and only classes are joined. Keys with equal sets of
 classes are one bucket. Within a bucket (in blocks of ``BLOCK`` classes, each pair of blocks
 once), pairs that the sketches allow and that are not yet in one group are reduced to a
-spanning forest, whose edges are verified on the whole sets; edges that hold join groups.
-This repeats until no bucket has an allowed pair between two groups that has not been
+spanning forest; the best edge of each class is verified on the whole sets, and edges that
+hold join groups. This repeats until no bucket has an allowed pair between two groups that has not been
 verified, so no link between different texts is lost and no group is expanded into pairs.
 
 Defined cases: null text and text without words have an empty set, link with nothing and are
@@ -35,6 +35,7 @@ may repeat; an empty table gives an empty table; extra columns are ignored; text
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,7 +165,7 @@ def keys_of(shingles: np.ndarray, level: int, frequent: np.ndarray, threshold: i
 
 def parity_bits(shingles: np.ndarray, level: int) -> bytes:
     """One bit a cell: the parity of its shingles."""
-    width = 4 * 4 ** (level + 1)
+    width = 2 * 4 ** (level + 1)
     odd = np.bincount((shingles * TURN[1] >> np.uint64(64 - (width.bit_length() - 1))).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -296,15 +297,15 @@ def forest(digests: list, n: np.ndarray, groups: list, sketches: np.ndarray, wro
             first = [k for k in range(len(near)) if digests[near[k]] not in not_these]
         pairs += [(share[k], i, int(near[k])) for k in first]
     edges = []
-    for _, i, j in sorted(pairs):
+    for share, i, j in sorted(pairs):
         a, b = find(groups[i]), find(groups[j])
         if a != b:
             root[max(a, b)] = min(a, b)
-            edges.append((digests[i], digests[j]))
+            edges.append((digests[i], digests[j], float(share)))
     return edges
 
 
-EDGES = "at bigint, x int, y int, u binary, v binary"
+EDGES = "at bigint, x int, y int, u binary, v binary, share double"
 
 
 def _emit_edges(threshold: int):
@@ -323,9 +324,9 @@ def _emit_edges(threshold: int):
             return [(*place, *e) for e in forest(by[0], np.array(by[1]), by[2], sketches, by[4], threshold)]
 
         def out(edges: list[tuple]) -> pa.RecordBatch:
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.float64()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*edges, strict=True), types, strict=True)], ["at", "x", "y", "u", "v"])
+                [pa.array(c, t) for c, t in zip(zip(*edges, strict=True), types, strict=True)], ["at", "x", "y", "u", "v", "share"])
 
         edges: list[tuple] = []
         for batch in batches:
@@ -402,18 +403,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits = spark.sparkContext.broadcast([int(x) for x in bitmap.view(np.uint64)])
     sets = rows.select("text").mapInArrow(
         _emit_sets(bits, threshold), "node bigint, digest binary, n bigint, sketches array<struct<level:int,bits:binary>>, shingles binary")
-    sets = _saved(sets.join(buckets.select("node").distinct(), "node", "left_semi"), "sets")
-    known = sets.select("digest", "node", "n", "sketches").dropDuplicates(["digest"])
-    full = sets.select("digest", "shingles").dropDuplicates(["digest"])
+    # Bucketed by digest, so that the joins below read it without a shuffle.
+    table, n_parts = f"shingle_sets_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (sets.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["digest"])
+     .repartition(n_parts, "digest").write.bucketBy(n_parts, "digest").sortBy("digest")
+     .option("path", scratch_path(spark, "sets")).option("compression", "none").saveAsTable(table))
+    known = spark.table(table)
 
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    met = (buckets.join(known.select("digest", "node", "n", F.explode("sketches").alias("s")), "node")
-           .filter(F.col("level") == F.col("s.level")).withColumn("parts", parts).withColumn("block", block)
-           .withColumn("other", other))
+    met = (buckets.join(known.select("digest", "node", "n"), "node").withColumn("parts", parts)
+           .withColumn("block", block).withColumn("other", other))
     met = _saved(met.select(F.xxhash64("bucket", "level").alias("at"), F.least("block", "other").alias("x"),
-                            F.greatest("block", "other").alias("y"), "digest", "n", F.col("s.bits").alias("bits")), "met")
+                            F.greatest("block", "other").alias("y"), "digest", "n", "level"), "met")
 
     edges, wrong, groups = None, None, None
     place = ["at", "x", "y"]
@@ -423,15 +426,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("group", F.coalesce("component", "digest")).drop("node", "component"))
         now = now.withColumn("wrong", F.lit(None).cast("array<binary>")) if wrong is None else (
             now.join(wrong.groupBy(F.col("a").alias("digest")).agg(F.collect_set("b").alias("wrong")), "digest", "left"))
+        bits = F.get(F.filter("sketches", lambda k: k["level"] == F.col("level")), F.lit(0))["bits"]
+        now = now.join(known.select("digest", "sketches"), "digest").withColumn("bits", bits)
         dealt = (now.select(*place, "digest", "n", "group", "bits", "wrong")
                  .repartition(*place).sortWithinPartitions(*place, "digest"))
         found = _saved(dealt.mapInArrow(_emit_edges(threshold), EDGES), "edges")
-        tried = found.select("u", "v").distinct()
         if found.isEmpty():
             break
+        # Buckets that overlap offer many edges; the best one of each set is tried in this round.
+        ends = found.select(F.explode(F.array("u", "v")).alias("end"), F.struct("share", "u", "v").alias("e"))
+        tried = ends.groupBy("end").agg(F.min("e").alias("e")).select("e.u", "e.v").distinct()
         # Groups only grow: a bucket without an edge now will have none later.
         met = met.join(found.select(*place).distinct(), place, "left_semi")
-        one, two = (full.select(F.col("digest").alias(d), F.col("shingles").alias(s)) for d, s in (("u", "a"), ("v", "b")))
+        one, two = (known.select(F.col("digest").alias(d), F.col("shingles").alias(s)) for d, s in (("u", "a"), ("v", "b")))
         tested = _saved(tried.join(one, "u").join(two, "v").select("u", "v", "a", "b")
                         .mapInArrow(_verify(threshold), "u binary, v binary, holds boolean"), "tested")
         right = tested.filter("holds").select("u", "v")
@@ -442,6 +449,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wrong = no if wrong is None else wrong.unionByName(no)
         groups = connected(edges)
 
+    spark.sql(f"DROP TABLE {table}")
     labelled = members.withColumn("group", F.col("digest")) if groups is None else (
         members.join(groups, F.col("digest") == F.col("node"), "left").withColumn("group", F.coalesce("component", "digest")))
     least = labelled.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min("id").alias("least"))

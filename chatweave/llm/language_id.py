@@ -12,7 +12,8 @@ Four kinds of evidence are multiplied, in logarithms:
   towards the corpus. Counts are of what texts alone say, from grouped aggregation, without the row itself.
 
 The text models are fitted on at most ``max_rows`` different labelled texts per language
-(those of the lowest digest); all counts and priors come from all rows.
+(those of the lowest digest), for every declared language whatever its share of the rows; the
+label ``und`` is no language. All counts and priors come from all rows.
 
 A row is rejected (``kept`` false) if it has no letter, if its best language is ``und``
 or none of ``accept``, or if the best language's probability is below ``least``.
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatweave.operators.joins import bounded_broadcast
+from chatweave.operators.joins import BROADCAST_ROWS, bounded_broadcast
 from chatweave.session import scratch_path
 
 BUCKETS = 1 << 16
@@ -61,22 +62,21 @@ def fit_text_model(rows: DataFrame, label: str, text: str, max_rows: int = MAX_R
     """Languages and their log10 trigram weights, from at most ``max_rows`` different texts each."""
     known = rows.filter(F.col(label).isNotNull() & F.rlike(F.coalesce(F.col(text), F.lit("")), F.lit(LETTER)))
     if languages is None:
-        # Declared languages that hold at least a hundredth of the labelled rows: a hundred at most.
-        counts = known.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        languages = tuple(sorted(r[0] for r in counts.filter(F.col("n") * 100 >= total).collect()))
+        # Every declared language, whatever its share of the rows: the sample below bounds its texts.
+        languages = tuple(sorted(r[0] for r in known.select(label).distinct().collect() if r[0] != UNKNOWN))
     labelled = known.filter(F.col(label).isin(list(languages))).select(
         F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
     order = Window.partitionBy("label").orderBy("digest")
     chosen = (labelled.select("label", "digest").distinct().withColumn("n", F.row_number().over(order))
               .filter(F.col("n") <= max_rows).select("label", "digest"))
-    sample = labelled.join(F.broadcast(chosen), ["label", "digest"]).dropDuplicates(["label", "digest"])
+    chosen = F.broadcast(chosen) if len(languages) * max_rows <= BROADCAST_ROWS else chosen
+    sample = labelled.join(chosen, ["label", "digest"]).dropDuplicates(["label", "digest"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {x: np.zeros(BUCKETS) for x in languages}
+        seen: dict[str, np.ndarray] = {}
         for batch in batches:
             for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[x] += np.bincount(buckets(_bytes(t)), minlength=BUCKETS)
+                seen[x] = seen.get(x, 0.0) + np.bincount(buckets(_bytes(t)), minlength=BUCKETS)
         for x, n in seen.items():
             at = np.nonzero(n)[0]
             yield pa.RecordBatch.from_arrays(

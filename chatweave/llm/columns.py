@@ -24,6 +24,13 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def row_key(id_col: str, *cols: str) -> Column:
+    """The id, nulls last, and 128 hash bits of ``cols``: rows share it only if all of these are equal."""
+    seen = [F.col(c) for c in cols] + [F.col(c).isNull() for c in cols]
+    return F.struct(F.col(id_col).isNull().alias("blank"), F.col(id_col).alias("id"),
+                    F.xxhash64(F.lit(1), *seen).alias("x"), F.xxhash64(F.lit(2), *seen).alias("y"))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     plain = F.octet_length(text) == F.length(text)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatweave.llm.columns import let, shingle_hashes, words
+from chatweave.llm.columns import let, row_key, shingle_hashes, words
 
 BROADCAST_ROWS = 200_000
 
@@ -72,7 +72,9 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             .filter(F.col("n_shared") >= F.col("n_item") * threshold - 1e-9))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` without those that hold an item."""
-    hit = find_items(docs, items, id_col, **kw).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(F.col("_hit")), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      **kw) -> DataFrame:
+    """``docs`` without the rows that hold an item; other rows of the same id stay."""
+    keyed = docs.withColumn("_row", row_key(id_col, text_col))
+    hit = find_items(keyed, items, "_row", text_col, **kw).select(F.col("_row").alias("_hit")).distinct()
+    return keyed.join(hit, F.col("_row") == F.col("_hit"), "left_anti").drop("_row")

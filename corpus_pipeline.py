@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatweave.llm.columns import row_key
 from chatweave.llm.decontaminate import drop_contaminated
 from chatweave.llm.jaccard_join import near_duplicates
 from chatweave.llm.language_id import fit_text_model, identify
@@ -19,17 +20,21 @@ from chatweave.llm.packing import pack_documents
 from chatweave.session import scratch_path
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of ``ids``; rows that repeat an id go or stay together."""
-    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+ROW = "_row"  # what a stage decides on: rows share it only if all that the decision reads is equal
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` without ``rows``, by ``ROW``; other rows of the same id stay."""
+    gone = rows.select(F.col(ROW).alias("_gone")).distinct()
+    return docs.join(gone, F.col(ROW) == F.col("_gone"), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; blank ones and unknown scripts go."""
     model = fit_text_model(docs, "lang", "text")
-    judged = identify(docs, model, declared=F.col("lang"), host=F.col("source"))
-    return _without(docs, judged.filter(~F.col("kept")))
+    keyed = docs.withColumn(ROW, row_key("doc_id", "text", "lang", "source"))
+    judged = identify(keyed, model, ROW, declared=F.col("lang"), host=F.col("source"))
+    return _without(keyed, judged.filter(~F.col("kept"))).drop(ROW)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +46,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near duplicates."""
-    groups = near_duplicates(docs)
-    return _without(docs, groups.filter(F.col("doc_id") != F.col("component_id")))
+    """One row of each group of near duplicates: that of the least id, null ids last. Of rows
+    that are equal in all columns one stays; rows without words are in no group."""
+    keyed = docs.withColumn(ROW, row_key("doc_id", *docs.columns))
+    told = near_duplicates(keyed, ROW).groupBy(ROW).agg(
+        F.bool_or(F.col(ROW) != F.col("component_id")).alias("gone"),
+        ((F.max("n_shingles") > 0) & (F.count(F.lit(1)) > 1)).alias("repeats"))
+    path = scratch_path(spark, "near-rows")
+    told.filter(F.col("gone") | F.col("repeats")).write.parquet(path)
+    told = spark.read.parquet(path)
+    repeated = told.filter(~F.col("gone")).select(F.col(ROW).alias("_kept"))
+    once = keyed.join(repeated, F.col(ROW) == F.col("_kept"), "left_semi").dropDuplicates([ROW])
+    return _without(keyed, told).unionByName(once).drop(ROW)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,6 +92,6 @@ WHERE n <= 20
 def last20(spark: Spark, folder: str) -> DataFrame:
     rows = d.conversations(spark, folder).select(
         F.expr("conv_id div 10").alias("conv_id"), "turn", "role", F.md5("text").alias("text_md5"),
-        (F.col("conv_id") * 100 + F.col("turn")).alias("position"),
+        F.struct("conv_id", "turn").alias("position"),
     )
     return last_message_rows(rows, position="position").drop("position")

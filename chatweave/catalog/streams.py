@@ -57,7 +57,7 @@ FROM conversations
 
 def token_rows(spark: Spark, folder: str) -> DataFrame:
     rows = d.conversations(spark, folder).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        F.concat_ws(":", "conv_id", "turn").alias("id"),
         F.regexp_extract_all("text", F.lit(r"[^ ]+ *| +"), F.lit(0)).alias("t"),
     )
     items = rows.select("id", F.size("t").alias("n"), F.posexplode_outer("t").alias("seq", "token"))
@@ -65,7 +65,9 @@ def token_rows(spark: Spark, folder: str) -> DataFrame:
 
 
 def _texts(df: DataFrame) -> DataFrame:
-    return df.select("id", F.md5("text").alias("text_md5"), "n_tokens")
+    # The number that the SQL gives a message; it is no key, as conversations may have over 1,000 turns.
+    conv_id, turn = (F.split("id", ":")[i].cast("bigint") for i in (0, 1))
+    return df.select((conv_id * 1000 + turn).alias("id"), F.md5("text").alias("text_md5"), "n_tokens")
 
 
 @query("token_accumulate", TEXTS_SQL)
@@ -79,7 +81,7 @@ def stream_responses(spark: Spark, folder: str) -> DataFrame:
     root = scratch_path(spark, "tokens")
     # Files cut texts at any place: tokens of a text come in different micro-batches.
     token_rows(spark, folder).repartition(8, "id", "seq").write.parquet(f"{root}/in")
-    stream = responses(readers.token_rows(spark, f"{root}/in", files_per_batch=4))
+    stream = responses(readers.token_rows(spark, f"{root}/in", files_per_batch=4, id_type="string"))
     return _texts(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))
 
 

@@ -16,8 +16,8 @@ def session_inputs(spark: SparkSession, path: str, files_per_batch: int = 1000)
     return _stream(spark, path, SESSION_INPUT, files_per_batch)
 
 
-def token_rows(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    return _stream(spark, path, TOKEN_STREAM, files_per_batch)
+def token_rows(spark: SparkSession, path: str, files_per_batch: int = 1000, id_type: str = "bigint") -> DataFrame:
+    return _stream(spark, path, TOKEN_STREAM.replace("id bigint", f"id {id_type}", 1), files_per_batch)
 
 
 def telemetry_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:

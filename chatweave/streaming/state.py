@@ -58,7 +58,7 @@ def responses(tokens: DataFrame) -> DataFrame:
     """
     return tokens.groupBy("id").transformWithStateInPandas(
         statefulProcessor=ResponseText(),
-        outputStructType="id bigint, text string, n_tokens bigint",
+        outputStructType=f"id {dict(tokens.dtypes)['id']}, text string, n_tokens bigint",
         outputMode="Append",
         timeMode="None",
     )

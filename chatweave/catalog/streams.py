@@ -5,8 +5,6 @@ Each must give what its batch counterpart gives.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,36 +14,12 @@ from chatweave.catalog.sessions import CONTEXT_SQL, context_report
 from chatweave.operators.text_stream import accumulate_tokens
 from chatweave.session import scratch_path
 from chatweave.streaming import readers
-from chatweave.streaming.state import ROCKSDB_PROVIDER, chat_contexts, responses
+from chatweave.streaming.run import run_to_end
+from chatweave.streaming.state import chat_contexts, responses
 from chatweave.streaming.telemetry import memory_peaks
 
 Spark = SparkSession
 
-PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-
-
-@contextmanager
-def rocksdb_state(spark: Spark):
-    """Use the RocksDB state store for streams started inside."""
-    before = spark.conf.get(PROVIDER_CONF)
-    spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
-    try:
-        yield
-    finally:
-        spark.conf.set(PROVIDER_CONF, before)
-
-
-def run_to_end(spark: Spark, stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Process all available files and read what was written."""
-    with rocksdb_state(spark):
-        running = (
-            stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start()
-        )
-        running.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
-
-
 # Tokens: words with the blanks after them.
 TOKENS_SQL = r"regexp_extract_all(text, '[^ ]+ *| +')"
 

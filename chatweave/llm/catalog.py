@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatweave.llm.queries import language, native, pairs, search, texts, tokens
+from chatweave.llm.queries import audits, language, native, pairs, search, texts, tokens
 
-MODULES = (native, texts, tokens, search, language, pairs)
+MODULES = (native, texts, tokens, search, language, pairs, audits)
 
 
 def queries() -> dict:

@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chatweave.operators.canonical import exchanges
 from chatweave.session import cut_lineage
 from chatweave.sources.tables import read_table
 
+# Rows of conversation c begin at c times this: no turn number reaches it, so orders never collide.
+ROW_ORD = 1 << 32
+
 # SQL text of a piece split; the pattern is the same in both engines.
 PIECES_SQL = r"'\p{L}+|\p{N}|[^\t\n\x0b\x0c\r \p{L}\p{N}]+'"
 
@@ -30,9 +34,9 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Source A: answered user messages.
-PAIRS_SQL = """
+PAIRS_SQL = f"""
 pairs AS (
-  SELECT u.conv_id * 1000 + u.turn AS row_ord, u.text AS input, a.text AS output
+  SELECT u.conv_id * {ROW_ORD} + u.turn AS row_ord, u.text AS input, a.text AS output
   FROM conversations u JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant')
@@ -42,7 +46,7 @@ pairs AS (
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
     both = exchanges(conversations(spark, folder)).filter(F.col("reply").isNotNull())
     return both.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("row_ord"),
+        (F.col("conv_id") * ROW_ORD + F.col("turn")).alias("row_ord"),
         F.col("text").alias("input"), F.col("reply").alias("output"),
     )
 
@@ -70,9 +74,9 @@ def chats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Source B, list form: each exchange with the system message of its conversation.
-CHAT_LISTS_SQL = """
+CHAT_LISTS_SQL = f"""
 chat_lists AS (
-  SELECT u.conv_id * 1000 + u.turn AS row_ord, s.text AS system, u.text AS u, a.text AS a
+  SELECT u.conv_id * {ROW_ORD} + u.turn AS row_ord, s.text AS system, u.text AS u, a.text AS a
   FROM conversations u JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   LEFT JOIN conversations s ON s.conv_id = u.conv_id AND s.turn = 0 AND s.role = 'system'
@@ -91,16 +95,22 @@ def chat_lists(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit("assistant").alias("role"), F.col("reply").alias("content")),
     )
     return both.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("row_ord"), "system", chat.alias("chat")
+        (F.col("conv_id") * ROW_ORD + F.col("turn")).alias("row_ord"), "system", chat.alias("chat")
     )
 
 
-# Sessions of ten conversations each; commands, blanks and failures by text length.
+# Sessions of ten conversations each, one after the other: the turns of a conversation follow the last
+# turn of the one before. Commands, blanks and failures by text length.
 SESSIONS_SQL = """
+spans AS (
+  SELECT conv_id, max(turn) + 1 AS span FROM conversations WHERE role = 'user' GROUP BY conv_id),
+skips AS (
+  SELECT conv_id, CAST(coalesce(sum(span) OVER (PARTITION BY conv_id // 10 ORDER BY conv_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS skip FROM spans),
 users AS (
-  SELECT u.conv_id // 10 AS conv_id, (u.conv_id % 10) * 100 + u.turn AS turn,
+  SELECT u.conv_id // 10 AS conv_id, s.skip + u.turn AS turn,
     u.text, length(u.text) AS n, a.text AS reply
-  FROM conversations u LEFT JOIN conversations a
+  FROM conversations u JOIN skips s ON s.conv_id = u.conv_id LEFT JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
   WHERE u.role = 'user'),
 inputs AS (
@@ -117,7 +127,13 @@ inputs AS (
 
 
 def session_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    both = exchanges(conversations(spark, folder)).withColumn("n", F.length("text"))
+    """Inputs (conv_id, turn, text, reply) with ``conv``, the conversation each is from."""
+    rows = conversations(spark, folder)
+    # A window over one row per conversation; the inputs meet it in a join.
+    earlier = Window.partitionBy(F.expr("conv_id div 10")).orderBy("conv_id").rowsBetween(Window.unboundedPreceding, -1)
+    skips = rows.filter(F.col("role") == "user").groupBy("conv_id").agg((F.max("turn") + 1).alias("span")).select(
+        "conv_id", F.coalesce(F.sum("span").over(earlier), F.lit(0)).alias("skip"))
+    both = exchanges(rows).join(skips, "conv_id").withColumn("n", F.length("text"))
     n, text = F.col("n"), F.col("text")
     changed = (
         F.when(n % 37 == 1, " /CLEAR\n")
@@ -130,12 +146,19 @@ def session_inputs(spark: SparkSession, folder: str) -> DataFrame:
     # Later branches read the inputs several times, so they become a table first.
     return cut_lineage(both.select(
         F.expr("conv_id div 10").alias("conv_id"),
-        (F.col("conv_id") % 10 * 100 + F.col("turn")).alias("turn"),
+        (F.col("skip") + F.col("turn")).alias("turn"),
         changed.alias("text"),
         F.when(n % 11 != 6, F.col("reply")).alias("reply"),
+        F.col("conv_id").alias("conv"),
     ))
 
 
+def input_times(inputs: DataFrame, pause: int = 0) -> DataFrame:
+    """Session inputs with ``at``: a minute per turn, and ``pause`` minutes after every third conversation."""
+    minutes = F.col("turn") + F.lit(pause) * F.expr("conv % 10 div 3")
+    return inputs.withColumn("at", F.timestamp_seconds(F.lit(1_704_067_200) + minutes * 60)).drop("conv")
+
+
 # Stripping in SQL, with the same characters.
 STRIP_SQL = (
     r"regexp_replace({0}, '^[\t\n\x0b\x0c\r\x1c-\x1f \x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}"

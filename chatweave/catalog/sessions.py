@@ -20,7 +20,7 @@ from chatweave.operators.sessions import (
 Spark = SparkSession
 
 # Positions per chunk here: sessions of ten conversations span several chunks.
-SPAN = 256
+SPAN = 16
 
 
 @query("classify_input", f"""

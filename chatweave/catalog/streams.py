@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from chatweave.catalog import derived as d
 from chatweave.catalog import query
-from chatweave.catalog.sessions import CONTEXT_SQL, context_report
+from chatweave.catalog.sessions import CONTEXT_SQL, SPAN, context_report
+from chatweave.operators.sessions import idle_contexts
 from chatweave.operators.text_stream import accumulate_tokens
 from chatweave.session import scratch_path
 from chatweave.streaming import readers
@@ -24,7 +25,7 @@ Spark = SparkSession
 TOKENS_SQL = r"regexp_extract_all(text, '[^ ]+ *| +')"
 
 TEXTS_SQL = f"""
-SELECT conv_id * 1000 + turn AS id, md5(text) AS text_md5, CAST(len({TOKENS_SQL}) AS BIGINT) AS n_tokens
+SELECT conv_id, turn, md5(text) AS text_md5, CAST(len({TOKENS_SQL}) AS BIGINT) AS n_tokens
 FROM conversations
 """
 
@@ -38,10 +39,9 @@ def token_rows(spark: Spark, folder: str) -> DataFrame:
     return items.filter(F.col("seq").isNotNull()).select("id", "seq", "token", (F.col("seq") == F.col("n") - 1).alias("is_last"))
 
 
-def _texts(df: DataFrame) -> DataFrame:
-    # The number that the SQL gives a message; it is no key, as conversations may have over 1,000 turns.
+def _texts(df: DataFrame, *more: str) -> DataFrame:
     conv_id, turn = (F.split("id", ":")[i].cast("bigint") for i in (0, 1))
-    return df.select((conv_id * 1000 + turn).alias("id"), F.md5("text").alias("text_md5"), "n_tokens")
+    return df.select(conv_id.alias("conv_id"), turn.alias("turn"), F.md5("text").alias("text_md5"), "n_tokens", *more)
 
 
 @query("token_accumulate", TEXTS_SQL)
@@ -59,21 +59,83 @@ def stream_responses(spark: Spark, folder: str) -> DataFrame:
     return _texts(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))
 
 
+# Some short words stand for special tokens; odd messages never get their last token.
+SPECIALS = ("the ", "of ", "de ", "la ", "die ", "en ")
+
+SPECIALS_SQL = f"""
+SELECT conv_id, turn, md5(array_to_string(list_filter(t, lambda x: x NOT IN {SPECIALS}), '')) AS text_md5,
+  CAST(len(t) AS BIGINT) AS n_tokens, turn % 2 = 0 AS complete
+FROM (SELECT conv_id, turn, {TOKENS_SQL} AS w, CASE WHEN turn % 2 = 0 THEN w ELSE w[:-2] END AS t FROM conversations)
+WHERE len(t) > 0
+"""
+
+
+@query("stream_tokens", SPECIALS_SQL)
+def stream_tokens(spark: Spark, folder: str) -> DataFrame:
+    """Repeated and special tokens, tokens that are late, responses that never end."""
+    root = scratch_path(spark, "tokens")
+    rows = token_rows(spark, folder).withColumn("at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq")))
+    rows = rows.filter(~(F.col("is_last") & (F.split("id", ":")[1].cast("bigint") % 2 == 1)))
+    half = F.pmod(F.xxhash64("id", "seq"), F.lit(2))
+
+    def go(more: DataFrame) -> DataFrame:
+        more.write.mode("append").parquet(f"{root}/in")
+        stream = responses(readers.token_rows(spark, f"{root}/in", 2, "string", at="at"), SPECIALS, "at", "2 days", "1 hour")
+        return run_to_end(spark, stream, f"{root}/out", f"{root}/state")
+
+    go(rows.filter(half == 0).repartition(4, "id", "seq"))
+    # All tokens, so half of them a second time.
+    go(rows.repartition(4, "id", "seq"))
+    # A token far ahead moves the watermark past all that is open.
+    ahead = spark.range(1).select(F.lit("-1:0").alias("id"), F.lit(0).alias("seq"), F.lit("x").alias("token"), F.lit(False).alias("is_last"))
+    go(ahead.withColumn("at", F.lit("2030-01-01 00:00:00").cast("timestamp")))
+    found = go(rows.withColumn("token", F.lit("late")).repartition(2, "id"))
+    return _texts(found, "complete")
+
+
+def _replay(spark: Spark, parts: list[DataFrame], delay: str, idle: str) -> DataFrame:
+    """Contexts of inputs that are written and read one part after the other, with a restart after each."""
+    root = scratch_path(spark, "inputs")
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{root}/in/part={i}")
+        stream = chat_contexts(readers.session_inputs(spark, f"{root}/in/*", 2, at="at"), at="at", delay=delay, idle=idle)
+        found = run_to_end(spark, stream, f"{root}/out", f"{root}/state")
+    return found
+
+
+def _last_input(spark: Spark) -> DataFrame:
+    """An input far ahead, which moves the watermark past all others."""
+    return spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.lit(0).cast("bigint").alias("turn"), F.lit("/exit").alias("text"),
+        F.lit(None).cast("string").alias("reply"), F.lit("2100-01-01 00:00:00").cast("timestamp").alias("at"))
+
+
 @query("stream_contexts", CONTEXT_SQL)
 def stream_contexts(spark: Spark, folder: str) -> DataFrame:
-    root = scratch_path(spark, "inputs")
-    inputs = d.session_inputs(spark, folder)
-    # Stretches of turns, written one after the other; within a stretch a session is in
-    # one file, so files in order of their time keep the order of each session.
-    for i, (low, high) in enumerate([(None, 300), (300, 600), (600, None)]):
-        stretch = inputs
-        if low is not None:
-            stretch = stretch.filter(F.col("turn") >= low)
-        if high is not None:
-            stretch = stretch.filter(F.col("turn") < high)
-        stretch.repartition("conv_id").write.mode("append").parquet(f"{root}/in/stretch={i}")
-    stream = chat_contexts(readers.session_inputs(spark, f"{root}/in/*", files_per_batch=5))
-    return context_report(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))
+    inputs = d.input_times(d.session_inputs(spark, folder))
+    # Files in any order: each holds rows of all sessions and times.
+    parts = [inputs.filter(F.pmod(F.xxhash64("turn", "conv_id"), F.lit(2)) == i).repartition(4, "turn") for i in (0, 1)]
+    return context_report(_replay(spark, [*parts, _last_input(spark)], "10000 days", "10000 days"))
+
+
+IDLE_SQL = CONTEXT_SQL.replace("u.conv_id // 10 AS conv_id", "u.conv_id // 10 * 4 + u.conv_id % 10 // 3 AS conv_id").replace(
+    "SELECT t.conv_id, t.turn,\n  CAST", "SELECT t.conv_id // 4 AS conv_id, t.turn,\n  CAST")
+
+
+@query("idle_contexts", IDLE_SQL)
+def idle_batch(spark: Spark, folder: str) -> DataFrame:
+    inputs = d.input_times(d.session_inputs(spark, folder), pause=120)
+    return context_report(idle_contexts(inputs, "at", "100 minutes", span=SPAN))
+
+
+@query("stream_sessions", IDLE_SQL)
+def stream_sessions(spark: Spark, folder: str) -> DataFrame:
+    """Sessions that go idle, with inputs that are repeated, out of order, or late."""
+    inputs = d.input_times(d.session_inputs(spark, folder), pause=120)
+    half = inputs.filter(F.pmod(F.xxhash64("turn", "conv_id"), F.lit(2)) == 0)
+    late = inputs.withColumn("text", F.lit("late"))
+    parts = [half.repartition(4, "turn"), inputs.repartition(4, "turn"), _last_input(spark), late.repartition(2, "turn")]
+    return context_report(_replay(spark, parts, "1000 days", "100 minutes"))
 
 
 PEAKS_SQL = f"""

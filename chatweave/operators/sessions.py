@@ -8,6 +8,7 @@ end it.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -178,6 +179,26 @@ def turn_context(
     return held.select("conv_id", "turn", messages.alias("messages"))
 
 
+def idle_contexts(
+    inputs: DataFrame, at: str, idle: str, default_system: str = DEFAULT_SYSTEM,
+    max_messages: int = MAX_MESSAGES, span: int = SPAN,
+) -> DataFrame:
+    """``turn_context`` of sessions that end when they get no input for ``idle``.
+
+    The next input starts with an empty history and the default system message, also
+    after an exit. Blank inputs are none; times rise with the turns.
+    """
+    taken = span_chunks(inputs.filter(strip("text") != ""), "turn", span)
+    seconds = F.col(at).cast("double")
+    before = running(taken.withColumn("_s", seconds), ["conv_id"], ["turn"],
+                     {"_before": Running("last", F.col("_s"), inclusive=False)})
+    gap = F.coalesce(F.col("_s") - F.col("_before") > pd.Timedelta(idle).total_seconds(), F.lit(False))
+    numbered = running(before.withColumn("_gap", gap.cast("long")), ["conv_id"], ["turn"], {"_session": Running("sum", F.col("_gap"))})
+    key = F.struct(F.col("conv_id").alias("id"), F.col("_session").alias("session"))
+    rows = numbered.select(key.alias("conv_id"), "turn", "text", "reply")
+    return turn_context(rows, default_system, max_messages, span).withColumn("conv_id", F.col("conv_id.id"))
+
+
 def last_message_rows(
     rows: DataFrame, group: str = "conv_id", position: str = "turn", n: int = MAX_MESSAGES
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +26,14 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def run_to_end(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+def run_to_end(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str,
+               rocksdb: bool = True) -> DataFrame:
     """Process all files that are there in micro-batches and read all that was ever written to ``out``.
 
-    With the same folders again, only new files are read and state goes on from the last batch.
+    With the same folders again, only new files are read and state goes on from the last batch. Without
+    ``rocksdb`` state is kept as the session says.
     """
-    with rocksdb_state(spark):
+    with rocksdb_state(spark) if rocksdb else nullcontext():
         running = (
             stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start()

@@ -1,13 +1,15 @@
 """Keyed state: growing responses and chat sessions.
 
-State needs the RocksDB store:
-``spark.sql.streaming.stateStore.providerClass`` =
-``org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``.
+State needs the RocksDB store (``chatweave.streaming.run.rocksdb_state``). Timers end what has
+gone idle, on one of two clocks: event time, that is the watermark of a time column,
+or the time of processing. On event time results do not depend on how rows are dealt to
+micro-batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,119 +20,256 @@ from chatweave.functions.text import classify_command, command_argument, strip
 from chatweave.operators.sessions import DEFAULT_SYSTEM, MAX_MESSAGES, checked_messages
 from chatweave.schemas import MESSAGES
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+def milliseconds(interval: str) -> int:
+    """An interval such as ``10 minutes`` in milliseconds."""
+    return int(pd.Timedelta(interval).total_seconds() * 1000)
+
+
+class Clock:
+    """The time that timers of a processor go by."""
+
+    def __init__(self, mode: str) -> None:
+        self.mode = mode  # EventTime, ProcessingTime or None
+
+    def now(self, timers) -> int:
+        return timers.getCurrentWatermarkInMs() if self.mode == "EventTime" else timers.getCurrentProcessingTimeInMs()
+
+
+def add_numbers(runs: list[list[int]], numbers: Sequence[int]) -> tuple[list[list[int]], list[int]]:
+    """Add numbers to a set kept as ascending runs [first, last]; also those that were new."""
+    known, new = [list(r) for r in runs], []
+    for n in sorted(set(numbers)):
+        if not any(a <= n <= b for a, b in known):
+            new.append(n)
+            known.append([n, n])
+    merged: list[list[int]] = []
+    for a, b in sorted(known):
+        if merged and a <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    return merged, new
 
 
 class ResponseText(StatefulProcessor):
-    """Holds the tokens of a response until its last one has come and none is missing."""
+    """Holds the tokens of a response until its last one has come and none is missing.
+
+    A finished response leaves a mark, so that repeated tokens do not open it again; the mark
+    and what stays unfinished go when the response has been idle.
+    """
+
+    def __init__(self, specials: Sequence[str], clock: Clock, idle_ms: int, at: str | None) -> None:
+        self.specials, self.clock, self.idle_ms, self.at = frozenset(specials), clock, idle_ms, at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.tokens = handle.getListState("tokens", "seq int, token string")
-        self.progress = handle.getValueState("progress", "held int, length int")
+        # Sequence numbers held as runs; last is the time of the newest token.
+        self.progress = handle.getValueState("progress", "runs string, length int, last bigint, done boolean")
+
+    def _result(self, key, tokens: list[tuple], n: int, complete: bool) -> pd.DataFrame:
+        text = "".join(token for _, token in sorted(tokens) if token not in self.specials)
+        return pd.DataFrame({"id": [key[0]], "text": [text], "n_tokens": [n], "complete": [complete]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows))
-        new = list(zip(batch["seq"].tolist(), batch["token"].tolist()))
         known = self.progress.exists()
-        held, length = self.progress.get() if known else (0, -1)
+        runs, length, last, done = self.progress.get() if known else ("[]", -1, 0, False)
+        newest = int(batch["ms"].max()) if self.at else self.clock.now(timerValues) if self.idle_ms else 0
+        if self.idle_ms and not known:
+            self.handle.registerTimer(max(newest, last) + self.idle_ms)
+        last = max(last, newest)
+        if done:
+            self.progress.update((runs, length, last, True))
+            return
+        # State is touched once per micro-batch, whatever the number of tokens.
+        first = {int(s): t for s, t in zip(batch["seq"][::-1], batch["token"][::-1], strict=True)}
+        held, new = add_numbers(json.loads(runs), list(first))
         ends = batch.loc[batch["is_last"], "seq"]
         length = int(ends.iloc[0]) + 1 if len(ends) else length
-        if held + len(new) != length:
-            # State is touched once per micro-batch, whatever the number of tokens.
-            self.tokens.appendList(new)
-            self.progress.update((held + len(new), length))
+        tokens = [(s, first[s]) for s in new]
+        if held != [[0, length - 1]]:
+            if tokens:
+                self.tokens.appendList(tokens)
+            self.progress.update((json.dumps(held), length, last, False))
             return
         if known:
-            new += [tuple(x) for x in self.tokens.get()]
+            tokens += [tuple(x) for x in self.tokens.get()]
             self.tokens.clear()
+        if self.idle_ms:
+            self.progress.update(("[]", length, last, True))
+        else:
             self.progress.clear()
-        text = "".join(token for _, token in sorted(new))
-        yield pd.DataFrame({"id": [key[0]], "text": [text], "n_tokens": [length]})
+        yield self._result(key, tokens, length, True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.progress.exists():
+            return
+        runs, _, last, done = self.progress.get()
+        if last + self.idle_ms > expiredTimerInfo.getExpiryTimeInMs():  # tokens came since it was set
+            self.handle.registerTimer(last + self.idle_ms)
+            return
+        if not done:
+            tokens = [tuple(x) for x in self.tokens.get()]
+            yield self._result(key, tokens, sum(b - a + 1 for a, b in json.loads(runs)), False)
+        self.tokens.clear()
+        self.progress.clear()
 
     def close(self) -> None:
         pass
 
 
-def responses(tokens: DataFrame) -> DataFrame:
-    """Full texts from a stream of token rows, one row per finished response.
+def responses(tokens: DataFrame, specials: Sequence[str] = (), at: str | None = None, delay: str = "10 minutes",
+              idle: str | None = None) -> DataFrame:
+    """Texts from a stream of token rows, one row per response, without the tokens in ``specials``.
 
-    Tokens may arrive in any order and in any number of micro-batches, each once.
+    Tokens may arrive in any order, in any number of micro-batches and several times; of those of one number the
+    first counts. ``n_tokens`` counts the numbers. With ``at``, a time column, tokens more than ``delay`` behind the newest
+    of the stream are dropped, and a response without tokens for ``idle`` (then 1 hour unless
+    given) ends as it is, ``complete`` being false; with ``idle`` alone the same goes by the time of
+    processing. With neither, a response ends with its last token only, and its state goes at once.
     """
-    return tokens.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=ResponseText(),
-        outputStructType=f"id {dict(tokens.dtypes)['id']}, text string, n_tokens bigint",
+    mode = "EventTime" if at else "ProcessingTime" if idle else "None"
+    idle_ms = milliseconds(idle or "1 hour") if at or idle else 0
+    columns = ["id", "seq", "token", "is_last"]
+    rows = tokens.select(*columns)
+    if at:
+        rows = tokens.withWatermark(at, delay).select(*columns, at, F.unix_millis(F.col(at).cast("timestamp")).alias("ms"))
+    return rows.groupBy("id").transformWithStateInPandas(
+        statefulProcessor=ResponseText(specials, Clock(mode), idle_ms, at),
+        outputStructType=f"id {dict(tokens.dtypes)['id']}, text string, n_tokens bigint, complete boolean",
         outputMode="Append",
-        timeMode="None",
+        timeMode=mode,
     )
 
 
 class ChatSession(StatefulProcessor):
     """History, system message and end mark of one session.
 
-    Inputs come classified, so only the order-dependent part runs here.
+    Inputs come classified, so only the order-dependent part runs here. On a clock, inputs wait
+    until the watermark has passed them and are then taken in order of time and turn; a
+    session that is idle ends, and its next input begins a new one.
     """
 
-    def __init__(self, default_system: str, max_messages: int) -> None:
+    def __init__(self, default_system: str, max_messages: int, clock: Clock, idle_ms: int) -> None:
         self.default_system = default_system
         self.max_messages = checked_messages(max_messages)
+        self.clock, self.idle_ms = clock, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.history = handle.getListState("history", "role string, content string")
-        self.system = handle.getValueState("system", "text string")
-        self.ended = handle.getValueState("ended", "flag boolean")
+        # last and turn are time and number of the newest input taken; timer is the next one set.
+        self.session = handle.getValueState("session", "system string, ended boolean, last bigint, turn bigint")
+        self.waiting = handle.getListState("waiting", "ms bigint, turn bigint, u string, cmd string, arg string, reply string")
+        self.timer = handle.getValueState("timer", "ms bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.ended.exists():
+    def _set_timer(self, ms: int) -> None:
+        before = self.timer.get()[0] if self.timer.exists() else None
+        if before is not None and before <= ms:
             return
-        batch = pd.concat(list(rows)).sort_values("turn")
-        system = self.system.get()[0] if self.system.exists() else self.default_system
-        history = [tuple(x) for x in self.history.get()] if self.history.exists() else []
+        if before is not None:
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
+
+    def _take(self, key, inputs: list[tuple]) -> Iterator[pd.DataFrame]:
+        """Inputs (ms, turn, text, command, argument, reply) in order, all newer than those before."""
+        known = self.session.exists()
+        system, ended, last, newest = self.session.get() if known else (self.default_system, False, None, None)
+        history = [tuple(x) for x in self.history.get()] if known and self.history.exists() else []
         out = []
-        for turn, text, cmd, arg, reply in zip(
-            batch["turn"], batch["u"], batch["cmd"], batch["sys_arg"], batch["reply"]
-        ):
+        for ms, turn, text, cmd, arg, reply in inputs:
+            if newest is not None and (ms, turn) <= (last, newest):
+                continue  # a repeat
+            if self.idle_ms and last is not None and ms > last + self.idle_ms:
+                system, ended, history = self.default_system, False, []
+            last, newest = ms, turn
+            if ended:
+                continue
             if cmd == "exit":
-                self.ended.update((True,))
-                self.history.clear()
-                break
-            if cmd in ("clear", "system"):
+                ended, history = True, []
+            elif cmd in ("clear", "system"):
                 history = []
                 system = arg if cmd == "system" else system
-                continue
-            head = [("system", system)] if system else []
-            sent = [*head, *history, ("user", text)]
-            out.append((key[0], turn, [{"role": r, "content": c} for r, c in sent]))
-            if not pd.isna(reply):
-                history = [*history, ("user", text), ("assistant", reply)][-self.max_messages:]
-        if not self.ended.exists():
-            self.system.update((system,))
-            if history:
-                self.history.put(history)
             else:
-                self.history.clear()
+                head = [("system", system)] if system else []
+                sent = [*head, *history, ("user", text)]
+                out.append((key[0], turn, [{"role": r, "content": c} for r, c in sent]))
+                if not pd.isna(reply):
+                    history = [*history, ("user", text), ("assistant", reply)][-self.max_messages:]
+        self.session.update((system, ended, last, newest))
+        if history:
+            self.history.put(history)
+        else:
+            self.history.clear()
         if out:
             yield pd.DataFrame(out, columns=["conv_id", "turn", "messages"])
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["ms", "turn"])
+        columns = [batch[c] for c in ("ms", "turn", "u", "cmd", "sys_arg", "reply")]
+        inputs = [(*r[:4], *(None if pd.isna(x) else x for x in r[4:])) for r in zip(*columns, strict=True)]
+        if self.clock.mode == "None":
+            yield from self._take(key, inputs)
+            return
+        self.waiting.appendList(inputs)
+        self._set_timer(inputs[0][0])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = self.clock.now(timerValues)
+        self.timer.clear()
+        waiting = sorted((tuple(x) for x in self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
+        due = [r for r in waiting if r[0] <= now]
+        if due:
+            yield from self._take(key, due)
+            waiting = waiting[len(due):]
+            if waiting:
+                self.waiting.put(waiting)
+            else:
+                self.waiting.clear()
+        if waiting:
+            self._set_timer(waiting[0][0])
+        elif self.session.exists():
+            end = self.session.get()[2] + self.idle_ms
+            if end > now:
+                self._set_timer(end)
+            else:  # nothing older than the watermark can come
+                self.session.clear()
+                self.history.clear()
+
     def close(self) -> None:
         pass
 
 
 def chat_contexts(
-    inputs: DataFrame, default_system: str = DEFAULT_SYSTEM, max_messages: int = MAX_MESSAGES
+    inputs: DataFrame, default_system: str = DEFAULT_SYSTEM, max_messages: int = MAX_MESSAGES,
+    at: str | None = None, delay: str = "10 minutes", idle: str = "1 day",
 ) -> DataFrame:
     """The message list for each user turn of a stream of session inputs.
 
-    Rows of one session are taken in turn order inside a micro-batch and in arrival
-    order across micro-batches. Stripping and classification stay in the JVM.
+    With ``at``, a time column, the inputs of a session are taken in order of time and turn, in whatever
+    order and however often they arrive: each waits until the watermark, ``delay`` behind the newest
+    input of the stream, has passed it; what comes later than that is dropped. A session ends
+    when it gets no input for ``idle``: the next one starts with an empty history and the default system
+    message, also after an exit, and an idle session leaves no state.
+
+    Without ``at`` rows are taken in turn order inside a micro-batch and in arrival
+    order across micro-batches, once each, and sessions do not end. Stripping and classification stay in the JVM.
     """
     stripped = inputs.withColumn("u", strip("text")).filter(F.col("u") != "")
+    ms = F.unix_millis(F.col(at).cast("timestamp")) if at else F.lit(0).cast("bigint")
+    if at:
+        stripped = stripped.withWatermark(at, delay)
     kinds = stripped.withColumn("cmd", classify_command("u")).select(
         "conv_id", "turn", "u", "cmd",
-        F.when(F.col("cmd") == "system", command_argument("u")).alias("sys_arg"), "reply",
+        F.when(F.col("cmd") == "system", command_argument("u")).alias("sys_arg"), "reply", ms.alias("ms"), *([at] if at else []),
     )
+    mode = "EventTime" if at else "None"
     return kinds.groupBy("conv_id").transformWithStateInPandas(
-        statefulProcessor=ChatSession(default_system, max_messages),
-        outputStructType=f"conv_id bigint, turn bigint, messages {MESSAGES}",
+        statefulProcessor=ChatSession(default_system, max_messages, Clock(mode), milliseconds(idle) if at else 0),
+        outputStructType=f"conv_id {dict(inputs.dtypes)['conv_id']}, turn bigint, messages {MESSAGES}",
         outputMode="Append",
-        timeMode="None",
+        timeMode=mode,
     )

@@ -28,6 +28,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
     from chatweave.catalog import (  # noqa: F401
         artifacts,
         batches,
+        formats,
         generation,
         preparation,
         sampling,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chatweave.catalog import derived as d
 from chatweave.catalog import query
 from chatweave.functions.tokens import byte_ids, new_tokens, pieces, truncate
+from chatweave.operators import lengths
 from chatweave.operators.vocabulary import (
     SPECIALS,
     UNK_ID,
@@ -16,7 +17,7 @@ from chatweave.operators.vocabulary import (
     fit_vocabulary,
 )
 from chatweave.plans.prepare import encoded_rows
-from chatweave.session import spread
+from chatweave.session import scratch_path, spread
 
 Spark = SparkSession
 
@@ -165,15 +166,28 @@ SELECT s.lang, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens, CAST(max(
 FROM sizes s JOIN distinct_pieces q ON q.lang = s.lang GROUP BY s.lang
 """)
 def length_stats(spark: Spark, folder: str) -> DataFrame:
-    rows = _pieces(spark, folder)
-    sizes = rows.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.sum(F.size("p").cast("long")).alias("n_tokens"),
-        F.max(F.size("p")).alias("longest"),
-        F.percentile(F.size("p"), 0.5).alias("p50"),
-        F.percentile(F.size("p"), 0.9).alias("p90"),
-    )
-    kinds = rows.select("lang", F.explode_outer("p").alias("piece")).groupBy("lang").agg(
-        F.countDistinct("piece").alias("n_distinct")
-    )
-    return sizes.join(kinds, "lang")
+    return lengths.length_stats(_pieces(spark, folder), "lang", "p")
+
+
+@query("length_sketches", f"""
+WITH {VOCAB_SQL}
+SELECT lang, count(*) AS n_docs, CAST(sum(len(p)) AS BIGINT) AS n_tokens, CAST(max(len(p)) AS INTEGER) AS longest, true AS near
+FROM pieces GROUP BY lang
+""")
+def length_sketches(spark: Spark, folder: str) -> DataFrame:
+    """Sketches per language and source, stored, merged per language, and held against the exact rows."""
+    docs = spread(d.documents(spark, folder).select("doc_id", "lang", "source", "text"), "doc_id")
+    rows = docs.select("doc_id", "lang", "source", pieces("text").alias("p"))
+    path = scratch_path(spark, "length-sketches")
+    lengths.length_sketches(rows, ["lang", "source"], "p").write.parquet(path)
+    merged = lengths.merge_sketches(spark.read.parquet(path), "lang")
+    # Of the rows of a language, the share below each sketched quantile; distinct pieces by their ratio.
+    asked = rows.select("lang", F.size("p").alias("n")).join(merged, "lang")
+    shares = asked.groupBy("lang").agg(*[
+        (F.count_if(F.col("n") < F.col(q)) / F.count(F.lit(1))).alias(f"below_{q}") for q in ("p50", "p90")], *[
+        (F.count_if(F.col("n") <= F.col(q)) / F.count(F.lit(1))).alias(f"upto_{q}") for q in ("p50", "p90")])
+    exact = lengths.length_stats(rows, "lang", "p").select("lang", F.col("n_distinct").alias("known"))
+    near = F.abs(F.col("n_distinct") / F.col("known") - 1) < 0.05
+    for q, at in (("p50", 0.5), ("p90", 0.9)):
+        near = near & (F.col(f"below_{q}") <= at + 0.02) & (F.col(f"upto_{q}") >= at - 0.02)
+    return merged.join(shares, "lang").join(exact, "lang").select("lang", "n_docs", "n_tokens", "longest", near.alias("near"))

@@ -75,11 +75,13 @@ def gibibytes(n: Column | str) -> Column:
 
 
 def one_decimal(c: Column | str) -> Column:
-    return F.format_string("%.1f", _col(c))
+    """Exact ties go to the even digit."""
+    return F.format_string("%.1f", F.bround(_col(c), 1))
 
 
 def two_decimals(c: Column | str) -> Column:
-    return F.format_string("%.2f", _col(c))
+    """Exact ties go to the even digit."""
+    return F.format_string("%.2f", F.bround(_col(c), 2))
 
 
 def thousands(c: Column | str) -> Column:

@@ -52,6 +52,27 @@ def chat_messages(df: DataFrame, chat: str = "chat") -> Column:
     raise TypeError(f"column {chat} must be a string or a list of messages, not {kind.simpleString()}")
 
 
+def mixed_messages(chat: Column | str) -> tuple[Column, Column]:
+    """The messages of a VARIANT chat, and why it has none (null if it has).
+
+    Each row is read by what it holds: a string becomes one user message, a list of objects with role and
+    content its messages. Contents that are no strings are cast; a message without a role, or an
+    element that is no object, makes the row an error.
+    """
+    c = F.col(chat) if isinstance(chat, str) else chat
+    kind = F.schema_of_variant(c)
+    text = F.array(message("user", F.try_variant_get(c, "$", "string"))).cast(MESSAGES)
+    listed = F.try_variant_get(c, "$", MESSAGES)
+    error = (
+        F.when(c.isNull() | F.is_variant_null(c), "chat is null")
+        .when(kind == "STRING", F.lit(None).cast("string"))
+        .when(~kind.startswith("ARRAY<"), F.concat(F.lit("chat is "), kind))
+        .when(listed.isNull() | F.exists(listed, lambda m: m.isNull()), "chat has an element that is no message")
+        .when(F.exists(listed, lambda m: m["role"].isNull()), "chat has a message without a role")
+    )
+    return F.when(error.isNull(), F.when(kind == "STRING", text).otherwise(listed)), error
+
+
 def canonical_chats(
     df: DataFrame, keep: Sequence[str] = (), system: str = "system", chat: str = "chat",
     on_null: str = "fail",
@@ -59,23 +80,27 @@ def canonical_chats(
     """Chat rows to an optional system message followed by the chat.
 
     A null chat is not data the format knows: ``fail`` stops the job, ``drop``
-    leaves the row out, ``flag`` keeps it with an ``error`` text.
+    leaves the row out, ``flag`` keeps it with an ``error`` text. A VARIANT column may mix strings
+    and lists; rows that hold something else are treated like null ones.
     """
-    body = chat_messages(df, chat)
+    mixed = chat in df.columns and isinstance(df.schema[chat].dataType, T.VariantType)
+    body, error = mixed_messages(chat) if mixed else (chat_messages(df, chat), None)
     head = system_prefix(F.col(system)) if system in df.columns else None
     messages = body if head is None else F.concat(head, body)
     if chat not in df.columns:
         return df.select(*keep, messages.alias("messages"))
-    missing = F.col(chat).isNull()
+    if error is None:
+        error = F.when(F.col(chat).isNull(), "chat is null")
+    missing = error.isNotNull()
     if on_null == "drop":
         return df.filter(~missing).select(*keep, messages.alias("messages"))
     if on_null == "flag":
         return df.select(
             *keep,
             F.when(~missing, messages).alias("messages"),
-            F.when(missing, "chat is null").alias("error"),
+            error.alias("error"),
         )
-    checked = F.when(missing, F.raise_error(F.lit("chat is null")).cast(MESSAGES)).otherwise(messages)
+    checked = F.when(missing, F.raise_error(error).cast(MESSAGES)).otherwise(messages)
     return df.select(*keep, checked.alias("messages"))
 
 

@@ -7,7 +7,7 @@ import json
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -126,20 +126,49 @@ def publish(df: DataFrame, path: str, revision: str | None = None) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/revision={name}")
 
 
+# Up to this many shards their first keys are part of the plan.
+PLACED_SHARDS = 10_000
+STRETCH = 100
+
+
+def _place(key: Column, firsts: list) -> Column:
+    """The number of the last of the ascending ``firsts`` that ``key`` reaches, 0 if it reaches none:
+    by stretches first, then within one."""
+    if len(firsts) < 2:
+        return F.lit(0)
+    ends = F.lit(firsts[::STRETCH])
+    stretch = F.greatest(F.size(F.filter(ends, lambda x: x <= key)) - 1, F.lit(0))
+    within = F.size(F.filter(F.slice(F.lit(firsts), stretch * STRETCH + 1, F.lit(STRETCH)), lambda x: x <= key))
+    return F.coalesce(F.greatest(stretch * STRETCH + within - 1, F.lit(0)), F.lit(0))
+
+
+def place_shards(df: DataFrame, key: str, content: str, cap: int, max_row_bytes: int = 0) -> DataFrame:
+    """``df`` with ``shard``, one partition per shard, in key order.
+
+    Only (key, size) rows are numbered; the first key of each shard then tells every wide row its
+    partition, so wide rows are shuffled once and meet no join. Rows of equal keys share a shard; rows without
+    a key go to the first one. Beyond ``PLACED_SHARDS`` shards the wide rows look up their number.
+    """
+    sizes = df.select(key, F.octet_length(content).cast("long").alias("_size"))
+    shards = byte_shards(sizes, key, "_size", cap, max_row_bytes=max_row_bytes).filter(F.col(key).isNotNull())
+    firsts = shards.groupBy("shard").agg(F.min(key).alias("first"))
+    # A bounded list: one row more than fits tells that there are too many.
+    found = firsts.orderBy("shard").limit(PLACED_SHARDS + 1).collect()
+    if len(found) > PLACED_SHARDS:
+        number = shards.groupBy(key).agg(F.max("shard").alias("shard"))
+        joined = df.join(number, key, "left").withColumn("shard", F.coalesce("shard", F.lit(found[0]["shard"])))
+        return joined.repartition("shard").sortWithinPartitions("shard", key)
+    # Keys that straddle two shards are in both lists; the later shard has them.
+    found = [r for r, after in zip(found, [*found[1:], None]) if after is None or r["first"] != after["first"]]
+    place = _place(F.col(key), [r["first"] for r in found])
+    number = F.get(F.lit([r["shard"] for r in found] or [0]), place).cast("bigint")
+    placed = df.withColumn("shard", number).repartitionById(max(1, len(found)), place)
+    return placed.sortWithinPartitions("shard", key)
+
+
 def write_sharded(
     df: DataFrame, path: str, key: str, content: str, cap: int, max_row_bytes: int = 0,
     mode: str = "errorifexists",
 ) -> None:
-    """Write one folder per shard of about ``cap`` content bytes, in key order.
-
-    Shard numbers come from the narrow (key, size) rows and meet the wide rows in one
-    join on the key.
-    """
-    sizes = df.select(key, F.octet_length(content).cast("long").alias("_size"))
-    shards = byte_shards(sizes, key, "_size", cap, max_row_bytes=max_row_bytes).select(key, "shard")
-    (
-        df.join(shards, key)
-        .repartition("shard")
-        .sortWithinPartitions("shard", key)
-        .write.mode(mode).partitionBy("shard").parquet(path)
-    )
+    """Write one folder per shard of about ``cap`` content bytes, in key order."""
+    place_shards(df, key, content, cap, max_row_bytes).write.mode(mode).partitionBy("shard").parquet(path)

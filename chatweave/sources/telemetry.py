@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The log line format.
@@ -31,6 +31,42 @@ def parse_memory_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
+# Device files: index, used and total MB; a line that is something else is kept whole in the last column.
+DEVICE_FIELDS = "device int, used_mb bigint, total_mb bigint"
+BROKEN = "broken_line"
+
+
+def read_lines(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int = 1000,
+               names: str | None = None) -> DataFrame:
+    """Text files, also in subfolders, as lines (ingest_ts, file, line).
+
+    The lines carry no time, so that of their file counts: when it was last written. On a
+    stream, files that are added later are read by later micro-batches; a file counts as
+    it is when it is first seen, so writers add files and leave finished ones alone. ``names`` is a pattern for
+    the names of the files, such as ``*.log``.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
+    reader = reader.option("recursiveFileLookup", "true")
+    if names:
+        reader = reader.option("pathGlobFilter", names)
+    return reader.text(path).select(
+        F.col("_metadata.file_modification_time").alias("ingest_ts"), F.col("_metadata.file_path").alias("file"),
+        F.col("value").alias("line"))
+
+
+def read_device_lines(lines: DataFrame, line: str = "line", fields: str = DEVICE_FIELDS) -> DataFrame:
+    """Lines of comma-separated fields as columns; a line with other fields has null fields and
+    is kept in ``broken_line``. Blank lines are left out."""
+    read = F.from_csv(F.col(line), f"{fields}, {BROKEN} string", {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    rows = lines.filter(F.trim(line) != "").select(*[x for x in lines.columns if x != line], F.col(line).alias("_line"), read.alias("_r"))
+    # A broken line may still have filled some fields.
+    good = F.col(f"_r.{BROKEN}").isNull() & (F.size(F.split("_line", ",")) == len(fields.split(",")))
+    names = [f.split()[0] for f in fields.split(",")]
+    return rows.select(*[x for x in lines.columns if x != line], *[F.when(good, F.col(f"_r.{n}")).alias(n) for n in names],
+                       F.when(~good, F.col("_line")).alias(BROKEN))
+
+
 def parse_device_csv(lines: DataFrame, line: str = "line") -> DataFrame:
     """CSV lines with exactly three fields; others are left out."""
     parts = F.split(line, ", ")

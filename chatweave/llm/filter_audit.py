@@ -6,8 +6,8 @@ what of the loss is good, toxic, redundant, or due to this filter alone.
 
 The duplicate filter ``E`` fails documents whose text a smaller id has anywhere in the
 table. A stream can't know this when a document comes: the smallest id may arrive last. All
-files are taken as available-now micro-batches, and what is kept per text (under its
-SHA-256) is the smallest id so far with the parts of its rows. A row with a larger id fails ``E`` for good. When a
+files are taken as available-now micro-batches, and the state keeps per text (under its
+SHA-256) the smallest id so far with the parts of its rows. A row with a larger id fails ``E`` for good. When a
 smaller id arrives, the rows of the earlier smallest id are retracted: one event of -1 under
 the mask they had, one of +1 under the mask with ``E``. The part counters are the sums of
 these events, per part and mask of failed filters, so at any time they are those of the files read so far. With a
@@ -16,7 +16,10 @@ these events, per part and mask of failed filters, so at any time they are those
 How it runs: masks and digests are Spark expressions at the scan. Before the shuffle each
 batch of rows finds its smallest id per text; only rows of that id are asked of the state, and all
 others go as one group per batch, so a text that a third of the rows share sends one row per batch to its
-state. State is one small row per different text in RocksDB, checkpointed in the shared folder. Events
+state. Texts are dealt to buckets of ``BUCKET`` or so, as many as the first files ask for, and a bucket's
+texts are one row of state, some 50 bytes a text, checkpointed in the shared folder. State is kept by the
+provider that the session names (``spark.sql.streaming.stateStore.providerClass``): Spark's own one holds it in
+the executors' memory, RocksDB on their disks, which a corpus of billions of texts asks for. Events
 are written by the stream's file sink (exactly once), and one join by id adds the labels.
 A part has at most one counter per mask, and the table of orders and steps is
 computed from these.
@@ -31,6 +34,8 @@ from __future__ import annotations
 
 import json
 import math
+import pickle
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -43,12 +48,14 @@ from pyspark.sql import functions as F
 
 from chatweave.llm.columns import SPACE, SPACES, UPPER, let
 from chatweave.session import scratch_path
+from chatweave.sources.tables import path_exists
 from chatweave.streaming.run import run_to_end
 
 DUPLICATE = "E"
-ROWS = "sure boolean, key binary, id string, part string, mask int, n bigint"
+ROWS = "sure boolean, bucket bigint, key binary, id string, part string, mask int, n bigint"
 EVENTS = "id string, part string, mask int, delta bigint"
-STATE = "id string, parts string"
+STATE = "texts binary"
+BUCKET = 512
 
 
 def word_counts(text: Column) -> Column:
@@ -76,55 +83,57 @@ def _order(value: str | None) -> tuple:
 
 
 def _first_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, id, part, mask) to ``ROWS``: rows with a larger id than another row of the batch
-    with their text are sure, and grouped under one key for the batch; equal rows are counted."""
+    """(bucket, key, id, part, mask) to ``ROWS``: rows with a larger id than another row of the batch
+    with their text are sure, and grouped under one bucket for the batch; equal rows are counted."""
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = Counter(zip(*(c.to_pylist() for c in batch.columns), strict=True))
         least: dict[bytes, tuple] = {}
-        for key, value, _, _ in rows:
+        for _, key, value, _, _ in rows:
             at = _order(value)
             if key not in least or at < least[key]:
                 least[key] = at
         # The same for the same rows, so that a task that runs again sends the same groups.
-        common = b"%s %s" % next((key, str(value).encode()) for key, value, _, _ in rows)
-        sure = [_order(value) > least[key] for key, value, _, _ in rows]
-        keys = [common if s else row[0] for s, row in zip(sure, rows, strict=True)]
-        ids, parts, masks = zip(*(row[1:] for row in rows), strict=True)
+        common = next(int.from_bytes(key[:7], "little") for _, key, _, _, _ in rows)
+        sure = [_order(value) > least[key] for _, key, value, _, _ in rows]
+        buckets, keys, ids, parts, masks = zip(*rows, strict=True)
+        buckets = [common if s else b for s, b in zip(sure, buckets, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(sure), pa.array(keys, pa.binary()), pa.array(ids, pa.string()), pa.array(parts, pa.string()),
-             pa.array(masks, pa.int32()), pa.array(list(rows.values()), pa.int64())], ["sure", "key", "id", "part", "mask", "n"])
+            [pa.array(sure), pa.array(buckets, pa.int64()), pa.array(keys, pa.binary()), pa.array(ids, pa.string()), pa.array(parts, pa.string()),
+             pa.array(masks, pa.int32()), pa.array(list(rows.values()), pa.int64())], ["sure", "bucket", "key", "id", "part", "mask", "n"])
 
 
-def _least_id(key, batches: Iterator[pd.DataFrame], state, bit: int) -> Iterator[pd.DataFrame]:
-    """Events of one text: rows of its smallest id, kept as state, have the mask as it is."""
+def _least_ids(group, batches: Iterator[pd.DataFrame], state, bit: int) -> Iterator[pd.DataFrame]:
+    """Events of the texts of a bucket. Its state holds per text the smallest id and the parts of its
+    rows, with their numbers; these rows have the mask as it is."""
     columns = ["id", "part", "mask", "delta"]
-    if key[0]:
+    if group[0]:
         for rows in batches:
             yield rows.assign(mask=rows["mask"] | bit).rename(columns={"n": "delta"})[columns]
         return
-    least, parts = state.get if state.exists else (None, None)
-    parts = None if parts is None else json.loads(parts)
+    texts: dict[bytes, tuple] = pickle.loads(state.get[0]) if state.exists else {}
     events: list[tuple] = []
     for rows in batches:
-        for value, part, mask, n in zip(rows["id"], rows["part"], rows["mask"], rows["n"], strict=True):
-            value, mask, n = None if pd.isna(value) else value, int(mask), int(n)
-            if parts is not None and _order(value) > _order(least):
+        for key, value, part, mask, n in zip(*(rows[c].tolist() for c in ("key", "id", "part", "mask", "n")), strict=True):
+            value, part = None if pd.isna(value) else value, sys.intern(part)
+            least, held = texts.get(key, (None, None))
+            if held is not None and _order(value) > _order(least):
                 events.append((value, part, mask | bit, n))
                 continue
-            if parts is not None and _order(value) < _order(least):
-                for old, held in parts.items():
-                    events += [(least, old, mask, -held), (least, old, mask | bit, held)]
-                parts = None
-            least, parts = value, parts or {}
-            parts[part] = parts.get(part, 0) + n
+            if held is not None and _order(value) < _order(least):
+                for old, m in held:
+                    events += [(least, old, mask, -m), (least, old, mask | bit, m)]
+                held = None
+            counts = dict(held or ())
+            counts[part] = counts.get(part, 0) + n
+            texts[key] = (value, tuple(counts.items()))
             events.append((value, part, mask, n))
-    state.update((least, json.dumps(parts)))
+    state.update((pickle.dumps(texts, 5),))
     yield pd.DataFrame(events, columns=columns)
 
 
-def mask_events(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
+def mask_events(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """Events (id, part, mask, delta) of a stream of documents; bit i of a mask stands for filter i."""
     # Ids go as texts, as pandas has no integers beside nulls.
     rows = docs.select(F.col(id_col).cast("bigint").cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -134,8 +143,9 @@ def mask_events(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         mask = mask + F.when(fails, 1 << i).otherwise(0)
     masked = rows.withColumn("counts", word_counts(F.col("text"))).select(
         F.unhex(F.sha2("text", 256)).alias("key"), "id", "part", mask.alias("mask"))
-    events = masked.mapInArrow(_first_of_batch, ROWS).groupBy("sure", "key").applyInPandasWithState(
-        partial(_least_id, bit=1 << len(failures())), EVENTS, STATE, "append", "NoTimeout")
+    keyed = masked.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "key", "id", "part", "mask")
+    events = keyed.mapInArrow(_first_of_batch, ROWS).groupBy("sure", "bucket").applyInPandasWithState(
+        partial(_least_ids, bit=1 << len(failures())), EVENTS, STATE, "append", "NoTimeout")
     return events.withColumn("id", F.col("id").cast("bigint"))
 
 
@@ -204,6 +214,11 @@ def audit_filters(spark: SparkSession, path: str, labels: DataFrame, *, id_col:
                   part_col: str = "source", batches: int = 4, work: str | None = None) -> DataFrame:
     """Read all files at ``path`` that ``work`` (state and events) does not know yet, and report on all known."""
     work = work or scratch_path(spark, "filter-audit")
-    stream = mask_events(read_in_batches(spark, path, batches), id_col, text_col, part_col)
-    events = run_to_end(spark, stream, f"{work}/events", f"{work}/state")
+    layout = f"{work}/layout"
+    if not path_exists(spark, f"{layout}/_SUCCESS"):  # as many buckets as the first files ask for, for good
+        buckets = spark.read.parquet(path).agg(F.ceil((F.count(F.lit(1)) + 1) / BUCKET).cast("int").alias("buckets"))
+        buckets.write.mode("overwrite").parquet(layout)
+    buckets = spark.read.parquet(layout).first()["buckets"]
+    stream = mask_events(read_in_batches(spark, path, batches), buckets, id_col, text_col, part_col)
+    events = run_to_end(spark, stream, f"{work}/events", f"{work}/state", rocksdb=False)
     return order_report(counters(events, labels, id_col))

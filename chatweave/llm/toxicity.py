@@ -36,13 +36,14 @@ from pyspark.sql import functions as F
 
 BITS = 18
 DIM = 8
-SIZES = (3, 4, 5, 6)
+SIZES = (3, 4, 5)
 PART = 1_000_000
 SLICE = 256
+MAX_ROWS = 1200
 FACTOR, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 STEPS = 100
 RATE = 0.1
-DECAY = 1e-6
+DECAY = 3e-6
 LEAST_TEXTS = 3
 PADS = 200
 
@@ -121,17 +122,18 @@ def train(given: Examples, steps: int = STEPS, rate: float = RATE, decay: float
     what was not learned adds nothing. Steps are those of Adam.
     """
     y, weight = given.labels.astype(np.float64), given.weights / given.weights.sum()
+    often = np.bincount(given.rows, minlength=1 << BITS) >= least_texts
+    rows = np.flatnonzero(often)
+    kept = often[given.rows]
+    number = (np.cumsum(often, dtype=np.int32) - 1)[given.rows[kept]]
     sizes = np.diff(given.starts)
-    doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
-    share = given.counts / np.repeat(np.add.reduceat(given.counts, given.starts[:-1]) + PADS, sizes)
-    rows, number, texts = np.unique(given.rows, return_inverse=True, return_counts=True)
-    often = texts >= least_texts
-    kept = often[number]
-    number, doc, share = (np.cumsum(often) - 1)[number[kept]], doc[kept], share[kept]
-    rows = rows[often]
+    whole = np.add.reduceat(given.counts, given.starts[:-1]) + PADS
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)[kept]
+    share = (given.counts[kept] / whole[doc]).astype(np.float32)
     order = np.argsort(number, kind="stable")
     first = np.flatnonzero(np.diff(number[order], prepend=-1))
     by_row_doc, by_row_share = doc[order], share[order]
+    del order, kept
     rng = np.random.default_rng(seed)
     prior = float((weight * y).sum())
     table = [np.zeros((len(rows), DIM)), rng.uniform(-1, 1, (DIM, 2)), np.array([np.log1p(-prior), np.log(prior)])]
@@ -186,7 +188,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[
     return docs.join(chosen, "id").select("label", "text"), sizes
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> Model | float:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model | float:
     """A model from (id, text) and (id, label), or the share of label 1 where only one label is there."""
     sample, sizes = labelled_sample(docs.filter(F.col("text").isNotNull()), labels, max_rows)
     found = sample.mapInArrow(_count_rows, "label int, rows binary, counts binary").toArrow()
@@ -220,7 +222,7 @@ def _score(shared, base: float):
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", max_rows: int = 2000) -> DataFrame:
+                   label_col: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
     """(``id_col``, score) for all rows of ``docs``, learned from label rows for which ``learn`` holds."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

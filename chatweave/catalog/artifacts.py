@@ -27,7 +27,7 @@ m AS (
   SELECT *, CASE size WHEN '14b' THEN '{_M14}' ELSE '{_M32}' END AS train_model,
     CASE size WHEN '32b' THEN '{_M32}' ELSE '{_M14}' END AS prepare_model FROM k)
 SELECT doc_id, size, train_model, prepare_model, list_extract(string_split(train_model, '/'), -1) AS train_name,
-  CASE WHEN lower(train_model) LIKE '%32b%' THEN 56 ELSE 72 END AS train_rows
+  CASE WHEN lower(train_model) LIKE '%32b%' THEN 56 ELSE 72 END AS train_rows, 1 AS train_accumulation, 1024 AS train_length
 FROM m
 """)
 def model_registry(spark: Spark, folder: str) -> DataFrame:
@@ -41,6 +41,8 @@ def model_registry(spark: Spark, folder: str) -> DataFrame:
     return both.select(
         "doc_id", "size", "train_model", "prepare_model", base_name("train_model").alias("train_name"),
         reg.rows_per_device("train_model").alias("train_rows"),
+        reg.training_rule("train_model")["accumulation"].alias("train_accumulation"),
+        reg.training_rule("train_model")["max_length"].alias("train_length"),
     )
 
 

@@ -91,7 +91,8 @@ def pad_batches(spark: Spark, folder: str) -> DataFrame:
     docs = spread(d.documents(spark, folder).select("doc_id", "text"), "doc_id")
     # The preparation stage stores its tokens; the training stage reads them.
     path = scratch_path(spark, "tokens")
-    ids = truncate(byte_ids("text"), PREPARE_MAX_LENGTH)
+    # A character has at least one byte, so texts are cut before they are split.
+    ids = truncate(byte_ids(F.substring("text", 1, PREPARE_MAX_LENGTH)), PREPARE_MAX_LENGTH)
     write_columns(docs.select("doc_id", ids.alias("ids")).withColumn("n_ids", F.size("ids")), path)
     rows = training_batches(read_columns(spark, path), "doc_id", "ids", LAYOUT, PAD, SEED, length="n_ids")
 

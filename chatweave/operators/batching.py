@@ -18,6 +18,10 @@ SAVE_STEPS = 1000
 SAVE_TOTAL_LIMIT = 3
 
 
+# Rows of a chunk of a seeded order.
+CHUNK_ROWS = 50_000
+
+
 @dataclass(frozen=True)
 class Layout:
     """Ranks, rows per rank and micro-batch, micro-batches per step."""
@@ -35,13 +39,23 @@ def shuffle_digest(key: str, seed: int, epoch: int = 0) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(epoch)), F.col(key).cast("string")))
 
 
-def seeded_order(df: DataFrame, key: str, seed: int, epoch: int = 0, digits: int = 3) -> DataFrame:
+def order_digits(rows: int) -> int:
+    """Hex digits of a digest that deal ``rows`` rows to chunks of ``CHUNK_ROWS`` or so: 1 to 4."""
+    digits = 1
+    while digits < 4 and rows > CHUNK_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
+def seeded_order(df: DataFrame, key: str, seed: int, epoch: int = 0, digits: int | None = None) -> DataFrame:
     """Add ``idx``, the position in a seeded random order, and ``idx_total``.
 
     The order is that of a digest of (seed, epoch, key), so it depends on neither
     partitioning nor engine. Chunks are digest prefixes: even by construction, and
-    known row by row, so nothing is sampled or materialised.
+    known row by row, so nothing is sampled or materialised. Their number follows the
+    number of rows, which is counted unless ``digits`` is given.
     """
+    digits = order_digits(df.count()) if digits is None else digits
     hashed = hash_chunks(df.withColumn("_digest", shuffle_digest(key, seed, epoch)), "_digest", digits)
     placed = running(
         hashed, [], ["_digest", key],
@@ -79,7 +93,7 @@ def step_batches(sharded: DataFrame, layout: Layout) -> DataFrame:
 
 def batch_plan(
     df: DataFrame, key: str, length: str, layout: Layout, seed: int, epoch: int = 0,
-    wrap: bool = True, digits: int = 3,
+    wrap: bool = True, digits: int | None = None,
 ) -> DataFrame:
     """The narrow plan table: key, rank, step, micro, slot, length and padded width."""
     narrow = df.select(key, F.col(length).alias("length"))
@@ -90,16 +104,20 @@ def batch_plan(
     return placed.withColumn("width", width).drop("idx_total", "rank_idx")
 
 
-def pad_batches(tokens: DataFrame, plan: DataFrame, key: str, ids: str, pad: int) -> DataFrame:
-    """Join the plan to the token rows and pad each row to the width of its batch.
+def place_rows(tokens: DataFrame, plan: DataFrame, key: str, ids: str) -> DataFrame:
+    """The token rows with their places, still without pads.
 
-    Widths come from the narrow plan, so token arrays are shuffled once, by a unique
-    key. Token files are far smaller than the arrays in them, hence the hint against
+    Token files are far smaller than the arrays in them, hence the hint against
     broadcasting them by file size.
     """
-    width = F.col("width")
-    joined = plan.join(tokens.select(key, ids).hint("merge"), key)
-    return joined.select(
+    joined = plan.join(tokens.select(key, F.col(ids).alias("ids")).hint("merge"), key)
+    return joined.select(key, "rank", "step", "micro", "slot", "length", "width", "ids")
+
+
+def pad_rows(placed: DataFrame, key: str, pad: int) -> DataFrame:
+    """Placed rows padded to the width of their batch, with mask and labels."""
+    ids, width = "ids", F.col("width")
+    return placed.select(
         key, "rank", "step", "micro", "slot", "length", "width",
         padded(ids, width, pad).alias("input_ids"),
         padded_mask(ids, width).alias("attention_mask"),
@@ -107,6 +125,15 @@ def pad_batches(tokens: DataFrame, plan: DataFrame, key: str, ids: str, pad: int
     )
 
 
+def pad_batches(tokens: DataFrame, plan: DataFrame, key: str, ids: str, pad: int) -> DataFrame:
+    """Join the plan to the token rows and pad each row to the width of its batch.
+
+    Widths come from the narrow plan, so token arrays are shuffled once, by a unique
+    key, and padded after that.
+    """
+    return pad_rows(place_rows(tokens, plan, key, ids), key, pad)
+
+
 def padding_waste(plan: DataFrame) -> DataFrame:
     """Tokens, padded tokens and the wasted share per rank."""
     return plan.groupBy("rank").agg(

@@ -20,6 +20,9 @@ LARGE_MARK = "32b"
 LARGE_BATCH = 56
 OTHER_BATCH = 72
 
+# Rows per device, accumulation steps and longest sequence, for large models and for others.
+RULES = {"large": (LARGE_BATCH, 1, 1024), "other": (OTHER_BATCH, 1, 1024)}
+
 
 def registry_table(spark: SparkSession, models: dict[str, str] | None = None) -> DataFrame:
     rows = list((models or MODELS).items())
@@ -37,6 +40,17 @@ def lookup_model(df: DataFrame, key: str, registry: DataFrame, default: str) ->
     )
 
 
+def training_rule(model: Column | str, rules: dict[str, tuple[int, int, int]] | None = None) -> Column:
+    """A struct of the training settings that follow from a model's name: ``rows``, ``accumulation``, ``max_length``."""
+    model = F.col(model) if isinstance(model, str) else model
+    rules = rules or RULES
+
+    def row(kind: str) -> Column:
+        return F.struct(*[F.lit(v).alias(n) for n, v in zip(("rows", "accumulation", "max_length"), rules[kind], strict=True)])
+
+    return F.when(F.lower(model).contains(LARGE_MARK), row("large")).otherwise(row("other"))
+
+
 def rows_per_device(model: Column | str) -> Column:
     model = F.col(model) if isinstance(model, str) else model
     return F.when(F.lower(model).contains(LARGE_MARK), LARGE_BATCH).otherwise(OTHER_BATCH)

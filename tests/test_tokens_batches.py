@@ -18,7 +18,7 @@ from chatweave.operators.ordered import byte_shards, enumerate_rows
 from chatweave.operators.vocabulary import decode, encode, fit_vocabulary
 from chatweave.plans.artifacts import artifact_report
 from chatweave.plans.prepare import conversation_tokens, encoded_rows, prepare_from_files, run_prepare
-from chatweave.plans.training import training_batches, write_batches
+from chatweave.plans.training import training_batches, write_batches, write_training_batches
 from chatweave.schemas import DEVICE_INFO
 from chatweave.sources.artifacts import list_artifacts, read_configs
 from chatweave.sources.tables import write_sharded
@@ -111,6 +111,12 @@ def test_without_wrap_ranks_may_be_short(spark):
     assert counts == [2, 2, 3, 3] and plan.count() == 10
 
 
+def test_digits_follow_the_rows(spark):
+    assert [b.order_digits(n) for n in (0, 800_000, 800_001, 10**8, 10**9, 10**12)] == [1, 1, 2, 3, 4, 4]
+    got = {d: {r["id"]: r["idx"] for r in b.seeded_order(spark.range(500), "id", 1, digits=d).collect()} for d in (None, 1, 3)}
+    assert got[None] == got[1] == got[3] and sorted(got[1].values()) == list(range(500))
+
+
 def test_digits_are_bounded(spark):
     with pytest.raises(ValueError):
         b.seeded_order(spark.range(3), "id", 1, digits=5)
@@ -126,7 +132,11 @@ def test_padding_and_writing(spark, tmp_path):
         assert r["attention_mask"] == [1] * len(ids) + [0] * (n - len(ids))
         assert r["labels"] == ids + [-100] * (n - len(ids))
     write_batches(out, str(tmp_path / "b"))
-    assert spark.read.parquet(str(tmp_path / "b")).groupBy("rank").count().count() == 2
+    back = spark.read.parquet(str(tmp_path / "b"))
+    assert back.groupBy("rank").count().count() == 2
+    write_training_batches(df, str(tmp_path / "c"), "k", "ids", b.Layout(2, 3), pad=9, seed=5, max_length=6)
+    again = spark.read.parquet(str(tmp_path / "c"))
+    assert again.columns == back.columns and not again.exceptAll(back).count() and not back.exceptAll(again).count()
 
 
 @pytest.mark.parametrize("n", [912_577, 913_024])

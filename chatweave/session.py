@@ -59,6 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder, in whatever file system it is; nothing may read it any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so later reads see the same rows
     in the same partitions even after executors are lost."""

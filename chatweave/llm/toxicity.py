@@ -34,6 +34,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatweave.operators.joins import bounded_broadcast
+
 BITS = 18
 DIM = 8
 SIZES = (3, 4, 5)
@@ -185,7 +187,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[
         share = F.when(F.col("label") == label, F.lit(min(1.0, max_rows / n))).otherwise(share)
     digest = F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = told.filter(digest < share)
-    return docs.join(chosen, "id").select("label", "text"), sizes
+    # Some max_rows rows a label: counted before it is sent to all tasks, so that no text is shuffled.
+    return docs.join(bounded_broadcast(chosen), "id").select("label", "text"), sizes
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model | float:

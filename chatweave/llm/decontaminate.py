@@ -14,7 +14,7 @@ items are searched each; rows that repeat an id are searched each; null ids are
 empty tables give no rows; extra columns are ignored by the search and kept by the filter.
 
 Texts are read once, shingle hashes meet the signatures in a hash join (broadcast up to
-``BROADCAST_ROWS`` signature rows, counted first), and only candidates' texts are compared.
+``BROADCAST_ROWS`` signature rows and ``BROADCAST_BYTES`` of the texts they carry, both counted first), and only candidates' texts are compared.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from chatweave.llm.columns import let, row_key, shingle_hashes, words
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64_000_000
 
 
 def shingles(text: Column, size: int = 5) -> Column:
@@ -49,19 +50,22 @@ def signatures(items: DataFrame, threshold: float) -> DataFrame:
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text", threshold: float = 0.8) -> DataFrame:
     """Pairs (id, item, n_item, n_shared, containment) of at least ``threshold``."""
-    own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    # Rows meet by id and text, so that null or repeated ids are no group.
+    own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+                      row_key(id_col, text_col).alias("at"))
     asked = items.select(F.struct(F.col(item_col).alias("key"), F.coalesce(
         F.col(item_text), F.lit("")).alias("text")).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     sig = signatures(asked, threshold)
-    if sig.count() <= BROADCAST_ROWS:
+    n_rows, n_bytes = sig.agg(F.count(F.lit(1)), F.sum(F.octet_length("item.text").cast("bigint"))).first()
+    if n_rows <= BROADCAST_ROWS and (n_bytes or 0) <= BROADCAST_BYTES:
         sig = F.broadcast(sig)
 
-    hashed = own.select("id", F.array_distinct(shingle_hashes(F.col("t"))).alias("h"))
-    single = hashed.select("id", F.size("h").alias("n"), F.explode("h").alias("hash"))
+    hashed = own.select("at", F.array_distinct(shingle_hashes(F.col("t"))).alias("h"))
+    single = hashed.select("at", F.size("h").alias("n"), F.explode("h").alias("hash"))
     met = single.join(sig, "hash").filter(F.col("n") >= F.col("least") * threshold)
-    found = met.groupBy("id").agg(F.collect_set("item").alias("items")).withColumnRenamed("id", "found")
+    found = met.groupBy("at").agg(F.collect_set("item").alias("items")).withColumnRenamed("at", "found")
 
-    pairs = (own.join(found, F.col("id").eqNullSafe(F.col("found")))
+    pairs = (own.join(found, F.col("at") == F.col("found"))
              .select("id", shingles(F.col("t")).alias("has"), "items")
              .select("id", F.explode(F.transform("items", lambda i: let(
                  shingles(i["text"]), lambda s: F.struct(
@@ -75,6 +79,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **kw) -> DataFrame:
     """``docs`` without the rows that hold an item; other rows of the same id stay."""
-    keyed = docs.withColumn("_row", row_key(id_col, text_col))
-    hit = find_items(keyed, items, "_row", text_col, **kw).select(F.col("_row").alias("_hit")).distinct()
-    return keyed.join(hit, F.col("_row") == F.col("_hit"), "left_anti").drop("_row")
+    # Apart from the row itself only helper names, so that no input column can clash.
+    keyed = docs.select(F.struct("*").alias("row"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    hit = find_items(keyed, items, "key", "text", **kw).select(F.col("key").alias("hit")).distinct()
+    return keyed.join(hit, F.col("key") == F.col("hit"), "left_anti").select("row.*")

@@ -14,7 +14,7 @@ of a large split, are dealt out anew, sorted by length and packed once more, in
 
 Token ids come from the vocabulary's library by white-space-separated chunk; such a
 vocabulary drops white space, and chunks repeat, so each worker remembers the ids of up to
-``CACHE`` chunks.
+``CACHE`` chunks and ``HELD`` ids.
 
 Defined cases: null text is empty and gives the end token alone; repeated ids and rows are
 packed as they come; null ids pass through; an empty table gives no pieces; other columns are ignored.
@@ -41,6 +41,8 @@ from chatweave.session import scratch_path
 
 # Chunks remembered, 40 bytes each or so, before a worker starts over.
 CACHE = 4_000_000
+# Ids remembered, 4 bytes each: a few chunks may be very long.
+HELD = 32_000_000
 RECENT = 150_000
 SLICE = 256
 FLUSH = 1_000
@@ -163,7 +165,7 @@ class ChunkIds:
         return out
 
     def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if self.n > CACHE:
+        if self.n > CACHE or self.used > HELD:
             self._forget()
         parts = [t.encode() for t in texts]
         data = b"\n".join(parts)

@@ -6,7 +6,7 @@ holds the ranks of adjacent pairs that may merge. The pair of the lowest rank (t
 leftmost of equals) is popped and merged until the heap is empty. A piece has as many tokens as bytes
 minus merges. No token identifier is made.
 
-Pieces repeat, so each Python worker remembers the counts of up to ``CACHE`` pieces and starts
+Pieces repeat, so each Python worker remembers the counts of up to ``CACHE`` pieces of up to ``LONGEST`` characters and starts
 over when that is full.
 
 Defined cases: null text is empty, 0 bytes and 0 tokens; rows and ids may repeat, each row
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 # Fixed value: the pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE = 700_000
+LONGEST = 200
 SLICE = 256
 # Below this code point the pattern means the same in every Unicode version.
 SETTLED = re.compile("[^\x00-ͯ]")
@@ -77,9 +78,10 @@ class PieceCounts(dict):
     def __missing__(self, piece: str) -> int:
         data = piece.encode()
         n = len(data) - count_merges([self.symbols[b] for b in data], self.ranks)
-        if len(self) >= CACHE:
-            self.clear()
-        self[piece] = n
+        if len(piece) <= LONGEST:  # longer ones are rare, and would fill the memory
+            if len(self) >= CACHE:
+                self.clear()
+            self[piece] = n
         return n
 
 

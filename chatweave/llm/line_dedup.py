@@ -7,7 +7,7 @@ documents keep their lines only in the document with the largest id.
 Defined cases: null text is the empty text, one empty line. Rows that repeat an id are
 documents of their own, counted each; all rows with the largest id keep their lines. A
 null id is below every other. An empty table gives an empty table. Other columns of the
-input pass through, whatever their names.
+input pass through, whatever their names; columns named like the results give way to them.
 
 How it runs: the hashes of all long lines are counted once, and only rows of repeated
 keys go on, as (key, id) without text. They are taken in ``batches`` of falling ids. Each
@@ -86,21 +86,26 @@ class Runs:
             out = out.unionByName(self.spark.table(table))
         return out
 
-    def close(self) -> DataFrame:
-        """All keys with the id that holds them; the tables leave the catalog, not the folder."""
+    def rows(self) -> DataFrame:
+        """All keys with the id that holds them, read from the folder and not through the catalog."""
         tables = sum(self.levels, [])
         paths = [f"{self.path}/{t.rsplit('_', 1)[1]}" for t in tables]
-        schema = self.spark.table(tables[0]).schema
-        for table in tables:
-            self.spark.sql(f"DROP TABLE {table}")
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self.spark.read.schema(self.spark.table(tables[0]).schema).parquet(*paths)
+
+    def __enter__(self) -> Runs:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        """The tables leave the catalog, also after a failure; their files stay in the folder."""
+        for number in range(self.made + 1):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{number}")
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                         min_chars: int = 20, min_docs: int = 3, batches: int = 4,
                         fanout: int = 2) -> DataFrame:
     """``docs`` with ``_kept`` (the text without dropped lines), ``_n_lines`` and ``_n_dropped``."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("_kept", "_n_lines", "_n_dropped")
     rows = docs.select(F.col(id_col).alias("top"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     lines = rows.select("top", F.explode(F.array_compact(F.array_distinct(
         line_keys(F.col("t"), min_chars)))).alias("line")).select("top", "line.h", "line.k")
@@ -118,10 +123,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = spark.read.schema("h bigint, k int, top {0}, batch int".format(
         dict(rows.dtypes)["top"])).parquet(repeated)
 
-    runs = Runs(spark, fanout)
-    for b in range(len(set(cuts)) + 1):
-        runs.add(found.filter(F.col("batch") == b))
-    holders = runs.close().withColumnRenamed("top", "holder")
+    with Runs(spark, fanout) as runs:
+        for b in range(len(set(cuts)) + 1):
+            runs.add(found.filter(F.col("batch") == b))
+        holders = runs.rows().withColumnRenamed("top", "holder")
     gone = (found.join(holders, KEY).filter(~F.col("top").eqNullSafe(F.col("holder")))
             .groupBy("top").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
             .withColumnRenamed("top", "_holder_id"))

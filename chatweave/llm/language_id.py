@@ -3,8 +3,8 @@
 Four kinds of evidence are multiplied, in logarithms:
 
 - the text: naive Bayes over hashed byte trigrams, one model per language and one,
-  ``und``, that expects every trigram alike (unknown scripts, noise). Its weight is held to that of
-  ``MAX_TRIGRAMS`` trigrams, so that long texts do not drown everything else;
+  ``und``, that expects every trigram alike (unknown scripts, noise). The evidence of n trigrams, which depend on
+  each other, counts as that of ``n * K / (n + K)`` with K = ``MAX_TRIGRAMS``, at every length, so that long texts do not drown everything else;
 - the declared markup language (or language column): how often it is given for each
   language, from grouped counts over the corpus, smoothed;
 - the address suffix (the last label of the host): the same;
@@ -12,15 +12,16 @@ Four kinds of evidence are multiplied, in logarithms:
   towards the corpus. Counts are of what texts alone say, from grouped aggregation, without the row itself.
 
 The text models are fitted on at most ``max_rows`` different labelled texts per language
-(those of the lowest digest), for every declared language whatever its share of the rows; the
-label ``und`` is no language. All counts and priors come from all rows.
+(those of the lowest digest), for every declared language with at least ``min_texts`` different texts, whatever its share of the rows; the
+label ``und`` is no language, and labels of fewer texts are taken for typing errors. All counts and priors come from all rows.
 
 A row is rejected (``kept`` false) if it has no letter, if its best language is ``und``
 or none of ``accept``, or if the best language's probability is below ``least``.
 
 Defined cases: null text is empty and rejected, with language ``und``; null declarations, hosts
 and suffixes carry no evidence; repeated rows and ids are judged one by one; an empty
-table gives an empty table; texts of any length are read whole.
+table gives an empty table; texts of any length are read whole; a tie of two languages goes to the first by
+name; extra columns are ignored, whatever their names.
 
 How it runs: one pass over the texts leaves only scores, which are written to the shared folder;
 counting and fusing work on those. Hosts are counted with map-side sums and joined back
@@ -36,12 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatweave.operators.joins import BROADCAST_ROWS, bounded_broadcast
+from chatweave.operators.joins import bounded_broadcast
 from chatweave.session import scratch_path
 
 BUCKETS = 1 << 16
 MAX_TRIGRAMS = 200
 MAX_ROWS = 500
+MIN_TEXTS = 3
 UNKNOWN = "und"
 LETTER = r"\p{L}"
 
@@ -57,20 +59,23 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer((" " + text.lower() + " ").encode("utf-8", "replace"), np.uint8)
 
 
-def fit_text_model(rows: DataFrame, label: str, text: str, max_rows: int = MAX_ROWS,
+def fit_text_model(rows: DataFrame, label: str, text: str, max_rows: int = MAX_ROWS, min_texts: int = MIN_TEXTS,
                    languages: tuple[str, ...] | None = None) -> tuple[list[str], np.ndarray]:
     """Languages and their log10 trigram weights, from at most ``max_rows`` different texts each."""
     known = rows.filter(F.col(label).isNotNull() & F.rlike(F.coalesce(F.col(text), F.lit("")), F.lit(LETTER)))
-    if languages is None:
-        # Every declared language, whatever its share of the rows: the sample below bounds its texts.
-        languages = tuple(sorted(r[0] for r in known.select(label).distinct().collect() if r[0] != UNKNOWN))
-    labelled = known.filter(F.col(label).isin(list(languages))).select(
-        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
-    order = Window.partitionBy("label").orderBy("digest")
-    chosen = (labelled.select("label", "digest").distinct().withColumn("n", F.row_number().over(order))
-              .filter(F.col("n") <= max_rows).select("label", "digest"))
-    chosen = F.broadcast(chosen) if len(languages) * max_rows <= BROADCAST_ROWS else chosen
-    sample = labelled.join(chosen, ["label", "digest"]).dropDuplicates(["label", "digest"])
+    labelled = known.select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
+    if languages is not None:
+        labelled = labelled.filter(F.col("label").isin(list(languages)))
+    # Digests up to a bound that leaves a few times max_rows texts of each label, so that no label makes a hot window.
+    sizes = labelled.filter(F.col("label") != UNKNOWN).groupBy("label").agg(F.approx_count_distinct("digest").alias("texts"))
+    bound = F.least(F.lit(1.0), F.lit(3.0 * max_rows) / F.col("texts"))
+    sizes = sizes.filter(F.col("texts") >= 0.8 * min_texts).select("label", bound.alias("bound"))
+    near = F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < F.col("bound") * F.lit(float(1 << 30))
+    some = labelled.join(bounded_broadcast(sizes), "label").filter(near).select("label", "digest").distinct()
+    order = Window.partitionBy("label").orderBy(F.xxhash64("digest"), "digest")
+    chosen = (some.withColumns({"n": F.row_number().over(order), "all": F.count(F.lit(1)).over(Window.partitionBy("label"))})
+              .filter((F.col("n") <= max_rows) & (F.col("all") >= min_texts)).select("label", "digest"))
+    sample = labelled.join(bounded_broadcast(chosen), ["label", "digest"]).dropDuplicates(["label", "digest"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -82,14 +87,16 @@ def fit_text_model(rows: DataFrame, label: str, text: str, max_rows: int = MAX_R
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at])], ["label", "bucket", "n"])
 
-    # At most BUCKETS rows per language.
-    rows = (sample.select("label", "text").mapInArrow(count, "label string, bucket int, n double")
-            .groupBy("label", "bucket").agg(F.sum("n").alias("n")).collect())
-    counts = {x: np.full(BUCKETS, 0.05) for x in languages}
-    for r in rows:
-        counts[r["label"]][r["bucket"]] += r["n"]
-    table = [np.log10(c / c.sum()) for c in counts.values()] + [np.full(BUCKETS, -np.log10(BUCKETS))]
-    return [*languages, UNKNOWN], np.array(table, np.float64).T.copy()
+    # At most BUCKETS counts per language.
+    found = (sample.select("label", "text").mapInArrow(count, "label string, bucket int, n double")
+             .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    labels = found.column("label").to_pylist()
+    names = sorted(set(labels) | set(languages or ()))
+    place = {x: i for i, x in enumerate(names)}
+    table = np.full((BUCKETS, len(names) + 1), 0.05)
+    table[found.column("bucket").to_numpy(), [place[x] for x in labels]] += found.column("n").to_numpy()
+    table[:, -1] = 1.0  # und: every trigram alike
+    return [*names, UNKNOWN], np.log10(table / table.sum(axis=0))
 
 
 def _scored(rows: DataFrame, table: np.ndarray) -> DataFrame:
@@ -105,7 +112,7 @@ def _scored(rows: DataFrame, table: np.ndarray) -> DataFrame:
                 if len(data) > 2:
                     seen = np.bincount(buckets(data), minlength=BUCKETS)
                     at = np.nonzero(seen)[0]
-                    out[i] = seen[at] @ table[at] * min(1.0, MAX_TRIGRAMS / (len(data) - 2))
+                    out[i] = seen[at] @ table[at] * (MAX_TRIGRAMS / (MAX_TRIGRAMS + len(data) - 2))
             flat = pa.array(out.ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, n_lang), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], lists], [*batch.schema.names[1:], "scores"])

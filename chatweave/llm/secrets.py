@@ -4,16 +4,18 @@ Kinds, in the order used for spans that start together: ``assign`` (a value of a
 least 8 characters after a key word), ``access`` (AKIA and capitals or digits, 16 or
 more characters), ``hex`` (32 or more lower-case hexadecimal digits), ``entropy``.
 
-Candidates for entropy are runs of at least 20 letters, digits and ``+/_=-``. A candidate
+Candidates for entropy are runs of at least 20 letters, digits and ``+/_=-``, or what spans of fixed
+patterns leave of them. A candidate
 belongs to one character class: hexadecimal (letters of one case), letters and digits, or
-all. A window of 20 characters moves over it; the sum of c*log2(c) over the counts c
-of its characters changes only by the character that leaves and the one that enters, and
+all. A window of 20 characters moves over it. The counts of its characters are kept, and these and the sum of
+c*log2(c) over the counts c change only by the character that leaves and the one that enters; the sum
 gives the Shannon entropy. The span runs from the first to the last window at or above the
-limit of its class. Candidates that match the allow-list are left out, as are spans that
-overlap one of a fixed pattern. Fixed patterns are never suppressed.
+limit of its class. Candidates that as a whole are harmless by the allow-list are left out, and spans that hold
+a made-up value. Fixed patterns are never suppressed.
 
 Defined cases: null text is empty and has no spans; equal rows have equal spans; positions are code
-points, end exclusive; other columns pass through. Work is linear in the text.
+points, end exclusive; other columns pass through, but ``_base`` and ``_all`` give way to the results; an empty table
+gives an empty table. Work is linear in the text.
 """
 
 from __future__ import annotations
@@ -34,12 +36,14 @@ LONG_HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 
 WINDOW = 20
+# The characters of candidates, each with a count of its own.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Bits per character from which a window is suspicious. 20 random characters have about 3.3
-# bits as hexadecimal digits and 4.1 as letters and digits; words have less than 3.5.
-LIMITS = {"hex": 2.9, "alnum": 3.8, "base64": 3.9}
+# bits as hexadecimal digits and 4.1 as letters and digits, with few below these limits; words have less than 3.5.
+LIMITS = {"hex": 2.9, "alnum": 3.7, "base64": 3.75}
+MADE_UP = (r"(?i)example|placeholder|changeme|x{6}|0123456789|abcdefghij",)  # anywhere in a span
 ALLOW = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",  # identifiers
-    r"(?i)example|placeholder|changeme|x{6}|0123456789|abcdefghij",  # made-up values
     r"^[a-z]+(?:[-_/][a-z]+)+$",  # paths and slugs of words
     r"^[A-Za-z]+$",  # words
     r"^[0-9=_+/-]+$",  # numbers and rules
@@ -74,28 +78,27 @@ def _hot_range(value: Column, limit: Column, window: int = WINDOW) -> Column:
     least ``limit``; null if there is none. ``value`` has at least ``window`` characters."""
     terms = F.array(*[F.lit(c * log2(c) if c else 0.0) for c in range(window + 1)])
 
-    def run(chars: Column) -> Column:
-        def count(start: Column, end: Column, char: Column) -> Column:
-            return F.size(F.filter(F.slice(chars, start + 1, end - start), lambda x: x == char))
-
+    def run(codes: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
-            start = F.greatest(i - window, F.lit(0))
+            counts, enters = state["counts"], F.get(codes, i)
+            leaves = F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1))
             rest = F.greatest(i - window + 1, F.lit(0))
-            leaves = F.when(i >= window, let(count(start, i, F.get(chars, start)), lambda c: F.get(
-                terms, c - 1) - F.get(terms, c))).otherwise(F.lit(0.0))
-            enters = let(count(rest, i, F.get(chars, i)), lambda c: F.get(terms, c + 1) - F.get(terms, c))
-            return let(state["sum"] + leaves + enters, lambda total: let(
+            out = F.when(leaves >= 0, let(F.get(counts, leaves), lambda c: F.get(terms, c - 1) - F.get(terms, c))).otherwise(F.lit(0.0))
+            come = let(F.get(counts, enters) - (leaves == enters).cast("int"), lambda c: F.get(terms, c + 1) - F.get(terms, c))
+            return let(state["sum"] + out + come, lambda total: let(
                 (i >= window - 1) & (F.lit(log2(window)) - total / window >= limit),
                 lambda hot: F.struct(
+                    F.transform(counts, lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int")).alias("counts"),
                     total.alias("sum"),
                     F.coalesce(state["first"], F.when(hot, rest)).alias("first"),
                     F.when(hot, i + 1).otherwise(state["last"]).alias("last"))))
 
-        start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("first"),
-                         F.lit(None).cast("int").alias("last"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step)
+        start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"),
+                         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step)
 
-    return let(F.filter(F.split(value, "", -1), lambda x: x != ""), run)
+    chars = F.filter(F.split(value, "", -1), lambda x: x != "")
+    return let(F.transform(chars, lambda x: F.call_function("locate", x, F.lit(ALPHABET)) - 1), run)
 
 
 def _class_limit(value: Column, limits: dict[str, float]) -> Column:
@@ -103,18 +106,31 @@ def _class_limit(value: Column, limits: dict[str, float]) -> Column:
             .when(F.rlike(value, F.lit("^[A-Za-z0-9]+$")), limits["alnum"]).otherwise(limits["base64"]))
 
 
-def _entropy_spans(text: Column, base: Column, allow: tuple[str, ...], limits: dict[str, float]) -> Column:
-    plain = _spans(text, CANDIDATE, "entropy", WINDOW)
+def _rests(run: Column, base: Column) -> Column:
+    """What spans of fixed patterns leave of a run, in order."""
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+    def rests(cuts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: F.struct(
+            F.aggregate(F.slice(cuts, F.lit(1), i), run["start"], lambda a, b: F.greatest(a, b["end"])).alias("start"),
+            F.coalesce(F.get(cuts, i)["start"], run["end"]).alias("end")))
+
+    return F.filter(let(over, rests), lambda r: r["end"] - r["start"] >= WINDOW)
+
+
+def _entropy_spans(text: Column, base: Column, allow: tuple[str, ...], made_up: tuple[str, ...], limits: dict[str, float]) -> Column:
+    plain = F.flatten(F.transform(_spans(text, CANDIDATE, "entropy", WINDOW), lambda s: _rests(s, base)))
+
+    def cut(start: Column, end: Column) -> Column:
+        return F.substring(text, (start + 1).cast("int"), (end - start).cast("int"))
 
     def judge(s: Column) -> Column:
-        value = F.substring(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-        hot = let(value, lambda v: F.when(~_any(v, allow), _hot_range(v, _class_limit(v, limits))))
+        hot = let(cut(s["start"], s["end"]), lambda v: F.when(~_any(v, allow), _hot_range(v, _class_limit(v, limits))))
         return let(hot, lambda r: F.struct(
-            (s["start"] + r["first"]).alias("start"), s["ord"].alias("ord"), s["kind"].alias("kind"),
+            (s["start"] + r["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("ord"), F.lit("entropy").alias("kind"),
             (s["start"] + r["last"]).alias("end")))
 
-    free = F.filter(plain, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return F.filter(F.transform(free, judge), lambda s: s["start"].isNotNull())
+    return F.filter(F.transform(plain, judge), lambda s: s["start"].isNotNull() & ~_any(cut(s["start"], s["end"]), made_up))
 
 
 def _any(value: Column, patterns: tuple[str, ...]) -> Column:
@@ -125,14 +141,15 @@ def _any(value: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW,
-                 limits: dict[str, float] = LIMITS) -> DataFrame:
-    """``docs`` with ``_base`` and ``_all``, sorted arrays of spans (start, ord, kind, end)."""
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+                 made_up: tuple[str, ...] = MADE_UP, limits: dict[str, float] = LIMITS) -> DataFrame:
+    """``docs`` with ``_base`` and ``_all``, sorted arrays of spans (start, ord, kind, end); input columns of
+    these names give way to them."""
+    rows = docs.drop("_base", "_all").select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     base = rows.select("row", "t", F.array_sort(F.concat(
         _spans(F.col("t"), ASSIGN, "assign", 8, 2), _spans(F.col("t"), ACCESS, "access", 16),
         _spans(F.col("t"), LONG_HEX, "hex", 32))).alias("_base"))
     return base.select("row.*", "_base", F.array_sort(F.concat(
-        "_base", _entropy_spans(F.col("t"), F.col("_base"), allow, limits))).alias("_all"))
+        "_base", _entropy_spans(F.col("t"), F.col("_base"), allow, made_up, limits))).alias("_all"))
 
 
 def as_text(spans: Column) -> Column:

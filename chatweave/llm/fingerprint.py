@@ -1,15 +1,15 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash up to a fixed fraction of the hash range, so its size
-follows the document and the sketches of very unequal documents can be compared and merged.
-So that short documents are not left with an empty sketch, the ``least`` lowest hashes
-are kept where the fraction holds fewer. ``bound`` says up to where a sketch is
-complete; two sketches are compared below the lower of their bounds.
+A sketch keeps every shingle hash up to a fixed fraction of the hash range, whatever the length of the
+document, so its size follows the document and the sketches of very unequal documents can be compared and
+merged. A document without a hash in that fraction keeps its lowest one. ``bound`` says up to where a sketch
+is complete: the fraction, or the lowest hash where that is above it; two sketches are compared
+below the lower of their bounds. The estimate's error is that of a sample of ``fraction`` of the shingles.
 
 Defined cases: null text is the empty text, with the empty sketch; two empty sketches are
 alike (1), an empty and another are not (0); a text of fewer than five words is one
-shingle. Equal texts have equal sketches. Repeated rows and ids stay rows of their own.
-Extra columns pass through.
+shingle. Equal texts have equal sketches. Repeated rows and ids stay rows of their own. An
+empty table gives an empty table. Extra columns pass through, but ``_sketch`` and ``_next`` give way to the results.
 """
 
 from __future__ import annotations
@@ -24,26 +24,19 @@ from pyspark.sql import functions as F
 from chatweave.llm.columns import let, shingle_hashes
 
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
-FRACTION, LEAST = 1 / 16, 128
+FRACTION = 1 / 2
 
 
-def sketch(text: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
+def sketch(text: Column, fraction: float = FRACTION) -> Column:
     """Struct of ``bound`` and sorted ``hashes``: all distinct shingle hashes up to ``bound``."""
     limit = F.lit(LOWEST + int(fraction * 2**64))
 
     def cut(h: Column) -> Column:
-        low = F.filter(h, lambda x: x <= limit)
+        bound = F.when(F.size(h) == 0, F.lit(HIGHEST)).otherwise(F.greatest(limit, F.array_min(h)))
+        return let(bound, lambda b: F.struct(
+            b.alias("bound"), F.array_sort(F.array_distinct(F.filter(h, lambda x: x <= b))).alias("hashes")))
 
-        def pick(kept: Column) -> Column:
-            lowest = let(F.array_sort(h), lambda s: F.when(F.size(s) <= least, F.struct(
-                F.lit(HIGHEST).alias("bound"), s.alias("hashes"))).otherwise(F.struct(
-                    F.get(s, F.lit(least - 1)).alias("bound"), F.slice(s, 1, least).alias("hashes"))))
-            return F.when(F.size(kept) >= least, F.struct(
-                limit.alias("bound"), F.array_sort(kept).alias("hashes"))).otherwise(lowest)
-
-        return let(low, pick)
-
-    return let(F.array_distinct(shingle_hashes(text)), cut)
+    return let(shingle_hashes(text), cut)
 
 
 def merge(a: Column, b: Column) -> Column:
@@ -79,11 +72,10 @@ def as_text(s: Column) -> Column:
         F.transform(s["hashes"], lambda x: F.lower(F.hex(x))), ","))
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", fraction: float = FRACTION,
-                 least: int = LEAST) -> DataFrame:
-    """``docs`` with a ``_sketch`` column."""
-    return docs.select(F.struct("*").alias("row"), sketch(
-        F.coalesce(F.col(text_col), F.lit("")), fraction, least).alias("_sketch")).select("row.*", "_sketch")
+def fingerprints(docs: DataFrame, text_col: str = "text", fraction: float = FRACTION) -> DataFrame:
+    """``docs`` with a ``_sketch`` column; an input column of that name gives way to it."""
+    return docs.drop("_sketch").select(F.struct("*").alias("row"), sketch(
+        F.coalesce(F.col(text_col), F.lit("")), fraction).alias("_sketch")).select("row.*", "_sketch")
 
 
 def _chunk(key: Column, bounds: list) -> Column:
@@ -109,7 +101,7 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str],
     shuffle partitions), rows are shuffled once by chunk, and each chunk also gets the
     first row of the chunk below. No task sees more than its chunks.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("_next")
     n = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col(id_col).cast("bigint").alias("id"))
     bounds = ids.agg(F.percentile_approx(
@@ -125,16 +117,18 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str],
     place = F.broadcast(spark.createDataFrame(above, "_head bigint, _chunk int"))
 
     def shaped(df: DataFrame) -> DataFrame:
-        return derive(df).select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
-                                 F.struct(*carried).alias("carry"))
+        return derive(df).select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"))
 
+    carry = F.struct(*[F.col("row")[c].alias(c) for c in carried])
     own = shaped(docs)
     heads_only = docs.join(place, F.col(id_col).cast("bigint").eqNullSafe(F.col("_head")), "left_semi")
     first = (shaped(heads_only).join(place, F.col("id").eqNullSafe(F.col("_head")))
-             .groupBy(F.col("_chunk").alias("chunk"), "id").agg(F.max("carry").alias("carry")))
+             .groupBy(F.col("_chunk").alias("chunk"), "id").agg(F.max_by("row", carry).alias("row")))
     rows = (own.withColumn("chunk", _chunk(F.col("id"), bounds)).withColumn("given", F.lit(0))
-            .unionByName(first.withColumn("given", F.lit(1)), allowMissingColumns=True))
+            .unionByName(first.withColumn("given", F.lit(1))))
     order = Window.partitionBy("chunk").orderBy(
         F.col("given"), F.col("id").desc_nulls_last(), F.col("carry").desc_nulls_last())
-    return (rows.withColumn("_next", F.lead("carry").over(order)).filter(F.col("given") == 0)
+    # Dealt out before what is carried is taken from the row, so that it is not shuffled beside it.
+    dealt = rows.repartition("chunk").withColumn("carry", carry)
+    return (dealt.withColumn("_next", F.lead("carry").over(order)).filter(F.col("given") == 0)
             .select("row.*", "_next"))

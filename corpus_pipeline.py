@@ -20,21 +20,26 @@ from chatweave.llm.packing import pack_documents
 from chatweave.session import scratch_path
 
 
-ROW = "_row"  # what a stage decides on: rows share it only if all that the decision reads is equal
+KEY = "key"  # what a stage decides on: rows share it only if all that the decision reads is equal
 
 
-def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs`` without ``rows``, by ``ROW``; other rows of the same id stay."""
-    gone = rows.select(F.col(ROW).alias("_gone")).distinct()
-    return docs.join(gone, F.col(ROW) == F.col("_gone"), "left_anti")
+def _keyed(docs: DataFrame, *read: str, by: list[str] | None = None) -> DataFrame:
+    """The whole row, its key and the columns that the stage reads; no column of ``docs`` can clash."""
+    return docs.select(F.struct("*").alias("row"), row_key("doc_id", *(by or read)).alias(KEY), *read)
+
+
+def _without(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """``keyed`` without ``rows``, by their key; other rows of the same id stay."""
+    gone = rows.select(F.col(KEY).alias("gone")).distinct()
+    return keyed.join(gone, F.col(KEY) == F.col("gone"), "left_anti").select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; blank ones and unknown scripts go."""
     model = fit_text_model(docs, "lang", "text")
-    keyed = docs.withColumn(ROW, row_key("doc_id", "text", "lang", "source"))
-    judged = identify(keyed, model, ROW, declared=F.col("lang"), host=F.col("source"))
-    return _without(keyed, judged.filter(~F.col("kept"))).drop(ROW)
+    keyed = _keyed(docs, "text", "lang", "source", by=["doc_id", "text", "lang", "source"])
+    judged = identify(keyed, model, KEY, declared=F.col("lang"), host=F.col("source"))
+    return _without(keyed, judged.filter(~F.col("kept")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,16 +53,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: that of the least id, null ids last. Of rows
     that are equal in all columns one stays; rows without words are in no group."""
-    keyed = docs.withColumn(ROW, row_key("doc_id", *docs.columns))
-    told = near_duplicates(keyed, ROW).groupBy(ROW).agg(
-        F.bool_or(F.col(ROW) != F.col("component_id")).alias("gone"),
+    keyed = _keyed(docs, "text", by=docs.columns)
+    told = near_duplicates(keyed, KEY).groupBy(KEY).agg(
+        F.bool_or(F.col(KEY) != F.col("component_id")).alias("drop"),
         ((F.max("n_shingles") > 0) & (F.count(F.lit(1)) > 1)).alias("repeats"))
     path = scratch_path(spark, "near-rows")
-    told.filter(F.col("gone") | F.col("repeats")).write.parquet(path)
+    told.filter(F.col("drop") | F.col("repeats")).write.parquet(path)
     told = spark.read.parquet(path)
-    repeated = told.filter(~F.col("gone")).select(F.col(ROW).alias("_kept"))
-    once = keyed.join(repeated, F.col(ROW) == F.col("_kept"), "left_semi").dropDuplicates([ROW])
-    return _without(keyed, told).unionByName(once).drop(ROW)
+    repeated = told.filter(~F.col("drop")).select(F.col(KEY).alias("kept"))
+    once = keyed.join(repeated, F.col(KEY) == F.col("kept"), "left_semi").dropDuplicates([KEY]).select("row.*")
+    return _without(keyed, told).unionByName(once)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

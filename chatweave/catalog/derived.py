@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatweave.operators.canonical import exchanges
+from chatweave.operators.joins import bounded_broadcast
 from chatweave.session import cut_lineage
 from chatweave.sources.tables import read_table
 
@@ -89,7 +90,7 @@ def chat_lists(spark: SparkSession, folder: str) -> DataFrame:
     systems = rows.filter((F.col("turn") == 0) & (F.col("role") == "system")).select(
         "conv_id", F.col("text").alias("system")
     )
-    both = exchanges(rows).filter(F.col("reply").isNotNull()).join(systems, "conv_id", "left")
+    both = exchanges(rows).filter(F.col("reply").isNotNull()).join(bounded_broadcast(systems), "conv_id", "left")
     chat = F.array(
         F.struct(F.lit("user").alias("role"), F.col("text").alias("content")),
         F.struct(F.lit("assistant").alias("role"), F.col("reply").alias("content")),

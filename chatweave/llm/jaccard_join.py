@@ -20,12 +20,18 @@ Order of cells. Passages that many documents share would make hot keys. Cells th
 frequent shingles come last; the rest is ordered by hash. The list of frequent shingles (at most
 ``FREQUENT``, by count over the whole table) only sets this order and loses nothing.
 
-Groups. Documents of equal sets are one class and only classes are joined. Keys with equal sets of
+Groups. Documents of equal sets are one class and only classes are joined. First every class looks at
+the smallest class of each of its keys; the one it meets most often is verified on the whole sets, and keys whose
+classes are all in one group are left out. This brings together groups of near copies with one edge per class. Then, for what is left, keys with equal sets of
 classes are one bucket. Within a bucket (in blocks of ``BLOCK`` classes, each pair of blocks
-once), pairs that the sketches allow and that are not yet in one group are reduced to a
-spanning forest; the best edge of each class is verified on the whole sets, and edges that
-hold join groups. This repeats until no bucket has an allowed pair between two groups that has not been
-verified, so no link between different texts is lost and no group is expanded into pairs.
+once), the best few pairs of each class that the sketches allow and that are not yet in one group
+are verified; those that
+hold join groups. This repeats, with four times as many pairs of each class every time, until no bucket has an allowed pair between two
+groups that has not been verified, so no link between different texts is lost. Pairs are kept for the
+best few partners of a class only, never for a whole group.
+
+Words are hashed with a multiplier of its own for each place, and long ones by a strong hash, so that no
+pattern of letters makes different words meet; a set is known by 128 bits of its shingles.
 
 Defined cases: null text and text without words have an empty set, link with nothing and are
 groups of their own, also among each other; fewer than five words are one shingle;
@@ -41,13 +47,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatweave.llm.components import connected
 from chatweave.llm.frequent import most_frequent
 from chatweave.llm.hashing import CODES, TURN, chunk_hashes, mix
-from chatweave.session import scratch_path
+from chatweave.session import drop_path, scratch_path
 
 SIZE = 5
 SLICE = 256
@@ -178,9 +184,9 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
 
 
 def _members(kind: str):
-    """(id, text) to (id, n, digest), and now and then a row with frequent shingles."""
+    """(id, text, hash of the text) to (id, h, n, node, digest), and now and then a row with frequent shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n", "digest", "often", "times"]
+        names = ["id", "h", "n", "node", "digest", "often", "times"]
         waiting: list[np.ndarray] = []
         held, id_type = 0, None
 
@@ -188,7 +194,7 @@ def _members(kind: str):
             values, times = np.unique(np.concatenate(waiting), return_counts=True)
             most = times >= max(8, len(waiting) // 200)
             return pa.RecordBatch.from_arrays(
-                [pa.array([None], id_type), pa.array([None], pa.int64()), pa.array([None], pa.binary()),
+                [pa.array([None], id_type), *(pa.array([None], pa.int64()) for _ in range(3)), pa.array([None], pa.binary()),
                  pa.array([values[most].view(np.int64)], pa.list_(pa.int64())),
                  pa.array([times[most]], pa.list_(pa.int64()))], names)
 
@@ -196,9 +202,10 @@ def _members(kind: str):
             id_type = part.column(0).type
             sets = list(shingle_sets(texts))
             none = pa.nulls(len(sets), pa.list_(pa.int64()))
+            digests = [digest_of(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary()), none, none], names)
+                [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([d and node_of(d) for d in digests], pa.int64()), pa.array(digests, pa.binary()), none, none], names)
             waiting += [s for s in sets if len(s)]
             held += sum(map(len, sets))
             if held > COUNTED:
@@ -207,13 +214,34 @@ def _members(kind: str):
         if waiting:
             yield often()
 
-    return run, f"id {kind}, n bigint, digest binary, often array<bigint>, times array<bigint>"
+    return run, f"id {kind}, h bigint, n bigint, node bigint, digest binary, often array<bigint>, times array<bigint>"
+
+
+class Steps:
+    """Tables of a run in a folder of its own; those that are no longer read are removed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, scratch_path(spark, "jaccard")
+        self.paths: list[tuple[DataFrame, str]] = []
+        self.made = 0
 
+    def path(self) -> str:
+        self.made += 1
+        return f"{self.folder}/{self.made}"
 
-def _saved(rows: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    def save(self, rows: DataFrame, *, instead_of: DataFrame | None = None) -> DataFrame:
+        path = self.path()
+        rows.write.parquet(path)
+        self.drop(instead_of)
+        saved = self.spark.read.schema(rows.schema).parquet(path)
+        self.paths.append((saved, path))
+        return saved
+
+    def drop(self, saved: DataFrame | None) -> None:
+        for known, path in self.paths:
+            if known is saved:
+                drop_path(self.spark, path)
+        self.paths = [x for x in self.paths if x[0] is not saved]
 
 
 def _emit_keys(shipped, threshold: int):
@@ -243,15 +271,16 @@ def _emit_keys(shipped, threshold: int):
 def _emit_sets(bitmap, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = bitmap.value, set()
-        for _, texts in _texts(batches, 0):
+        for part, texts in _texts(batches, 0):
+            places = part.column(1).to_numpy() & BITMAP - 1
+            wanted = bits[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)
             rows = []
-            for s in shingle_sets(texts):
+            for s in shingle_sets([t for t, w in zip(texts, wanted.tolist(), strict=True) if w]):
                 if not len(s):
                     continue
                 digest = digest_of(s)
                 node = node_of(digest)
-                place = node & BITMAP - 1
-                if bits[place >> 6] >> (place & 63) & 1 and digest not in seen:
+                if digest not in seen:
                     seen.add(digest)
                     rows.append((node, digest, len(s), [
                         {"level": x, "bits": parity_bits(s, x)} for x in levels(len(s), threshold)], s.tobytes()))
@@ -263,52 +292,37 @@ def _emit_sets(bitmap, threshold: int):
     return run
 
 
-def forest(digests: list, n: np.ndarray, groups: list, sketches: np.ndarray, wrong: list, threshold: int) -> list[tuple]:
-    """Edges that join groups of a bucket, one for each pair of groups met, among pairs that
-    sizes and sketches allow and that have not been found wrong."""
-    root = {g: g for g in groups}
-    numbers = {g: k for k, g in enumerate(root)}
+def best_pairs(digests: list, n: np.ndarray, groups: list, sketches: np.ndarray, wrong: list, threshold: int, limit: int) -> list[tuple]:
+    """Pairs between groups of a bucket: for each class at most the ``limit`` best ones, to classes of
+    different groups behind it, among those that sizes and sketches allow and that have not been found wrong."""
+    numbers = {g: k for k, g in enumerate(dict.fromkeys(groups))}
     labels = np.array([numbers[g] for g in groups])
-
-    def find(g):
-        while root[g] != g:
-            root[g] = root[root[g]]
-            g = root[g]
-        return g
-
-    # The allowed pairs between different groups, those with the most room first, as these
-    # are the likeliest to hold.
+    place = {d: k for k, d in enumerate(digests)}
     pairs = []
     for i in range(len(digests) - 1):
         rest = slice(i + 1, None)
         least, most = np.minimum(n[rest], n[i]), np.maximum(n[rest], n[i])
         fits = np.flatnonzero((most * threshold <= 100 * least) & (labels[rest] != labels[i])) + i + 1
+        tested = [place[d] for d in wrong[i] or () if d in place]
+        if tested:
+            fits = np.setdiff1d(fits, tested)
         if not len(fits):
             continue
         off = np.bitwise_count(sketches[fits] ^ sketches[i]).sum(axis=1, dtype=np.int64)
         good = off * (100 + threshold) <= (100 - threshold) * (n[fits] + n[i])
-        share = off[good] / (n[fits[good]] + n[i])
-        # One partner in each group is enough for now.
-        order = np.argsort(share, kind="stable")
-        near, share = fits[good][order], share[order]
-        _, first = np.unique(labels[near], return_index=True)
-        not_these = set(wrong[i] or ())
-        if not_these:
-            first = [k for k in range(len(near)) if digests[near[k]] not in not_these]
-        pairs += [(share[k], i, int(near[k])) for k in first]
-    edges = []
-    for share, i, j in sorted(pairs):
-        a, b = find(groups[i]), find(groups[j])
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            edges.append((digests[i], digests[j], float(share)))
-    return edges
-
-
-EDGES = "at bigint, x int, y int, u binary, v binary, share double"
-
-
-def _emit_edges(threshold: int):
+        # Those with the most room first, as these are the likeliest to hold. One partner in a group is
+        # enough until that was found wrong.
+        near = fits[good][np.argsort(off[good] / (n[fits[good]] + n[i]), kind="stable")]
+        some = np.isin(labels[near], labels[tested])
+        some[np.unique(labels[near], return_index=True)[1]] = True
+        pairs += [(digests[i], digests[j]) for j in near[some][:limit].tolist()]
+    return pairs
+
+
+EDGES = "at bigint, x int, y int, u binary, v binary"
+
+
+def _emit_edges(threshold: int, limit: int):
     """Rows (at, x, y, digest, n, group, bits, wrong), sorted by the first three, which name a
     bucket and its pair of blocks, to edges with these names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,12 +335,12 @@ def _emit_edges(threshold: int):
             sketches = np.frombuffer(b"".join(by[3]), np.uint8).reshape(len(held), -1)
             if sketches.shape[1] % 8 == 0:
                 sketches = sketches.view(np.uint64)
-            return [(*place, *e) for e in forest(by[0], np.array(by[1]), by[2], sketches, by[4], threshold)]
+            return [(*place, *e) for e in best_pairs(by[0], np.array(by[1]), by[2], sketches, by[4], threshold, limit)]
 
         def out(edges: list[tuple]) -> pa.RecordBatch:
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.float64()]
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*edges, strict=True), types, strict=True)], ["at", "x", "y", "u", "v", "share"])
+                [pa.array(c, t) for c, t in zip(zip(*edges, strict=True), types, strict=True)], ["at", "x", "y", "u", "v"])
 
         edges: list[tuple] = []
         for batch in batches:
@@ -371,88 +385,137 @@ def _enough(shared: DataFrame, threshold: int) -> DataFrame:
     return near.join(some, ["node", "level"], "left_semi")
 
 
+def _verified(pairs: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """(u, v, holds) of pairs of digests, by their whole sets."""
+    one, two = (known.select(F.col("digest").alias(d), F.col("shingles").alias(s)) for d, s in (("u", "a"), ("v", "b")))
+    return pairs.join(one, "u").join(two, "v").select("u", "v", "a", "b").mapInArrow(
+        _verify(threshold), "u binary, v binary, holds boolean")
+
+
+def _merged(steps: Steps, groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """``groups`` (digest, component) after the edges (u, v) between digests."""
+    ends = edges
+    for end in ("u", "v"):
+        ends = ends.join(groups.select(F.col("digest").alias(end), F.col("component").alias(f"c{end}")), end)
+    stars = steps.path()
+    joined = connected(ends.select(F.col("cu").alias("u"), F.col("cv").alias("v")), stars).select(
+        F.col("node").alias("component"), F.col("component").alias("to"))
+    after = steps.save(groups.join(joined, "component", "left").select(
+        "digest", F.coalesce("to", "component").alias("component")), instead_of=groups)
+    drop_path(steps.spark, stars)
+    return after
+
+
+def _join_to_firsts(steps: Steps, cells: DataFrame, groups: DataFrame, known: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Groups after every class (key, level, digest, n) has met the smallest one of its keys, and the rows
+    of keys that still have classes of two groups."""
+    by_key = Window.partitionBy("key", "level")
+    first = F.min(F.struct(F.col("n").alias("m"), F.col("digest").alias("v"))).over(by_key)
+    fits = (F.col("m") * 100 >= F.col("n") * threshold) & (F.col("digest") != F.col("v"))
+    pairs = (cells.withColumn("first", first).select("n", F.col("digest"), "first.m", "first.v").filter(fits)
+             .groupBy(F.col("digest").alias("u"), "v").agg(F.count(F.lit(1)).alias("times")))
+    best = pairs.groupBy("u").agg(F.max_by("v", F.struct("times", "v")).alias("v"))
+    right = steps.save(_verified(best, known, threshold).filter("holds").select("u", "v"))
+    if not right.isEmpty():
+        groups = _merged(steps, groups, right)
+    steps.drop(right)
+    apart = F.min("component").over(by_key) < F.max("component").over(by_key)
+    left = cells.join(groups, "digest").withColumn("apart", apart).filter("apart").select("key", "level", "digest", "n")
+    return groups, steps.save(left, instead_of=cells)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
     """Per row: the id, ``n_shingles`` and ``component_id``, the least id of its group."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    steps = Steps(spark)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     run, schema = _members(dict(rows.dtypes)["id"])
-    members = _saved(rows.mapInArrow(run, schema), "members")
+    members = steps.save(rows.mapInArrow(run, schema))
 
     # At most FREQUENT rows come to the driver: the order of cells, not their choice.
     often = members.filter(F.col("often").isNotNull()).select(F.explode(F.arrays_zip("often", "times")).alias("o"))
     often = most_frequent(often.groupBy("o.often").agg(F.sum("o.times").alias("times")), "times", FREQUENT)
     frequent = np.sort(np.array([r["often"] for r in often], np.int64).view(np.uint64))
-    members = members.filter(F.col("n").isNotNull()).select("id", "n", "digest")
+    members = members.filter(F.col("n").isNotNull()).select("id", "h", "n", "node", "digest")
 
     by_key = Window.partitionBy("key")
     keyed = rows.select("text").mapInArrow(_emit_keys(spark.sparkContext.broadcast(frequent), threshold), "key bigint, node bigint, level int, least int, n bigint")
     shared = (keyed.withColumns({
         "low": F.min("node").over(by_key), "high": F.max("node").over(by_key)}).filter(F.col("low") < F.col("high")))
-    shared = shared.select("key", "node", "level", "least", "n").distinct()
+    # Written once, as the next step reads it twice.
+    shared = steps.save(shared.select("key", "node", "level", "least", "n").distinct())
     for _ in range(2):  # each time sets go, others lose their partners
-        shared = _saved(_enough(shared, threshold), "shared-keys")
-    signed = shared.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("bucket"), F.count(F.lit(1)).alias("size"))
-    buckets = _saved(shared.join(signed, "key").select("bucket", "size", "level", "node").distinct(), "buckets")
-
-    words = buckets.select("node").distinct().select(
-        F.expr(f"shiftright(node & {BITMAP - 1}, 6)").alias("w"),
-        F.expr("shiftleft(1L, int(node & 63))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("bits")).collect()
-    bitmap = np.zeros(BITMAP >> 6, np.int64)  # of fixed size; a node that is not wanted is dropped by the join below
+        shared = steps.save(_enough(shared, threshold), instead_of=shared)
+
+    # Only texts that may be wanted are read into sets again; others that have their bit go in the join below.
+    wanted = members.join(shared.select("node").distinct(), "node", "left_semi").select("h")
+    words = wanted.select(
+        F.expr(f"shiftright(h & {BITMAP - 1}, 6)").alias("w"),
+        F.expr("shiftleft(1L, int(h & 63))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("bits")).collect()
+    bitmap = np.zeros(BITMAP >> 6, np.int64)  # of fixed size
     for r in words:
         bitmap[r["w"]] = r["bits"]
-    bits = spark.sparkContext.broadcast([int(x) for x in bitmap.view(np.uint64)])
-    sets = rows.select("text").mapInArrow(
+    bits = spark.sparkContext.broadcast(bitmap.view(np.uint64))
+    sets = rows.select("text", "h").mapInArrow(
         _emit_sets(bits, threshold), "node bigint, digest binary, n bigint, sketches array<struct<level:int,bits:binary>>, shingles binary")
     # Bucketed by digest, so that the joins below read it without a shuffle.
     table, n_parts = f"shingle_sets_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (sets.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["digest"])
-     .repartition(n_parts, "digest").write.bucketBy(n_parts, "digest").sortBy("digest")
-     .option("path", scratch_path(spark, "sets")).option("compression", "none").saveAsTable(table))
-    known = spark.table(table)
+    try:
+        (sets.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["digest"])
+         .repartition(n_parts, "digest").write.bucketBy(n_parts, "digest").sortBy("digest")
+         .option("path", f"{steps.folder}/sets").option("compression", "none").saveAsTable(table))
+        groups = _groups(steps, shared, spark.table(table), threshold)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    drop_path(spark, f"{steps.folder}/sets")
+
+    labelled = members.join(groups, "digest", "left").withColumn("group", F.coalesce("component", "digest"))
+    least = labelled.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min("id").alias("least"))
+    return (labelled.select("id", "n", "group").join(least, "group", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+
 
+def _groups(steps: Steps, shared: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """(digest, component) of all sets with keys that others share."""
+    cells = steps.save(shared.join(known.select("digest", "node"), "node").select("key", "level", "digest", "n"), instead_of=shared)
+    groups = steps.save(cells.select("digest").distinct().withColumn("component", F.col("digest")))
+    groups, cells = _join_to_firsts(steps, cells, groups, known, threshold)
+
+    signed = cells.groupBy("key", "level").agg(F.bit_xor(F.xxhash64("digest")).alias("bucket"), F.count(F.lit(1)).alias("size"))
+    met = cells.join(signed, ["key", "level"]).select("bucket", "size", "level", "digest", "n").distinct()
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    met = (buckets.join(known.select("digest", "node", "n"), "node").withColumn("parts", parts)
-           .withColumn("block", block).withColumn("other", other))
-    met = _saved(met.select(F.xxhash64("bucket", "level").alias("at"), F.least("block", "other").alias("x"),
-                            F.greatest("block", "other").alias("y"), "digest", "n", "level"), "met")
-
-    edges, wrong, groups = None, None, None
-    place = ["at", "x", "y"]
+    met = met.withColumn("parts", parts).withColumn("block", block).withColumn("other", other)
+    met = steps.save(met.select(F.xxhash64("bucket", "level").alias("at"), F.least("block", "other").alias("x"),
+                                F.greatest("block", "other").alias("y"), "digest", "n", "level"), instead_of=cells)
+    place, limit = ["at", "x", "y"], 1
+    tried = f"{steps.folder}/wrong"
+    wrong = None
     while True:
-        now = met.withColumn("group", F.col("digest")) if groups is None else (
-            met.join(groups, met["digest"] == groups["node"], "left")
-            .withColumn("group", F.coalesce("component", "digest")).drop("node", "component"))
+        now = met.join(groups, "digest").withColumnRenamed("component", "group")
         now = now.withColumn("wrong", F.lit(None).cast("array<binary>")) if wrong is None else (
             now.join(wrong.groupBy(F.col("a").alias("digest")).agg(F.collect_set("b").alias("wrong")), "digest", "left"))
         bits = F.get(F.filter("sketches", lambda k: k["level"] == F.col("level")), F.lit(0))["bits"]
         now = now.join(known.select("digest", "sketches"), "digest").withColumn("bits", bits)
         dealt = (now.select(*place, "digest", "n", "group", "bits", "wrong")
                  .repartition(*place).sortWithinPartitions(*place, "digest"))
-        found = _saved(dealt.mapInArrow(_emit_edges(threshold), EDGES), "edges")
+        found = steps.save(dealt.mapInArrow(_emit_edges(threshold, limit), EDGES))
         if found.isEmpty():
+            steps.drop(found)
             break
-        # Buckets that overlap offer many edges; the best one of each set is tried in this round.
-        ends = found.select(F.explode(F.array("u", "v")).alias("end"), F.struct("share", "u", "v").alias("e"))
-        tried = ends.groupBy("end").agg(F.min("e").alias("e")).select("e.u", "e.v").distinct()
         # Groups only grow: a bucket without an edge now will have none later.
-        met = met.join(found.select(*place).distinct(), place, "left_semi")
-        one, two = (known.select(F.col("digest").alias(d), F.col("shingles").alias(s)) for d, s in (("u", "a"), ("v", "b")))
-        tested = _saved(tried.join(one, "u").join(two, "v").select("u", "v", "a", "b")
-                        .mapInArrow(_verify(threshold), "u binary, v binary, holds boolean"), "tested")
-        right = tested.filter("holds").select("u", "v")
-        no = tested.filter("not holds")
-        no = no.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
-            no.select(F.col("v").alias("a"), F.col("u").alias("b")))
-        edges = right if edges is None else edges.unionByName(right)
-        wrong = no if wrong is None else wrong.unionByName(no)
-        groups = connected(edges)
-
-    spark.sql(f"DROP TABLE {table}")
-    labelled = members.withColumn("group", F.col("digest")) if groups is None else (
-        members.join(groups, F.col("digest") == F.col("node"), "left").withColumn("group", F.coalesce("component", "digest")))
-    least = labelled.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min("id").alias("least"))
-    return (labelled.select("id", "n", "group").join(least, "group", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+        met = steps.save(met.join(found.select(*place).distinct(), place, "left_semi"), instead_of=met)
+        tested = steps.save(_verified(found.select("u", "v").distinct(), known, threshold), instead_of=found)
+        right, no = tested.filter("holds").select("u", "v"), tested.filter("not holds")
+        no.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
+            no.select(F.col("v").alias("a"), F.col("u").alias("b"))).write.mode("append").parquet(tried)
+        wrong = steps.spark.read.schema("a binary, b binary").parquet(tried)
+        if not right.isEmpty():
+            groups = _merged(steps, groups, right)
+        steps.drop(tested)
+        limit *= 4
+    steps.drop(met)
+    drop_path(steps.spark, tried)
+    return groups

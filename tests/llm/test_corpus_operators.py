@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from chatweave.llm import jaccard_join, lattice_score
+from chatweave.llm import jaccard_join, language_id, lattice_score
 from chatweave.llm.components import connected
 from chatweave.llm.decontaminate import drop_contaminated, find_items
 from chatweave.llm.jaccard_join import near_duplicates
@@ -146,6 +146,39 @@ def test_jaccard_against_brute_force(spark, rows, monkeypatch):
         assert got == brute_groups(rows)
 
 
+def doubled(size):
+    """Words of ``size`` letters a and b that collide under any hash by powers of one odd number."""
+    bits = [bin(i).count("1") & 1 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [32, 64, 512, 1024, 4096])
+def test_words_of_one_pattern_stay_apart(spark, size):
+    one, two = doubled(size)
+    rows = [(1, " ".join([one] * 6 + ["x"])), (2, " ".join([two] * 6 + ["x"])), (3, f"{one} y"), (4, f"{two} y"), (5, f"{one} y")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs_of(spark, rows)).collect()), key=str)
+    assert got == brute_groups(rows)
+    hashes = jaccard_join.word_hashes(f"{one} {two}".encode())[0]
+    assert hashes[0] != hashes[1]
+
+
+def test_large_group_of_near_copies(spark):
+    """Thousands of different texts near one text, and as many that only share a passage with it."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows, passage = [], [f"p{i}" for i in range(25)]
+    for i in range(5000):
+        text = list(base)
+        text[rng.randrange(120)] = f"e{i}"
+        rows.append((i, " ".join(text)))
+    for i in range(1500):
+        rows.append((10_000 + i, " ".join([*passage, *(f"o{i}w{j}" for j in range(100))])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs_of(spark, rows).repartition(8)).collect()}
+    # Each copy links to all whose edit is near its own, and so to the whole group.
+    assert {c for i, (_, c) in got.items() if i < 5000} == {0}
+    assert all(got[10_000 + i] == (121, 10_000 + i) for i in range(1500))
+
+
 def test_keys_meet_for_every_link():
     """The pigeonhole bound, for sizes around the ends of the bands."""
     rng = np.random.default_rng(7)
@@ -168,9 +201,10 @@ def test_keys_meet_for_every_link():
             assert met
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 300_000])
+def test_components(spark, local):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (103, 101), (200, 200), (7, 3), (60 + 1, 60)]
-    got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "u int, v int")).collect()}
+    got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "u int, v int"), local_edges=local).collect()}
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 101: 100, 103: 100, 60: 60, 61: 60}
 
 
@@ -241,7 +275,8 @@ def test_items_are_found_exactly(spark):
         for _ in range(rng.randrange(4)):
             words[rng.randrange(len(words))] = "other"
         docs.append((100 + k, " ".join(f"d{rng.randrange(50)}" for _ in range(rng.choice([0, 3, 2000]))) + " " + " ".join(words)))
-    df, it = docs_of(spark, docs).withColumn("hash", F.lit(1)), spark.createDataFrame(items, "item_id int, text string")
+    df = docs_of(spark, docs).withColumn("hash", F.lit(1)).withColumns({"_row": F.lit("mine"), "key": F.lit(2), "row": F.lit(3), "hit": F.lit(4)})
+    it = spark.createDataFrame(items, "item_id int, text string")
     got = Counter((r.doc_id, r.item_id, r.n_item, r.n_shared) for r in find_items(df, it).collect())
     want = Counter()
     for d, t in docs:
@@ -252,7 +287,11 @@ def test_items_are_found_exactly(spark):
     assert got == want and len(want) > 40
     kept = drop_contaminated(df, it)
     assert kept.columns == df.columns
-    assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, *_ in want}
+    # Rows are judged, not ids: a clean row stays beside a contaminated one of the same id.
+    asked = [shingles(x) for _, x in items if shingles(x)]
+    clean = Counter((d, t) for d, t in docs if not any(100 * len(a & shingles(t)) >= 80 * len(a) for a in asked))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == clean and clean[5, None] == 1
+    assert {r["_row"] for r in kept.collect()} == {"mine"}
 
 
 TEXTS = {"en": "the house and the garden with a tree near water", "de": "das haus und der garten mit einem baum am wasser",
@@ -278,6 +317,49 @@ def test_language_evidence(spark):
     assert [got[i].kept for i in (1003, 1004, 1005)] == [False, False, False]
 
 
+def test_language_text_evidence_against_brute_force(spark):
+    """Text scores and fused probabilities of every length against plain Python."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(TEXTS[x].split(), k=5)), x) for i, x in enumerate(rng.choices(list(TEXTS), k=120))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, table = fit_text_model(df, "lang", "text")
+    counts = {x: np.full(language_id.BUCKETS, 0.05) for x in TEXTS}
+    for t, x in {(t, x) for _, t, x in rows}:
+        for b in language_id.buckets(np.frombuffer(f" {t.lower()} ".encode(), np.uint8)).tolist():
+            counts[x][b] += 1
+    assert names == [*sorted(TEXTS), "und"]
+    for i, x in enumerate(sorted(TEXTS)):
+        assert table[:, i] == pytest.approx(np.log10(counts[x] / counts[x].sum()))
+    odd = [(1000 + n, ("the haus " * n)[:max(0, n - 0)], None) for n in (1, 5, 198, 199, 200, 201, 20_000)]
+    more = df.unionByName(spark.createDataFrame(odd, df.schema))
+    got = {r.doc_id: r for r in identify(more, (names, table)).collect()}
+    said, scores = Counter(), {}
+    for i, t, _ in [*rows, *odd]:
+        b = language_id.buckets(np.frombuffer(f" {t.lower()} ".encode(), np.uint8))
+        scores[i] = table[b].sum(axis=0) * language_id.MAX_TRIGRAMS / (language_id.MAX_TRIGRAMS + len(b))
+        said[int(scores[i].argmax())] += 1
+    for i, _, _ in [*rows, *odd]:
+        # Without hosts the prior is the share of the languages, less what the row itself says of no host: all of it.
+        top = np.array([(said[k] + 1 / len(names)) / (sum(said.values()) + 1) for k in range(len(names))])
+        power = scores[i] + np.log10(top)
+        p = 1 / (10 ** (power - power.max())).sum()
+        assert got[i].text_lang == names[int(scores[i].argmax())] and got[i].language == names[int(power.argmax())]
+        assert got[i].probability == pytest.approx(p)
+
+
+def test_thousands_of_labels(spark):
+    """A column of labels with typing errors: those of too few texts are no languages."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(TEXTS[x].split(), k=6)), x) for i, x in enumerate(rng.choices(list(TEXTS), k=3000))]
+    rows += [(10_000 + i, f"word{i} other{i}", f"label {i}") for i in range(5000)]
+    rows += [(20_000 + i, "the same text each time", "en") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, table = fit_text_model(df, "lang", "text", max_rows=100)
+    assert names == ["de", "en", "fr", "und"] and table.shape == (language_id.BUCKETS, 4)
+    got = {r.doc_id: r.language for r in identify(df, (names, table), declared=F.col("lang")).filter("doc_id < 3000").collect()}
+    assert sum(got[i] == x for i, _, x in rows[:3000]) >= 2950
+
+
 def test_page_parts(spark):
     df = spark.createDataFrame([('<!doctype html><HTML class="x" LANG=\'De-AT\'>', "HTTPS://u@Www.Site.DE:80/p?x"), ("<p>", "no url"), (None, None)], "h string, u string")
     got = df.select(page_language(F.col("h")), page_host(F.col("u"))).collect()

@@ -50,12 +50,23 @@ def token_accumulate(spark: Spark, folder: str) -> DataFrame:
     return _texts(accumulate_tokens(token_rows(spark, folder), part_size=16))
 
 
+# Responses of a bucket of the state, and of a part of the files; the number of micro-batches is fixed.
+BUCKET, FILE = 512, 50_000
+
+
+def _dealt(spark: Spark, folder: str) -> tuple[int, int]:
+    """Buckets of the state, and how many times the least number of files are written, both in proportion to the input."""
+    n = d.conversations(spark, folder).count()
+    return 1 + n // BUCKET, 1 + n // FILE
+
+
 @query("stream_responses", TEXTS_SQL)
 def stream_responses(spark: Spark, folder: str) -> DataFrame:
     root = scratch_path(spark, "tokens")
+    buckets, files = _dealt(spark, folder)
     # Files cut texts at any place: tokens of a text come in different micro-batches.
-    token_rows(spark, folder).repartition(8, "id", "seq").write.parquet(f"{root}/in")
-    stream = responses(readers.token_rows(spark, f"{root}/in", files_per_batch=4, id_type="string"))
+    token_rows(spark, folder).repartition(8 * files, "id", "seq").write.parquet(f"{root}/in")
+    stream = responses(readers.token_rows(spark, f"{root}/in", 4 * files, id_type="string"), buckets=buckets)
     return _texts(run_to_end(spark, stream, f"{root}/out", f"{root}/state"))
 
 
@@ -77,19 +88,20 @@ def stream_tokens(spark: Spark, folder: str) -> DataFrame:
     rows = token_rows(spark, folder).withColumn("at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq")))
     rows = rows.filter(~(F.col("is_last") & (F.split("id", ":")[1].cast("bigint") % 2 == 1)))
     half = F.pmod(F.xxhash64("id", "seq"), F.lit(2))
+    buckets, files = _dealt(spark, folder)
 
     def go(more: DataFrame) -> DataFrame:
         more.write.mode("append").parquet(f"{root}/in")
-        stream = responses(readers.token_rows(spark, f"{root}/in", 2, "string", at="at"), SPECIALS, "at", "2 days", "1 hour")
+        stream = responses(readers.token_rows(spark, f"{root}/in", 2 * files, "string", at="at"), SPECIALS, "at", "2 days", "1 hour", buckets)
         return run_to_end(spark, stream, f"{root}/out", f"{root}/state")
 
-    go(rows.filter(half == 0).repartition(4, "id", "seq"))
+    go(rows.filter(half == 0).repartition(4 * files, "id", "seq"))
     # All tokens, so half of them a second time.
-    go(rows.repartition(4, "id", "seq"))
+    go(rows.repartition(4 * files, "id", "seq"))
     # A token far ahead moves the watermark past all that is open.
     ahead = spark.range(1).select(F.lit("-1:0").alias("id"), F.lit(0).alias("seq"), F.lit("x").alias("token"), F.lit(False).alias("is_last"))
     go(ahead.withColumn("at", F.lit("2030-01-01 00:00:00").cast("timestamp")))
-    found = go(rows.withColumn("token", F.lit("late")).repartition(2, "id"))
+    found = go(rows.withColumn("token", F.lit("late")).repartition(2 * files, "id"))
     return _texts(found, "complete")
 
 

@@ -1,6 +1,6 @@
-"""Keyed state: growing responses and chat sessions.
+"""Keyed state: growing responses, by buckets of them, and chat sessions.
 
-State needs the RocksDB store (``chatweave.streaming.run.rocksdb_state``). Timers end what has
+The state of sessions needs the RocksDB store (``chatweave.streaming.run.rocksdb_state``). Timers end what has
 gone idle, on one of two clocks: event time, that is the watermark of a time column,
 or the time of processing. On event time results do not depend on how rows are dealt to
 micro-batches.
@@ -8,13 +8,17 @@ micro-batches.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+import io
+import pickle
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from chatweave.functions.text import classify_command, command_argument, strip
 from chatweave.operators.sessions import DEFAULT_SYSTEM, MAX_MESSAGES, checked_messages
@@ -36,15 +40,16 @@ class Clock:
         return timers.getCurrentWatermarkInMs() if self.mode == "EventTime" else timers.getCurrentProcessingTimeInMs()
 
 
-def add_numbers(runs: list[list[int]], numbers: Sequence[int]) -> tuple[list[list[int]], list[int]]:
+def add_numbers(runs: list[list[int]], numbers: Iterable[int]) -> tuple[list[list[int]], list[int]]:
     """Add numbers to a set kept as ascending runs [first, last]; also those that were new."""
-    known, new = [list(r) for r in runs], []
+    starts = [a for a, _ in runs]
+    new = []
     for n in sorted(set(numbers)):
-        if not any(a <= n <= b for a, b in known):
+        at = bisect_right(starts, n) - 1
+        if at < 0 or n > runs[at][1]:
             new.append(n)
-            known.append([n, n])
     merged: list[list[int]] = []
-    for a, b in sorted(known):
+    for a, b in sorted([*runs, *([n, n] for n in new)]):
         if merged and a <= merged[-1][1] + 1:
             merged[-1][1] = max(merged[-1][1], b)
         else:
@@ -52,76 +57,90 @@ def add_numbers(runs: list[list[int]], numbers: Sequence[int]) -> tuple[list[lis
     return merged, new
 
 
-class ResponseText(StatefulProcessor):
-    """Holds the tokens of a response until its last one has come and none is missing.
+# Buckets that responses are dealt to, unless a caller knows better: each is one row of state.
+BUCKETS = 1024
 
-    A finished response leaves a mark, so that repeated tokens do not open it again; the mark
-    and what stays unfinished go when the response has been idle.
-    """
+# What is known of the open responses of a bucket: (runs, length, last, done) by id, sequence numbers being held
+# as runs and last being the time of the newest token; and (sequence number, token) pairs by id, one pickle after the other.
+RESPONSES = "known binary, tokens binary"
 
-    def __init__(self, specials: Sequence[str], clock: Clock, idle_ms: int, at: str | None) -> None:
-        self.specials, self.clock, self.idle_ms, self.at = frozenset(specials), clock, idle_ms, at
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.tokens = handle.getListState("tokens", "seq int, token string")
-        # Sequence numbers held as runs; last is the time of the newest token.
-        self.progress = handle.getValueState("progress", "runs string, length int, last bigint, done boolean")
+def _taken(tokens: bytes, ids: set) -> tuple[dict, bytes]:
+    """The held tokens of some responses, and what is left of ``tokens``."""
+    taken: dict = {i: [] for i in ids}
+    rest: dict = {}
+    stream = io.BytesIO(tokens)
+    while stream.tell() < len(tokens):
+        for i, pairs in pickle.load(stream).items():
+            (taken[i] if i in ids else rest.setdefault(i, [])).extend(pairs)
+    return taken, pickle.dumps(rest, 5) if rest else b""
 
-    def _result(self, key, tokens: list[tuple], n: int, complete: bool) -> pd.DataFrame:
-        text = "".join(token for _, token in sorted(tokens) if token not in self.specials)
-        return pd.DataFrame({"id": [key[0]], "text": [text], "n_tokens": [n], "complete": [complete]})
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
-        known = self.progress.exists()
-        runs, length, last, done = self.progress.get() if known else ("[]", -1, 0, False)
-        newest = int(batch["ms"].max()) if self.at else self.clock.now(timerValues) if self.idle_ms else 0
-        if self.idle_ms and not known:
-            self.handle.registerTimer(max(newest, last) + self.idle_ms)
-        last = max(last, newest)
-        if done:
-            self.progress.update((runs, length, last, True))
-            return
-        # State is touched once per micro-batch, whatever the number of tokens.
-        first = {int(s): t for s, t in zip(batch["seq"][::-1], batch["token"][::-1], strict=True)}
-        held, new = add_numbers(json.loads(runs), list(first))
-        ends = batch.loc[batch["is_last"], "seq"]
-        length = int(ends.iloc[0]) + 1 if len(ends) else length
-        tokens = [(s, first[s]) for s in new]
-        if held != [[0, length - 1]]:
-            if tokens:
-                self.tokens.appendList(tokens)
-            self.progress.update((json.dumps(held), length, last, False))
-            return
-        if known:
-            tokens += [tuple(x) for x in self.tokens.get()]
-            self.tokens.clear()
-        if self.idle_ms:
-            self.progress.update(("[]", length, last, True))
-        else:
-            self.progress.clear()
-        yield self._result(key, tokens, length, True)
+def _respond(group, batches: Iterator[pd.DataFrame], state: GroupState, specials: frozenset, clock: str, idle_ms: int,
+             ) -> Iterator[pd.DataFrame]:
+    """Responses of a bucket whose last token has come and of which none is missing, or that are idle.
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.progress.exists():
-            return
-        runs, _, last, done = self.progress.get()
-        if last + self.idle_ms > expiredTimerInfo.getExpiryTimeInMs():  # tokens came since it was set
-            self.handle.registerTimer(last + self.idle_ms)
-            return
-        if not done:
-            tokens = [tuple(x) for x in self.tokens.get()]
-            yield self._result(key, tokens, sum(b - a + 1 for a, b in json.loads(runs)), False)
-        self.tokens.clear()
-        self.progress.clear()
-
-    def close(self) -> None:
-        pass
+    A finished response leaves a mark, so that repeated tokens do not open it again; the mark
+    and what stays unfinished go when the response has been idle.
+    """
+    known: dict = pickle.loads(state.get[0]) if state.exists else {}
+    held: bytes = state.get[1] if state.exists else b""
+    now = state.getCurrentWatermarkMs() if clock == "EventTime" else state.getCurrentProcessingTimeMs() if idle_ms else 0
+    first: dict = {}  # of each id the first token of each number
+    ends: dict = {}
+    newest: dict = {}
+    for batch in () if state.hasTimedOut else batches:
+        ids = [None if pd.isna(i) else i for i in batch["id"].tolist()]
+        for i, s, t, end in zip(ids, batch["seq"].tolist(), batch["token"].tolist(), batch["is_last"].tolist(), strict=True):
+            if i not in first:
+                first[i] = {}
+            first[i].setdefault(int(s), t)
+            if end:
+                ends.setdefault(i, int(s))
+        for i, ms in zip(ids, batch["ms"].tolist() if clock == "EventTime" else ()):
+            newest[i] = max(newest.get(i, ms), ms)
+    added, done = {}, {}
+    for i, tokens in first.items():
+        runs, length, last, over = known.get(i, ([], -1, 0, False))
+        last = max(last, newest.get(i, now))
+        if over:
+            known[i] = (runs, length, last, True)
+            continue
+        numbers, new = add_numbers(runs, tokens)
+        length = ends[i] + 1 if i in ends else length
+        pairs = [(s, tokens[s]) for s in new]
+        if numbers == [[0, length - 1]]:
+            done[i] = (pairs, length, True, bool(runs))
+            known[i] = ([], length, last, True)
+        else:
+            known[i] = (numbers, length, last, False)
+            if pairs:
+                added[i] = pairs
+    if added:
+        held += pickle.dumps(added, 5)
+    for i, (runs, _, last, over) in list(known.items()):
+        if over if not idle_ms else last + idle_ms <= now:
+            if not over:
+                done[i] = ([], sum(b - a + 1 for a, b in runs), False, True)
+            del known[i]
+    earlier, held = _taken(held, {i for i, found in done.items() if found[3]}) if any(x[3] for x in done.values()) else ({}, held)
+    if known:
+        state.update((pickle.dumps(known, 5), held))
+        due = min(last for _, _, last, _ in known.values()) + idle_ms
+        if clock == "EventTime":
+            state.setTimeoutTimestamp(due)
+        elif idle_ms:
+            state.setTimeoutDuration(due - now)
+    elif state.exists:
+        state.remove()
+    if done:
+        texts = ["".join(t for _, t in sorted(pairs + earlier.get(i, [])) if t not in specials) for i, (pairs, *_) in done.items()]
+        yield pd.DataFrame({"id": list(done), "text": texts, "n_tokens": [n for _, n, _, _ in done.values()],
+                            "complete": [c for _, _, c, _ in done.values()]})
 
 
 def responses(tokens: DataFrame, specials: Sequence[str] = (), at: str | None = None, delay: str = "10 minutes",
-              idle: str | None = None) -> DataFrame:
+              idle: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Texts from a stream of token rows, one row per response, without the tokens in ``specials``.
 
     Tokens may arrive in any order, in any number of micro-batches and several times; of those of one number the
@@ -129,19 +148,25 @@ def responses(tokens: DataFrame, specials: Sequence[str] = (), at: str | None =
     of the stream are dropped, and a response without tokens for ``idle`` (then 1 hour unless
     given) ends as it is, ``complete`` being false; with ``idle`` alone the same goes by the time of
     processing. With neither, a response ends with its last token only, and its state goes at once.
+
+    State is kept by ``buckets`` of responses, as a call for each response costs more than its tokens. A micro-batch
+    reads and writes the open responses of each bucket it has tokens for, so some hundred open
+    responses a bucket are best; the number stays the same as long as a checkpoint is used.
     """
-    mode = "EventTime" if at else "ProcessingTime" if idle else "None"
+    clock = "EventTime" if at else "ProcessingTime" if idle else "No"
     idle_ms = milliseconds(idle or "1 hour") if at or idle else 0
-    columns = ["id", "seq", "token", "is_last"]
+    kind = dict(tokens.dtypes)["id"]
+    # Ids go as texts, as pandas has no integers beside nulls.
+    text = F.base64("id") if kind == "binary" else F.col("id").cast("string")
+    back = F.unbase64("id") if kind == "binary" else F.col("id").cast(kind)
+    columns = [F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket"), text.alias("id"), "seq", "token", "is_last"]
     rows = tokens.select(*columns)
     if at:
         rows = tokens.withWatermark(at, delay).select(*columns, at, F.unix_millis(F.col(at).cast("timestamp")).alias("ms"))
-    return rows.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=ResponseText(specials, Clock(mode), idle_ms, at),
-        outputStructType=f"id {dict(tokens.dtypes)['id']}, text string, n_tokens bigint, complete boolean",
-        outputMode="Append",
-        timeMode=mode,
-    )
+    return rows.groupBy("bucket").applyInPandasWithState(
+        partial(_respond, specials=frozenset(specials), clock=clock, idle_ms=idle_ms),
+        "id string, text string, n_tokens bigint, complete boolean", RESPONSES, "append", f"{clock}Timeout",
+    ).select(back.alias("id"), "text", "n_tokens", "complete")
 
 
 class ChatSession(StatefulProcessor):

@@ -101,6 +101,20 @@ def test_responses_by_processing_time(spark, tmp_path):
     assert [(r.text, r.n_tokens) for r in stream.rows()] == [("0123", 4)]
 
 
+def test_open_responses_share_rows_of_state(spark, tmp_path):
+    # A row of state a bucket, however many responses are open; ids beyond a double's digits next to a null one.
+    first = 2**62 + 1
+    stream = Stream(spark, tmp_path, "id bigint, seq int, token string, is_last boolean",
+                    lambda path: responses(readers.token_rows(spark, path, 1), buckets=4))
+    ids = [*range(first, first + 99), None]
+    stream.add([(i, s, f"{i}.{s} ", s == 3) for i in ids for s in (1, 3)])
+    assert 1 <= stream.go() <= 4 and not stream.rows()
+    stream.add([(i, s, f"{i}.{s} ", False) for i in ids for s in (2, 0)], 2)
+    assert stream.go() == 0
+    assert {r.id: r.text for r in stream.rows()} == {i: "".join(f"{i}.{s} " for s in range(4)) for i in ids}
+    assert len(stream.rows()) == 100
+
+
 INPUTS = f"{SESSION_INPUT}, at timestamp"
 
 

@@ -84,13 +84,13 @@ SELECT 'lang=' || lang AS artifact, 1::BIGINT AS n_files, 'text' AS kinds, CAST(
 FROM documents GROUP BY lang
 """)
 def artifact_scan(spark: Spark, folder: str) -> DataFrame:
-    # One folder per language; each text is followed by a line end.
+    # One folder per language; each text is followed by a line end. Every task writes its rows where it read them.
     path = scratch_path(spark, "artifacts")
     texts = d.documents(spark, folder).select("lang", F.col("text").alias("value"))
-    texts.repartition("lang").write.partitionBy("lang").text(path)
+    texts.write.partitionBy("lang").text(path)
     folders = d.documents(spark, folder).select(F.concat(F.lit(f"{path}/lang="), "lang").alias("path")).distinct()
     # Checksum files lie beside the files on some file systems.
-    files = list_artifacts(spark, folders).filter(~F.col("name").startswith("."))
+    files = inv.whole_files(list_artifacts(spark, folders).filter(~F.col("name").startswith(".")))
     kinds = files.groupBy("artifact").agg(F.array_join(F.array_sort(F.collect_set(F.when(
         F.col("name").rlike("^part-.*[.]txt$"), "text").otherwise("other"))), ",").alias("kinds"))
     return inv.artifact_sizes(files).join(kinds, "artifact").select("artifact", "n_files", "kinds", "total_bytes", "total_gb")

@@ -12,6 +12,9 @@ from chatweave.functions.text import gibibytes, join_list, mebibytes
 # Files an adapter must have, in report order.
 REQUIRED_FILES = ("adapter_config.json", "adapter_model.safetensors")
 
+# Names of parts that Spark writes: number, id of the write, number of the file within the task, ending.
+PART_NAME = r"^part-[0-9]+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})(?:[.-]c[0-9]+)?([.].*)?$"
+
 # Defaults where a config leaves a field out.
 UNKNOWN = "unknown"
 DEFAULT_BASE_MODEL = "Qwen/Qwen2.5-Coder-32B-Instruct"
@@ -24,6 +27,20 @@ def file_sizes(listing: DataFrame) -> DataFrame:
     return listing.withColumn("size_mb", mebibytes("length")).orderBy("artifact", "name")
 
 
+def whole_files(listing: DataFrame, artifact: str = "artifact") -> DataFrame:
+    """A listing in which the parts that one write left in a folder are one file.
+
+    Parts are named ``part-<number>-<id of the write>.<rest>``; their file has the name without
+    the number, and the lengths of its parts. Other files stay as they are.
+    """
+    whole = F.regexp_replace("name", PART_NAME, "part-$1$2")
+    parted = F.col("name").rlike(PART_NAME)
+    parts = listing.filter(parted).groupBy(artifact, whole.alias("name")).agg(F.sum("length").alias("length"))
+    # A folder without files has a null name.
+    rest = listing.filter(~F.coalesce(parted, F.lit(False))).select(artifact, "name", "length")
+    return parts.unionByName(rest)
+
+
 def artifact_sizes(listing: DataFrame, artifact: str = "artifact") -> DataFrame:
     return listing.groupBy(artifact).agg(
         F.count("name").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")

@@ -3,10 +3,12 @@
 import json
 import math
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from chatweave.catalog import load
 from chatweave.functions import tokens as tk
 from chatweave.functions.text import one_decimal, thousands, two_decimals
 from chatweave.operators import batching as b
@@ -337,3 +339,25 @@ def test_prepare_job(spark, tmp_path):
     assert all(len(r["input_ids"]) == len(r["attention_mask"]) > 0 and r["text"] for r in rows)
     short = encoded_rows(text.select("key", "text"), vocab, "key", max_length=4).select(F.max(F.size("input_ids"))).first()[0]
     assert short == 4
+
+
+def test_parts_of_a_file_are_one_file(spark, tmp_path):
+    write = "0aab3c1d-1111-2222-3333-0123456789ab"
+    rows = [("a", f"part-0000{i}-{write}{c}.txt", 10 + i) for i in range(3) for c in (".c000", ".c001")]
+    rows += [("a", "part-x.txt", 5), ("b", f"part-00000-{write}.c000.txt", 1), ("c", None, None)]
+    rows += [("b", f"part-00000-{write}.c000.snappy.parquet", 2)]
+    got = inv.whole_files(spark.createDataFrame(rows, "artifact string, name string, length bigint")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        ("a", f"part-{write}.txt", 66), ("a", "part-x.txt", 5), ("b", f"part-{write}.txt", 1),
+        ("b", f"part-{write}.snappy.parquet", 2), ("c", None, None)], key=str)
+
+
+def test_texts_of_a_language_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id AS doc_id", "'xx' AS lang", "repeat('text ', 20) AS text")
+    rows.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("artifacts-*"))
+    got = load()[0]["artifact_scan"](spark, str(tmp_path)).collect()
+    assert [tuple(r)[:4] for r in got] == [("lang=xx", 1, "text", 4000 * 101)]
+    (made,) = set(shared.glob("artifacts-*")) - before
+    assert len(list(made.glob("lang=xx/part-*"))) > 1

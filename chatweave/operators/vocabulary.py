@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,9 @@ UNK_ID, EOS_ID, PAD_ID = 0, 1, 2
 # joined by shuffle.
 SHIPPED_PIECES = 500_000
 
+# Elements that are looked up at once in a task.
+SLICE = 200_000
+
 # Pieces of a large vocabulary that are broadcast; its ids follow frequency.
 HEAD_PIECES = 100_000
 
@@ -92,8 +96,25 @@ def _list_of(values: pa.Array, like: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values, mask=mask)
 
 
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The rows of list arrays, in slices of at most ``SLICE`` elements or one row: what a lookup
+    holds besides a batch does not grow with the batch."""
+    for column in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(column):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+            yield column.slice(at, stop - at)
+            at = stop
+        if not len(column):
+            yield column
+        del column
+        pa.default_memory_pool().release_unused()
+
+
 def _flat_lookup(known: dict, missing, kind: pa.DataType) -> Callable[[pa.Array], pa.Array]:
-    """List elements by a dictionary built once; each different element of a batch is
+    """List elements by a dictionary built once; each different element of a slice is
     looked up once."""
 
     def look(column: pa.Array) -> pa.Array:
@@ -110,7 +131,7 @@ def encoder(vocab: Vocabulary) -> Callable[[Column | str], Column]:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         look = _flat_lookup(dict(zip(vocab.pieces.to_pylist(), vocab.ids.to_pylist())), vocab.unk, pa.int32())
-        for column in batches:
+        for column in _slices(batches):
             yield look(column)
 
     return encode
@@ -123,7 +144,7 @@ def decoder(vocab: Vocabulary) -> Callable[[Column | str], Column]:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = dict(zip(vocab.ids.to_pylist(), vocab.pieces.to_pylist()))
         look = _flat_lookup(known, SPECIALS[UNK_ID], pa.string())
-        for column in batches:
+        for column in _slices(batches):
             yield look(column)
 
     return decode

@@ -5,6 +5,7 @@ import math
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from chatweave.operators import batching as b
 from chatweave.operators import inventory as inv
 from chatweave.operators import registry as reg
 from chatweave.operators import sampling as s
+from chatweave.operators import vocabulary
 from chatweave.operators.inference import GenerationOptions, batched_map, infer
 from chatweave.operators.ordered import byte_shards, enumerate_rows
 from chatweave.operators.vocabulary import decode, encode, fit_vocabulary
@@ -361,3 +363,14 @@ def test_texts_of_a_language_are_written_by_many_tasks(spark, tmp_path):
     assert [tuple(r)[:4] for r in got] == [("lang=xx", 1, "text", 4000 * 101)]
     (made,) = set(shared.glob("artifacts-*")) - before
     assert len(list(made.glob("lang=xx/part-*"))) > 1
+
+
+def test_lookups_take_slices_of_a_batch():
+    rows = [["a"] * 150_000, None, [], ["b", None], ["a"] * 450_000, ["x"], *([["b"] * 1000] * 500)]
+    column = pa.array(rows, pa.list_(pa.string()))
+    parts = list(vocabulary._slices(iter([column, column.slice(0, 0), column.slice(1, 3)])))
+    assert [x for p in parts for x in p.to_pylist()] == rows + rows[1:4]
+    assert all(len(p) <= 1 or len(p.flatten()) <= vocabulary.SLICE for p in parts)
+    look = vocabulary._flat_lookup({"a": 3, "b": 4}, 0, pa.int32())
+    got = [x for p in parts for x in look(p).to_pylist()]
+    assert got == [r and [{"a": 3, "b": 4}.get(x, 0) for x in r] for r in rows + rows[1:4]]

@@ -22,7 +22,11 @@ frequent shingles come last; the rest is ordered by hash. The list of frequent s
 
 Groups. Documents of equal sets are one class and only classes are joined. First every class looks at
 the smallest class of each of its keys; the one it meets most often is verified on the whole sets, and keys whose
-classes are all in one group are left out. This brings together groups of near copies with one edge per class. Then, for what is left, keys with equal sets of
+classes are all in one group are left out. This brings together groups of near copies with one edge per class. Then
+pairs that meet under keys of at most ``FEW`` classes are counted, less than ``FEW`` for each row of a key. A pair that
+shares only such keys and is a link shares as many of them as either class needs; pairs with so many are verified,
+those of each class with the most common keys first, until all are verified or in one group. Any other pair shares a
+key of more classes. Of these keys, those with equal sets of
 classes are one bucket. Within a bucket (in blocks of ``BLOCK`` classes, each pair of blocks
 once), the best few pairs of each class that the sketches allow and that are not yet in one group
 are verified; those that
@@ -60,6 +64,7 @@ SLICE = 256
 PART = 1_000_000
 FREQUENT = 100_000
 COUNTED = 2_000_000
+FEW = 32
 BLOCK = 4096
 BITMAP = 1 << 23
 SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -406,9 +411,8 @@ def _merged(steps: Steps, groups: DataFrame, edges: DataFrame) -> DataFrame:
     return after
 
 
-def _join_to_firsts(steps: Steps, cells: DataFrame, groups: DataFrame, known: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """Groups after every class (key, level, digest, n) has met the smallest one of its keys, and the rows
-    of keys that still have classes of two groups."""
+def _join_to_firsts(steps: Steps, cells: DataFrame, groups: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """Groups after every class (key, level, digest, n) has met the smallest one of its keys."""
     by_key = Window.partitionBy("key", "level")
     first = F.min(F.struct(F.col("n").alias("m"), F.col("digest").alias("v"))).over(by_key)
     fits = (F.col("m") * 100 >= F.col("n") * threshold) & (F.col("digest") != F.col("v"))
@@ -419,9 +423,47 @@ def _join_to_firsts(steps: Steps, cells: DataFrame, groups: DataFrame, known: Da
     if not right.isEmpty():
         groups = _merged(steps, groups, right)
     steps.drop(right)
-    apart = F.min("component").over(by_key) < F.max("component").over(by_key)
-    left = cells.join(groups, "digest").withColumn("apart", apart).filter("apart").select("key", "level", "digest", "n")
-    return groups, steps.save(left, instead_of=cells)
+    return groups
+
+
+def _partners(cells: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
+    """The rows (key, level, digest, n) of keys that still have classes of two groups. ``others`` are the
+    classes behind it of other groups and allowed sizes, null for keys of more than ``FEW`` classes."""
+    by_key = Window.partitionBy("key", "level").orderBy("n", "digest")
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    behind = F.collect_list(F.struct("digest", "n", "component")).over(by_key.rowsBetween(1, FEW - 1))
+    fits = F.filter("others", lambda o: (o["component"] != F.col("component")) & (o["n"] * threshold <= F.col("n") * 100))
+    return (cells.select("key", "level", "digest", "n").join(groups, "digest")
+            .withColumns({"apart": F.min("component").over(whole) < F.max("component").over(whole), "size": F.count(F.lit(1)).over(whole)})
+            .filter("apart").withColumn("others", behind)
+            .select("key", "level", "digest", "n", F.when(F.col("size") <= FEW, F.transform(fits, lambda o: o["digest"])).alias("others"))
+            .filter(F.col("others").isNull() | (F.size("others") > 0)))
+
+
+def _join_counted(steps: Steps, cells: DataFrame, groups: DataFrame, needs: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """Groups after every pair of classes that shares keys of few classes only was joined, found wrong or
+    already in one group. Such a pair is no link if it shares fewer keys than either class needs."""
+    counted = (cells.select("level", F.col("digest").alias("u"), F.explode("others").alias("v"))
+               .groupBy("u", "v", "level").agg(F.count(F.lit(1)).alias("times")))
+    for end in ("u", "v"):
+        counted = counted.join(needs.select(F.col("digest").alias(end), "level", F.col("least").alias(f"least_{end}")), [end, "level"])
+    pairs = steps.save(counted.filter((F.col("times") >= F.col("least_u")) & (F.col("times") >= F.col("least_v")))
+                       .groupBy("u", "v").agg(F.max("times").alias("times")))
+    limit = 1
+    while not pairs.isEmpty():
+        left = pairs.filter("rank > 0") if limit > 1 else pairs
+        for end in ("u", "v"):
+            left = left.join(groups.select(F.col("digest").alias(end), F.col("component").alias(f"c{end}")), end)
+        best = Window.partitionBy("u", "cv").orderBy(F.desc("times"), "v")
+        pairs = steps.save(left.filter(F.col("cu") != F.col("cv")).withColumn("rank", F.row_number().over(best) - limit)
+                           .select("u", "v", "times", "rank"), instead_of=pairs)
+        right = steps.save(_verified(pairs.filter("rank <= 0").select("u", "v"), known, threshold).filter("holds").select("u", "v"))
+        if not right.isEmpty():
+            groups = _merged(steps, groups, right)
+        steps.drop(right)
+        limit *= 4
+    steps.drop(pairs)
+    return groups
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
@@ -478,12 +520,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _groups(steps: Steps, shared: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
     """(digest, component) of all sets with keys that others share."""
-    cells = steps.save(shared.join(known.select("digest", "node"), "node").select("key", "level", "digest", "n"), instead_of=shared)
-    groups = steps.save(cells.select("digest").distinct().withColumn("component", F.col("digest")))
-    groups, cells = _join_to_firsts(steps, cells, groups, known, threshold)
-
-    signed = cells.groupBy("key", "level").agg(F.bit_xor(F.xxhash64("digest")).alias("bucket"), F.count(F.lit(1)).alias("size"))
-    met = cells.join(signed, ["key", "level"]).select("bucket", "size", "level", "digest", "n").distinct()
+    cells = steps.save(shared.join(known.select("digest", "node"), "node").select("key", "level", "digest", "n", "least"), instead_of=shared)
+    needs = steps.save(cells.select("digest", "level", "least").distinct())
+    groups = steps.save(needs.select("digest").distinct().withColumn("component", F.col("digest")))
+    groups = _join_to_firsts(steps, cells, groups, known, threshold)
+    cells = steps.save(_partners(cells, groups, threshold), instead_of=cells)
+    groups = _join_counted(steps, cells, groups, needs, known, threshold)
+    steps.drop(needs)
+
+    # Pairs that share a key of many classes.
+    many = cells.filter(F.col("others").isNull())
+    signed = many.groupBy("key", "level").agg(F.bit_xor(F.xxhash64("digest")).alias("bucket"), F.count(F.lit(1)).alias("size"))
+    met = many.join(signed, ["key", "level"]).select("bucket", "size", "level", "digest", "n").distinct()
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))

@@ -146,6 +146,31 @@ def test_jaccard_against_brute_force(spark, rows, monkeypatch):
         assert got == brute_groups(rows)
 
 
+def test_pairs_under_keys_of_few_classes_are_counted(spark, monkeypatch):
+    """Groups that are left apart by the first class of their keys need no sketches in a shuffle."""
+    def refuse(threshold, limit):
+        def run(batches):
+            for batch in batches:
+                assert not batch.num_rows, "rows with sketches"
+            yield from ()
+
+        return run
+
+    rows = copies(2, 24, 250, 12, 60)
+    with monkeypatch.context() as patch:
+        patch.setattr(jaccard_join, "_emit_edges", refuse)
+        got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs_of(spark, rows)).collect()), key=str)
+    assert got == brute_groups(rows)
+
+
+@pytest.mark.parametrize("few", [1, 3])
+def test_keys_of_few_and_many_classes_together(spark, few, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    rows = copies(3, 40, 64, 3, 20)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs_of(spark, rows)).collect()), key=str)
+    assert got == brute_groups(rows)
+
+
 def doubled(size):
     """Words of ``size`` letters a and b that collide under any hash by powers of one odd number."""
     bits = [bin(i).count("1") & 1 for i in range(size)]

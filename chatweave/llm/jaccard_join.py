@@ -57,11 +57,12 @@ from pyspark.sql import functions as F
 from chatweave.llm.components import connected
 from chatweave.llm.frequent import most_frequent
 from chatweave.llm.hashing import CODES, TURN, chunk_hashes, mix
-from chatweave.session import drop_path, scratch_path
+from chatweave.llm.kept import let_go
+from chatweave.session import drop_path, scratch_path, small_batches
 
 SIZE = 5
 SLICE = 256
-PART = 1_000_000
+PART = 250_000
 FREQUENT = 100_000
 COUNTED = 2_000_000
 FEW = 32
@@ -191,6 +192,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
 def _members(kind: str):
     """(id, text, hash of the text) to (id, h, n, node, digest), and now and then a row with frequent shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         names = ["id", "h", "n", "node", "digest", "often", "times"]
         waiting: list[np.ndarray] = []
         held, id_type = 0, None
@@ -236,7 +238,8 @@ class Steps:
 
     def save(self, rows: DataFrame, *, instead_of: DataFrame | None = None) -> DataFrame:
         path = self.path()
-        rows.write.parquet(path)
+        with small_batches(self.spark):
+            rows.write.parquet(path)
         self.drop(instead_of)
         saved = self.spark.read.schema(rows.schema).parquet(path)
         self.paths.append((saved, path))
@@ -251,6 +254,7 @@ class Steps:
 
 def _emit_keys(shipped, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         frequent, seen = shipped.value, set()
         for _, texts in _texts(batches, 0):
             keys, nodes, bands, needs, sizes = [], [], [], [], []
@@ -275,6 +279,7 @@ def _emit_keys(shipped, threshold: int):
 
 def _emit_sets(bitmap, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         bits, seen = bitmap.value, set()
         for part, texts in _texts(batches, 0):
             places = part.column(1).to_numpy() & BITMAP - 1
@@ -503,9 +508,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Bucketed by digest, so that the joins below read it without a shuffle.
     table, n_parts = f"shingle_sets_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        (sets.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["digest"])
-         .repartition(n_parts, "digest").write.bucketBy(n_parts, "digest").sortBy("digest")
-         .option("path", f"{steps.folder}/sets").option("compression", "none").saveAsTable(table))
+        with small_batches(spark):
+            (sets.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["digest"])
+             .repartition(n_parts, "digest").write.bucketBy(n_parts, "digest").sortBy("digest")
+             .option("path", f"{steps.folder}/sets").option("compression", "none").saveAsTable(table))
         groups = _groups(steps, shared, spark.table(table), threshold)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")

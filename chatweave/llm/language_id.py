@@ -37,8 +37,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatweave.llm.kept import let_go
 from chatweave.operators.joins import bounded_broadcast
-from chatweave.session import scratch_path
+from chatweave.session import scratch_path, small_batches
 
 BUCKETS = 1 << 16
 MAX_TRIGRAMS = 200
@@ -78,6 +79,7 @@ def fit_text_model(rows: DataFrame, label: str, text: str, max_rows: int = MAX_R
     sample = labelled.join(bounded_broadcast(chosen), ["label", "digest"]).dropDuplicates(["label", "digest"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: dict[str, np.ndarray] = {}
         for batch in batches:
             for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -88,8 +90,9 @@ def fit_text_model(rows: DataFrame, label: str, text: str, max_rows: int = MAX_R
                 [pa.array([x] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at])], ["label", "bucket", "n"])
 
     # At most BUCKETS counts per language.
-    found = (sample.select("label", "text").mapInArrow(count, "label string, bucket int, n double")
-             .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    with small_batches(rows.sparkSession):
+        found = (sample.select("label", "text").mapInArrow(count, "label string, bucket int, n double")
+                 .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow())
     labels = found.column("label").to_pylist()
     names = sorted(set(labels) | set(languages or ()))
     place = {x: i for i, x in enumerate(names)}
@@ -104,6 +107,7 @@ def _scored(rows: DataFrame, table: np.ndarray) -> DataFrame:
     n_lang = table.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = batch.column(0)
             out = np.zeros((batch.num_rows, n_lang))
@@ -141,7 +145,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
                        host.alias("host"), suffix.alias("suffix"), F.rlike(text, F.lit(LETTER)).alias("letters"))
     path = scratch_path(spark, "language-scores")
     best = F.array_position("scores", F.array_max("scores")).cast("int") - 1
-    _scored(rows, table).withColumn("best", best).write.parquet(path)
+    with small_batches(spark):
+        _scored(rows, table).withColumn("best", best).write.parquet(path)
     scored = spark.read.parquet(path)
 
     said = scored.filter("letters")

@@ -14,7 +14,7 @@ of a large split, are dealt out anew, sorted by length and packed once more, in
 
 Token ids come from the vocabulary's library by white-space-separated chunk; such a
 vocabulary drops white space, and chunks repeat, so each worker remembers the ids of up to
-``CACHE`` chunks and ``HELD`` ids.
+``CACHE`` chunks and ``HELD`` ids, until it gets a task of another operator.
 
 Defined cases: null text is empty and gives the end token alone; repeated ids and rows are
 packed as they come; null ids pass through; an empty table gives no pieces; other columns are ignored.
@@ -25,7 +25,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,15 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatweave.llm.hashing import chunk_hashes
+from chatweave.llm.kept import keep
 from chatweave.llm.token_count import byte_symbols
-from chatweave.session import scratch_path
+from chatweave.session import scratch_path, small_batches
 
-# Chunks remembered, 40 bytes each or so, before a worker starts over.
+# Chunks remembered, 20 bytes each or so, before a worker starts over.
 CACHE = 4_000_000
 # Ids remembered, 4 bytes each: a few chunks may be very long.
 HELD = 32_000_000
 RECENT = 150_000
-SLICE = 256
+SLICE = 128
 FLUSH = 1_000
 LONG = 200
 CUTS = np.isin(np.arange(256), [32, 10])
@@ -110,11 +110,11 @@ class ChunkIds:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)  # sorted, with the entry of each
-        self.entries = np.zeros(0, np.int64)
+        self.entries = np.zeros(0, np.int32)
         self.recent: dict[int, int] = {}
         self.n = 0
         self.store, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.start, self.size = np.zeros(1 << 18, np.int32), np.zeros(1 << 18, np.int32)
 
     def _append(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Entries of new chunks, whose ids follow each other."""
@@ -159,7 +159,7 @@ class ChunkIds:
             self.recent.update(zip(hashes[new].tolist(), made.tolist()))
         if len(self.recent) > RECENT:
             keys = np.r_[self.keys, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))]
-            entries = np.r_[self.entries, np.fromiter(self.recent.values(), np.int64, len(self.recent))]
+            entries = np.r_[self.entries, np.fromiter(self.recent.values(), np.int32, len(self.recent))]
             order = np.argsort(keys)
             self.keys, self.entries, self.recent = keys[order], entries[order], {}
         return out
@@ -186,9 +186,8 @@ class ChunkIds:
             at = end
 
 
-@lru_cache(maxsize=2)
 def chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
+    return keep(("chunk ids", path), lambda: ChunkIds(path))
 
 
 NAMES = ["id", "piece", "start", "length", "ids", "sequence_id", "offset", "final"]
@@ -267,7 +266,8 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             yield from out.flush()
 
     first = scratch_path(spark, "packed")
-    rows.mapInArrow(tokenise, _schema(kind)).write.partitionBy("final").parquet(first)
+    with small_batches(spark):
+        rows.mapInArrow(tokenise, _schema(kind)).write.partitionBy("final").parquet(first)
     made = spark.read.schema(_schema(kind)).parquet(first)
     left = made.filter(~F.col("final"))
     tokens = left.agg(F.sum("length")).first()[0] or 0

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # Spark's default size of a scan split.
 SPLIT_BYTES = 128 * 1024 * 1024
@@ -72,6 +75,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Arrow batches of about ``size`` bytes at most in what is run inside, as a worker and its executor hold
+    one or two for each task, and more in passing. A limit that the session has set holds instead."""
+    if BATCH_CONF in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(BATCH_CONF, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_CONF)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a small input over the cores before CPU-heavy row-local work.
 
